@@ -3,8 +3,9 @@
 A document is the set of its word 5-grams. Documents with equal sets are one class. Each class gets a signature of
 min-hashes, a sample of its tokens. A path picks places of the signature at random, each with the chance 1 / (split * size);
 classes that share the values there go on together. Runs are repeated until pairs at the threshold meet with the target
-recall. Buckets are split on until they are small; those that stay large, as their members are alike,
-are compared block against block. What meets and looks alike is linked, and linked groups are
+recall. A first, short pass links each member of a bucket that looks like the bucket's first or last one, so that large groups of near copies are one
+group before the rest: later a bucket whose members are in one group has nothing to compare. Other buckets are split on until they are small,
+and the last are compared block against block. What meets and looks alike is linked, and linked groups are
 verified once on their whole sets, again block against block, so no task holds an unbounded group and no pair
 leaves a task: tasks return counts of links and one edge for each member.
 """
@@ -18,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import wordhash as wh
 from .common import staged, text_slices
@@ -26,9 +28,11 @@ NGRAM, THRESHOLD = 5, 0.8
 #: Places of the signature; likeness by signature from which classes are verified, four deviations below the threshold.
 PLACES, LIKELY = 64, 0.6
 #: A path takes a place with the chance 1 / (SPLIT * PLACES); below the threshold, so that paths of near pairs seldom die out.
-SPLIT, FIRST_LEVEL, LAST_LEVEL, RECALL = 0.7, 2, 5, 0.999
-#: Classes that a bucket may hold before it is split; classes in a block.
-BUCKET, BLOCK = 128, 256
+SPLIT, FIRST_LEVEL, LAST_LEVEL, RECALL = 0.7, 2, 6, 0.999
+#: Runs of the short pass.
+FIRST_RUNS = 4
+#: Classes that a bucket may hold before it is split into further paths; classes in a block of a bucket, and of a group for verification.
+SPLIT_FROM, BUCKET, BLOCK = 4096, 512, 256
 #: Rows up to which a table of class numbers is broadcast.
 BROADCAST_ROWS = 1_000_000
 _SEEDS = wh.seeded(PLACES, 101)
@@ -42,7 +46,7 @@ def survival(levels: int, likeness: float = THRESHOLD, split: float = SPLIT) ->
     return p
 
 
-def runs_needed(recall: float = RECALL, levels: int = LAST_LEVEL - 1) -> int:
+def runs_needed(recall: float = RECALL, levels: int = FIRST_LEVEL + 1) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - survival(levels)))
 
 
@@ -117,8 +121,8 @@ def _chosen(node: np.ndarray, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return row, wh.mix(places[row, place] ^ wh.mix(sig[row, place].astype(wh.U) + wh.U(17)))
 
 
-def _paths(levels: int, runs: int) -> Callable:
-    """Mapper from (digest, signature) to (digest, bucket), each once; runs of 0 go on from the bucket given."""
+def _paths(levels: int, runs: int, first: int = 0) -> Callable:
+    """Mapper from (digest, signature) to (digest, bucket), each once, for runs from `first`; runs of 0 go on from the bucket given."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -128,7 +132,7 @@ def _paths(levels: int, runs: int) -> Callable:
                 outs = []
                 for r in range(runs or 1):
                     row = np.arange(len(digest))
-                    node = np.full(len(digest), wh.seeded(r + 1, 999)[-1]) if runs else np.asarray(batch.column(2)).view(wh.U)
+                    node = np.full(len(digest), wh.seeded(first + r + 1, 999)[-1]) if runs else np.asarray(batch.column(2)).view(wh.U)
                     for _ in range(levels):
                         at, node = _chosen(node, sig[row])
                         row = row[at]
@@ -182,19 +186,19 @@ def _least(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _star(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Brute force in buckets, sorted by bucket: rows (bucket, digest, signature, side); an edge from each class to the least it looks like.
+    """Brute force in buckets, sorted by bucket: rows (bucket, digest, label, signature, side); an edge from each class to the least it looks like.
 
-    side: 0 compares with all; 1 and 2 compare with the other side only.
+    side: 0 compares with all; 1 and 2 compare with the other side only. Those of one label are linked already.
     """
     for t in _grouped(batches, "bucket"):
-        bucket, digest, side = (t[c].to_numpy() for c in ("bucket", "digest", "side"))
+        bucket, digest, side, label = (t[c].to_numpy() for c in ("bucket", "digest", "side", "label"))
         sig = _matrix(t["signature"].combine_chunks())
         a, b = [], []
         for d in range(1, len(bucket)):
             at = np.flatnonzero(bucket[d:] == bucket[:-d])
             if not len(at):
                 break
-            at = at[(side[at] == 0) | (side[at] != side[at + d])]
+            at = at[((side[at] == 0) | (side[at] != side[at + d])) & (label[at] != label[at + d])]
             for k in range(0, len(at), 8192):
                 x = at[k : k + 8192]
                 like = (sig[x] == sig[x + d]).sum(1) >= LIKELY * PLACES
@@ -207,15 +211,15 @@ def _star(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(edge[0]), pa.array(edge[1])], ["a", "b"])
 
 
-def in_blocks(df: DataFrame, key: str, counts: DataFrame, block: int = BLOCK) -> DataFrame:
+def in_blocks(df: DataFrame, key: str, block: int = BLOCK) -> DataFrame:
     """Rows of groups `key` for comparison in groups `bucket` of bounded size: whole, or for each pair of blocks of a large group.
 
-    counts: key and n. A row of a large group goes to its own block and to one group for each other block.
+    df has the size of the row's group as n. A row of a large group goes to its own block and to one group for each other block.
     """
-    joined = df.join(counts, key).withColumn("__blocks", F.expr(f"cast(ceil(n / {block}) as int)"))
+    joined = df.withColumn("__blocks", F.expr(f"cast(ceil(n / {block}) as int)"))
     joined = joined.withColumn("__mine", F.expr("cast(pmod(xxhash64(digest, 5), __blocks) as int)"))
     one = f"transform(sequence(0, __blocks - 1), o -> struct(xxhash64({key}, least(__mine, o), greatest(__mine, o)) as bucket, case when o = __mine then 0 when __mine < o then 1 else 2 end as side))"
-    return joined.withColumn("__to", F.explode(F.expr(one))).select(*[c for c in df.columns if c not in ("bucket", "side")], "__to.bucket", "__to.side")
+    return joined.withColumn("__to", F.explode(F.expr(one))).select(*[c for c in df.columns if c not in ("bucket", "side", "n")], "__to.bucket", "__to.side")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -307,30 +311,53 @@ def _few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _large_split(reps: DataFrame, recall: float) -> DataFrame:
-    """Edges between classes that look alike, from buckets of chosen paths."""
-    runs = runs_needed(recall)
+def _like_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (digest, signature, first, signature of the first) to edges where both look alike."""
+    for batch in batches:
+        like = (_matrix(batch.column(1)) == _matrix(batch.column(3))).sum(1) >= LIKELY * PLACES
+        at = pa.array(np.flatnonzero(like))
+        a, b = (batch.column(k).take(at).to_numpy() for k in (0, 2))
+        yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
+
+
+def _shorter(edges: DataFrame) -> DataFrame:
+    """Edges (a, b), b the lesser, with each neighbour of a node tied to the node's least neighbour instead: as connected, but fewer."""
+    least = edges.select("a", "b", F.min("b").over(Window.partitionBy("a")).alias("m"))
+    return least.select(F.explode(F.array(F.struct("a", "m"), F.struct(F.col("b").alias("a"), "m"))).alias("e")).select("e.a", F.col("e.m").alias("b")).where("a <> b").distinct()
+
+
+def _first_links(names: DataFrame) -> DataFrame:
+    """Labels of groups found with FIRST_RUNS runs, comparing with the first and last member of each bucket only."""
+    rows = staged(names.mapInArrow(_paths(FIRST_LEVEL, FIRST_RUNS), "digest bigint, bucket bigint"))
+    ends = rows.groupBy("bucket").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).where("x <> y").select("bucket", F.array("x", "y").alias("ends"))
+    met = rows.join(ends, "bucket").select("digest", F.explode("ends").alias("first")).where("digest <> first").distinct()
+    signed = met.join(names, "digest").join(names.select(F.col("digest").alias("first"), F.col("signature").alias("other")), "first")
+    return components(_shorter(signed.select("digest", "signature", "first", "other").mapInArrow(_like_first, "a bigint, b bigint")))
+
+
+def _likely(reps: DataFrame, recall: float) -> DataFrame:
+    """Labels (digest, label) of groups of classes that look alike, from buckets of chosen paths."""
     names = reps.where("n_grams > 0").select("digest", "signature")
-    rows = names.mapInArrow(_paths(FIRST_LEVEL, runs), "digest bigint, bucket bigint")
-    edges = None
+    known = staged(_first_links(names))
+    names = staged(names.join(known, "digest", "left").select("digest", "signature", F.coalesce("label", "digest").alias("label")))
+    tags = names.select("digest", "label")
+    rows = names.select("digest", "signature").mapInArrow(_paths(FIRST_LEVEL, runs_needed(recall), FIRST_RUNS), "digest bigint, bucket bigint")
+    edges = known.select(F.col("digest").alias("a"), F.col("label").alias("b")).where("a <> b")
     for level in range(FIRST_LEVEL, LAST_LEVEL + 1):
-        # groups of one meet nothing and go; only the rest take a signature along
-        counts = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        rows = staged(rows.join(counts, "bucket").select("digest", "bucket", "n"))
+        # buckets of one class or one group have nothing to compare and go; only the rest take a signature along
+        rows = rows.join(tags, "digest") if "label" not in rows.columns else rows
+        counts = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
+        rows = staged(rows.join(counts.select("bucket", "n"), "bucket").select("digest", "label", "bucket", "n"))
         end = level == LAST_LEVEL
-        here = rows if end else rows.where(f"n <= {BUCKET}")
-        met = here.select("digest", "bucket", "n").join(names, "digest")
-        small = met.where(f"n <= {BUCKET}").select("bucket", "digest", "signature", F.lit(0).alias("side"))
-        if end:
-            many = met.where(f"n > {BUCKET}")
-            counts = many.groupBy("bucket").agg(F.max("n").alias("n"))
-            small = small.unionByName(in_blocks(many.select("bucket", "digest", "signature"), "bucket", counts, BUCKET))
+        met = (rows if end else rows.where(f"n <= {SPLIT_FROM}")).join(names.select("digest", "signature"), "digest")
+        small = in_blocks(met, "bucket", BUCKET)
         found = small.repartition("bucket").sortWithinPartitions("bucket", "digest").mapInArrow(_star, "a bigint, b bigint")
-        edges = found if edges is None else edges.unionByName(found)
-        if end or rows.where(f"n > {BUCKET}").limit(1).count() == 0:
-            return edges
-        rows = rows.where(f"n > {BUCKET}").select("digest", "bucket").join(names, "digest").select("digest", "signature", "bucket").mapInArrow(_paths(1, 0), "digest bigint, bucket bigint")
-    return edges
+        edges = edges.unionByName(found)
+        if end or rows.where(f"n > {SPLIT_FROM}").limit(1).count() == 0:
+            break
+        on = rows.where(f"n > {SPLIT_FROM}").select("digest", "bucket").join(names.select("digest", "signature"), "digest")
+        rows = on.select("digest", "signature", "bucket").mapInArrow(_paths(1, 0), "digest bigint, bucket bigint")
+    return components(_shorter(edges))
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
@@ -346,12 +373,12 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECAL
     alone = sketches.where("n_grams < 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(0).cast("long").alias("n_copies"))
     told = sketches.where("n_grams >= 0")
     reps = staged(told.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.max("n_grams").alias("n_grams"), F.max("signature").alias("signature")))
-    likely = components(staged(_large_split(reps, recall)))
+    likely = _likely(reps, recall)
     members = staged(likely.join(reps.select("digest", "rep", "weight", "n_grams"), "digest").select("label", "digest", "weight", "rep"))
     texts = rows.join(_few(members).withColumnRenamed("rep", "doc_id"), "doc_id").select("label", "digest", "weight", "text", "doc_id")
     sets = texts.drop("doc_id").mapInArrow(_sets, "label bigint, digest bigint, weight bigint, grams binary")
     counts = members.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-    dealt = in_blocks(sets, "label", counts)
+    dealt = in_blocks(sets.join(counts, "label"), "label")
     checked = staged(dealt.repartition("bucket").sortWithinPartitions("bucket", "digest").mapInArrow(_verified(threshold), "a bigint, b bigint, links bigint"))
     links = checked.groupBy("a").agg(F.sum("links").alias("links"))
     joined = components(checked.where("a <> b"))
