@@ -42,7 +42,8 @@ def read_or(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def prepared(scanned: DataFrame, book: RuleBook, servers: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Normalized rows with `table`, and rejected lines; scanned: file, offset, line, src, game."""
     good, rejected = parse.sorted_out(scanned)
-    rows = normalize.timed(normalize.normalized(good, book, ("src", "hash", "file", "offset", "game")), servers)
+    # stored once: rejected lines, dimensions and facts are all read from it, and filters aren't pushed into the rules
+    rows = workspace.stored(normalize.timed(normalize.normalized(workspace.stored(good), book, ("src", "hash", "file", "offset", "game")), servers))
     rows = rows.withColumn("table", registry.table_name(F.col("base_table"), F.col("game")))
     late = rows.where("cause is not null").select("file", "offset", F.lit(None).cast("string").alias("line"), "src", "game", "cause")
     rows = rows.where("cause is null").drop("cause")
@@ -61,7 +62,6 @@ def load(scanned: DataFrame, star: Star, book: RuleBook, servers: DataFrame, spe
     if strict and rejected.limit(1).count():
         raise ValueError("lines were rejected")
     rejected.write.mode("append").parquet(star.rejected)
-    rows = workspace.stored(rows)
     known = read_or(spark, star.facts, "hash string")
     kept = workspace.stored(tables.not_known(tables.first_of_hash(rows), known))
     typed = typed_rows(kept, fields)

@@ -117,7 +117,7 @@ def field_drift(spark, sf_dir):
     return tables.field_drift(records(spark, sf_dir), declared)
 
 
-@query("last_update", "select l_orderkey as game_key, l_suppkey % 3 as part, arg_max(l_partkey, l_linenumber * 1000000000 + l_partkey) as ntv from lineitem group by 1, 2")
+@query("last_update", "select l_orderkey as game_key, l_suppkey % 3 as part, arg_max(l_partkey, cast(l_linenumber as bigint) * 1000000000 + l_partkey) as ntv from lineitem group by 1, 2")
 def last_update(spark, sf_dir):
     rows = fixtures.table(spark, sf_dir, "lineitem").select(c("l_orderkey").alias("game_key"), (c("l_suppkey") % 3).alias("part"), c("l_partkey").alias("ntv"), (c("l_linenumber").cast("long") * 1000000000 + c("l_partkey")).alias("at"))
     return tables.last_updates(rows, ["game_key", "part"], "ntv", "at")

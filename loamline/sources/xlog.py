@@ -3,13 +3,15 @@
 Options: path (files, folders or globs, comma-separated; braces are expanded), splitBytes, offsets (JSON of file to the
 start of its last loaded line; that line is passed over), maxBytesPerTrigger for streams, strict ("false" ignores shrunken files).
 A last line without its end is held back. Missing files are skipped; an offset beyond a file's end is an error.
-Files are read through Arrow's file systems, so a path may be local or in an object store that Arrow knows.
+Paths are of a shared file system, or addresses in a store that Arrow's file systems know.
 """
 
 from __future__ import annotations
 
 import fnmatch
+import glob
 import json
+import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,32 +34,50 @@ def expand_braces(pattern: str) -> list[str]:
     return list(dict.fromkeys(out))
 
 
-def _filesystem(path: str):
+def _remote(path: str) -> bool:
+    return "://" in path and not path.startswith("file:")
+
+
+def _local(path: str) -> str:
+    return re.sub(r"^file:/+", "/", path)
+
+
+def opened(path: str):
+    """A seekable file: local ones by the system itself, others by Arrow's file systems, loaded only then."""
+    if not _remote(path):
+        return open(_local(path), "rb")  # noqa: SIM115
     from pyarrow import fs
 
-    if "://" in path or path.startswith("file:"):
-        found, inner = fs.FileSystem.from_uri(re.sub(r"[*?\[].*", "", path) or path)
-        root = re.sub(r"^(\w+:/*[^/]*?)(/|$).*", r"\1", path)
-        return found, inner + path[len(re.sub(r"[*?\[].*", "", path)) :], root
-    return fs.LocalFileSystem(), path, ""
+    system, inner = fs.FileSystem.from_uri(path)
+    return system.open_input_file(inner)
 
 
 def listed(pattern: str) -> dict[str, int]:
     """Files by path, with their sizes."""
-    from pyarrow import fs
-
     out: dict[str, int] = {}
     for one in expand_braces(pattern):
-        system, path, _ = _filesystem(one)
-        if re.search(r"[*?\[]", path):
-            top = re.sub(r"/[^/]*[*?\[].*", "", path) or "/"
-            infos = system.get_file_info(fs.FileSelector(top, allow_not_found=True, recursive=True))
-            infos = [i for i in infos if fnmatch.fnmatchcase(i.path, path) and i.path.count("/") == path.count("/")]
-        else:
-            info = system.get_file_info(path)
-            infos = system.get_file_info(fs.FileSelector(path, recursive=True)) if info.type == fs.FileType.Directory else [info]
-        out |= {i.path: i.size for i in infos if i.type == fs.FileType.File and not i.path.rsplit("/", 1)[-1].startswith((".", "_"))}
-    return dict(sorted(out.items()))
+        out |= _listed_remote(one) if _remote(one) else _listed_local(_local(one))
+    return {k: v for k, v in sorted(out.items()) if not k.rsplit("/", 1)[-1].startswith((".", "_"))}
+
+
+def _listed_local(path: str) -> dict[str, int]:
+    found = glob.glob(path) if re.search(r"[*?\[]", path) else [path]
+    files = [f for p in found for f in ([p] if os.path.isfile(p) else [os.path.join(d, n) for d, _, names in os.walk(p) for n in names])]
+    return {f: os.path.getsize(f) for f in files}
+
+
+def _listed_remote(path: str) -> dict[str, int]:
+    from pyarrow import fs
+
+    top = re.sub(r"/[^/]*[*?\[].*", "", path)
+    system, inner = fs.FileSystem.from_uri(top)
+    prefix = top.removesuffix(inner)
+    info = system.get_file_info(inner)
+    if info.type == fs.FileType.File:
+        return {prefix + info.path: info.size}
+    infos = system.get_file_info(fs.FileSelector(inner, allow_not_found=True, recursive=True))
+    files = {prefix + i.path: i.size for i in infos if i.type == fs.FileType.File}
+    return {k: v for k, v in files.items() if top == path or fnmatch.fnmatchcase(k, path) and k.count("/") == path.count("/")}
 
 
 @dataclass
@@ -74,10 +94,9 @@ class Range(InputPartition):
         return hash((self.file, self.start))
 
 
-def read_range(part: Range, pattern: str) -> Iterator[pa.RecordBatch]:
-    system, _, _ = _filesystem(expand_braces(pattern)[0])
+def read_range(part: Range) -> Iterator[pa.RecordBatch]:
     try:
-        stream = system.open_input_file(part.file)
+        stream = opened(part.file)
     except FileNotFoundError:
         return
     with stream:
@@ -151,7 +170,7 @@ class XlogReader(DataSourceReader):
         return out or [Range("", 0, 0, 0)]
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
-        return read_range(partition, self.path) if partition.file else iter(())
+        return read_range(partition) if partition.file else iter(())
 
 
 class XlogStreamReader(DataSourceStreamReader):
@@ -171,7 +190,7 @@ class XlogStreamReader(DataSourceStreamReader):
             start = out.get(file, 0)
             if size <= start or room is not None and room <= 0:
                 continue
-            end = whole_lines_end(self.path, file, start, size, room)
+            end = whole_lines_end(file, start, size, room)
             if end > start:
                 out[file] = end
                 room = None if room is None else room - (end - start)
@@ -186,16 +205,15 @@ class XlogStreamReader(DataSourceStreamReader):
         return out or [Range("", 0, 0, 0)]
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
-        return read_range(partition, self.path) if partition.file else iter(())
+        return read_range(partition) if partition.file else iter(())
 
     def commit(self, end: dict) -> None:
         pass
 
 
-def whole_lines_end(pattern: str, file: str, start: int, size: int, room: int | None) -> int:
+def whole_lines_end(file: str, start: int, size: int, room: int | None) -> int:
     """The end of the last whole line in [start, size), or of the first lines that fill `room` bytes."""
-    system, _, _ = _filesystem(expand_braces(pattern)[0])
-    with system.open_input_file(file) as stream:
+    with opened(file) as stream:
         if room is not None and start + room < size:
             return _line_end_or(stream, start + room - 1, size, start)
         at = size
