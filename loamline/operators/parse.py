@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamline.functions.text import trim_all, trim_right
+from loamline.functions.text import let, trim_all, trim_right
 
 #: Fixed value: a key up to `=`, a value up to the first unpaired `:`.
 PAIR = r"([^=]*)=([^:]*+(?:::[^:]*+)*+)(?::|\z)"
@@ -28,11 +28,18 @@ def line_hash(src: Column, line: Column) -> Column:
 
 def fields_of(line: Column) -> Column:
     """A map of the pairs; of a repeated key the last value holds."""
-    text = trim_all(line)
-    keys = F.transform(F.regexp_extract_all(text, F.lit(PAIR), F.lit(1)), trim_all)
-    values = F.transform(F.regexp_extract_all(text, F.lit(PAIR), F.lit(2)), lambda v: F.replace(v, F.lit("::"), F.lit(":")))
-    last = F.filter(F.arrays_zip(keys.alias("key"), values.alias("value")), lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"]))
-    return F.map_from_entries(last)
+
+    def pairs(text: Column) -> Column:
+        keys = F.transform(F.regexp_extract_all(text, F.lit(PAIR), F.lit(1)), trim_all)
+        values = F.transform(F.regexp_extract_all(text, F.lit(PAIR), F.lit(2)), lambda v: F.replace(v, F.lit("::"), F.lit(":")))
+        return F.struct(keys.alias("keys"), values.alias("values"))
+
+    def latest(p: Column) -> Column:
+        keys, all_pairs = p["keys"], F.arrays_zip(p["keys"], p["values"])
+        last = F.filter(all_pairs, lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), F.get(keys, i)))
+        return F.map_from_entries(F.when(F.size(F.array_distinct(keys)) == F.size(keys), all_pairs).otherwise(last))
+
+    return let(let(trim_all(line), pairs), latest)
 
 
 def parsed(lines: DataFrame, line: str = "line", src: str = "src") -> DataFrame:
