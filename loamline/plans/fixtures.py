@@ -27,29 +27,29 @@ t as (
     case i % 4 when 0 then '1' when 1 then '0' when 2 then 'f' else '' end as tiles
   from b)
 select i, src,
-  'v=' || v || ':vlong=' || v || '-' || cast(i % 500 as string) || '-gabc123:name=Cust_' || cast(k as string)
-  || ':race=' || race || ':cls=' || cls || ':char=XxYy:tiles=' || tiles
-  || ':place=D::' || cast(i % 15 + 1 as string) || ':start=' || ymd || '120000' || z || ':end=' || ymd || '130000' || z
-  || ':gold=' || cast(i % 7 - 1 as string) || ':goldfound=' || cast(i % 50 as string) || ':goldspent=' || cast(i % 11 as string)
-  || ':sc=' || cast(cast(floor(p) as bigint) as string) || ':ktyp=mon:killer=' || killer || ':kaux=' || kaux
-  || case when i % 97 = 0 then ':junk' else '' end as line
+  concat_ws('', 'v=', v, ':vlong=', v, '-', cast(i % 500 as string), '-gabc123:name=Cust_', cast(k as string),
+    ':race=', race, ':cls=', cls, ':char=XxYy:tiles=', tiles,
+    ':place=D::', cast(i % 15 + 1 as string), ':start=', ymd, '120000', z, ':end=', ymd, '130000', z,
+    ':gold=', cast(i % 7 - 1 as string), ':goldfound=', cast(i % 50 as string), ':goldspent=', cast(i % 11 as string),
+    ':sc=', cast(cast(floor(p) as bigint) as string), ':ktyp=mon:killer=', killer, ':kaux=', kaux,
+    case when i % 97 = 0 then ':junk' else '' end) as line
 from t
 """
 
 MILESTONE = """
 select event_id as i, 'cszo' as src,
-  'v=0.16-a0:name=user_' || cast(user_id as string)
-  || ':start=' || cast(year(ts) as string) || lpad(cast(month(ts) - 1 as string), 2, '0') || lpad(cast(day(ts) as string), 2, '0') || '000000S'
-  || ':time=' || cast(year(ts) as string) || lpad(cast(month(ts) - 1 as string), 2, '0') || lpad(cast(day(ts) as string), 2, '0')
-  || lpad(cast(hour(ts) as string), 2, '0') || lpad(cast(minute(ts) as string), 2, '0') || lpad(cast(second(ts) as string), 2, '0') || 'S'
-  || ':place=Snake::' || cast(event_id % 5 + 1 as string) || ':god=okawaru:props=' || replace(props, ':', '::')
-  || ':type=' || case event_type when 'click' then 'unique' when 'view' then 'br.enter' when 'purchase' then 'god.worship' when 'signup' then 'rune' else 'ghost' end
-  || ':milestone=' || case event_type
+  concat_ws('', 'v=0.16-a0:name=user_', cast(user_id as string),
+    ':start=', cast(year(ts) as string), lpad(cast(month(ts) - 1 as string), 2, '0'), lpad(cast(day(ts) as string), 2, '0'), '000000S',
+    ':time=', cast(year(ts) as string), lpad(cast(month(ts) - 1 as string), 2, '0'), lpad(cast(day(ts) as string), 2, '0'),
+    lpad(cast(hour(ts) as string), 2, '0'), lpad(cast(minute(ts) as string), 2, '0'), lpad(cast(second(ts) as string), 2, '0'), 'S',
+    ':place=Snake::', cast(event_id % 5 + 1 as string), ':god=okawaru:props=', replace(props, ':', '::'),
+    ':type=', case event_type when 'click' then 'unique' when 'view' then 'br.enter' when 'purchase' then 'god.worship' when 'signup' then 'rune' else 'ghost' end,
+    ':milestone=', case event_type
        when 'click' then (case event_id % 3 when 0 then 'pacified Sigmund.' when 1 then 'slimified Maurice.' else 'killed Grum.' end)
        when 'view' then 'entered the Snake Pit.'
        when 'purchase' then 'became a worshipper of Okawaru.'
        when 'signup' then 'found a serpentine rune of Zot.'
-       else 'banished the ghost of user_' || cast(user_id as string) || ' the Ruffian.' end as line
+       else 'banished the ghost of user_' || cast(user_id as string) || ' the Ruffian.' end) as line
 from {events}
 """
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamline.functions import clock, filename, killer, text, version
@@ -23,7 +23,9 @@ def records(spark: SparkSession, sf_dir: str, which: str = fixtures.LOG) -> Data
     return parse.parsed(lines.where(parse.potential(F.col("line")) & ~parse.malformed(F.col("line"))))
 
 
-f = F.col("fields")
+def fields() -> Column:
+    return F.col("fields")
+
 
 # -- scans ---------------------------------------------------------------------------------------------------------
 
@@ -88,7 +90,7 @@ def scan_missing_shrunk(spark, sf_dir):
 
 @query("parse_xlog", GOOD.format("select i, 'Cust_' || k as name, 'D:' || (i % 15 + 1) as place, killer, kaux, cast(cast(floor(p) as bigint) as varchar) as sc, race, cast(17 as bigint) as n_keys from t"))
 def parse_xlog(spark, sf_dir):
-    return records(spark, sf_dir).select("i", f["name"].alias("name"), f["place"].alias("place"), f["killer"].alias("killer"), f["kaux"].alias("kaux"), f["sc"].alias("sc"), f["race"].alias("race"), F.size("fields").cast("long").alias("n_keys"))
+    return records(spark, sf_dir).select("i", fields()["name"].alias("name"), fields()["place"].alias("place"), fields()["killer"].alias("killer"), fields()["kaux"].alias("kaux"), fields()["sc"].alias("sc"), fields()["race"].alias("race"), F.size("fields").cast("long").alias("n_keys"))
 
 
 @query("line_hash", f"select i, sha256(src || ': ' || line) as hash from ({fixtures.in_sql(fixtures.LOG)}) where i % 97 <> 0")
@@ -98,7 +100,7 @@ def line_hash(spark, sf_dir):
 
 @query("encode_xlog", GOOD.format("select i, 'char=XxYy:cls=' || cls || ':end=' || ymd || '130000' || z || ':gold=' || (i % 7 - 1) || ':goldfound=' || (i % 50) || ':goldspent=' || (i % 11) || ':kaux=' || kaux || ':killer=' || killer || ':ktyp=mon:name=Cust_' || k || ':place=D::' || (i % 15 + 1) || ':race=' || race || ':sc=' || cast(floor(p) as bigint) || ':start=' || ymd || '120000' || z || ':tiles=' || tiles || ':v=' || v || ':vlong=' || v || '-' || (i % 500) || '-gabc123' as line from t"))
 def encode_xlog(spark, sf_dir):
-    return records(spark, sf_dir).select("i", parse.encoded(f).alias("line"))
+    return records(spark, sf_dir).select("i", parse.encoded(fields()).alias("line"))
 
 
 @query("filter_malformed", f"select i, line from ({fixtures.in_sql(fixtures.LOG)}) where i % 97 = 0")
@@ -120,19 +122,19 @@ PARTS = "select event_id as i, 'x' as src, 'name=' || case when event_id % 5 = 0
 @query("filter_valid", "select event_id as i from events where event_id % 5 <> 0 and event_id % 3 <> 0 and event_id % 4 < 2")
 def filter_valid(spark, sf_dir):
     rows = parse.parsed(spark.sql(PARTS, events=fixtures.table(spark, sf_dir, "events")))
-    return rows.where(parse.valid(f)).select("i")
+    return rows.where(parse.valid(fields())).select("i")
 
 
 @query("record_kind", "select base_table, count(*) as n from (select 'milestone' as base_table from events union all (" + GOOD.format("select 'logrecord' as base_table from t") + ")) group by 1")
 def record_kind(spark, sf_dir):
     both = records(spark, sf_dir).select("fields").unionByName(records(spark, sf_dir, fixtures.MILESTONE).select("fields"))
-    return both.groupBy(parse.record_kind(f).alias("base_table")).agg(F.count(F.lit(1)).alias("n"))
+    return both.groupBy(parse.record_kind(fields()).alias("base_table")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("record_metadata", GOOD.format("select i, src, src || '/meta/git/logfile' || case when i % 4 = 0 then '-sprint' else '' end as file, case when i % 4 = 0 then 'spr_logrecord' else 'logrecord' end as \"table\", 'logrecord' as base_table from t"))
 def record_metadata(spark, sf_dir):
     rows = records(spark, sf_dir).withColumn("file", F.concat("src", F.lit("/meta/git/logfile"), F.when(F.col("i") % 4 == 0, F.lit("-sprint")).otherwise(F.lit(""))))
-    base = parse.record_kind(f)
+    base = parse.record_kind(fields())
     return rows.select("i", "src", "file", registry.table_name(base, filename.game(F.col("file"), registry.GAMES)).alias("table"), base.alias("base_table"))
 
 
@@ -142,46 +144,56 @@ LOGS = fixtures.LOG.split("select i, src,\n")[0].strip() + "\nselect * from t"
 OC = ("orders", "customer")
 c = F.col
 
-columns("norm_bool", LOGS, {"tiles": text.norm_bool(c("tiles"))}, "tiles not in ('', '0', 'f') as tiles", OC)
-columns("first_not_empty", LOGS, {"kaux": text.first_not_empty(c("kaux"), c("tiles"), c("cls"))}, "case when kaux <> '' then kaux when tiles <> '' then tiles else cls end as kaux", OC)
+columns("norm_bool", LOGS, lambda: {"tiles": text.norm_bool(c("tiles"))}, "tiles not in ('', '0', 'f') as tiles", OC)
+columns("first_not_empty", LOGS, lambda: {"kaux": text.first_not_empty(c("kaux"), c("tiles"), c("cls"))}, "case when kaux <> '' then kaux when tiles <> '' then tiles else cls end as kaux", OC)
 NUMBERS = "select o_orderkey as i, case o_orderkey % 6 when 0 then cast(o_custkey as string) when 1 then '-' || cast(o_custkey as string) when 2 then ' 7 ' when 3 then '99999999999' when 4 then '' else '+' || cast(o_orderkey as string) end as x from {orders}"
-columns("parse_int", NUMBERS, {"x": text.parse_int(c("x"), -5)}, "cast(case i % 6 when 0 then try_cast(x as int) when 1 then try_cast(x as int) when 5 then try_cast(substr(x, 2) as int) else -5 end as int) as x", ("orders",))
-columns("sanitize_gold", "select o_orderkey as i, cast(o_orderkey % 7 - 1 as string) as a, cast(o_orderkey % 50 as string) as b, cast(o_orderkey % 11 as string) as c from {orders}", dict(zip(("gold", "found", "spent"), text.sanitized_gold(c("a"), c("b"), c("c")), strict=True)), "cast(case when i % 7 = 0 then 0 else i % 7 - 1 end as int) as gold, cast(case when i % 7 = 0 then 0 else i % 50 end as int) as found, cast(case when i % 7 = 0 then 0 else i % 11 end as int) as spent", ("orders",))
-columns("norm_space", "select p_partkey as i, '  ' || replace(p_name, ' ', '   ') || chr(9) || chr(10) || p_type || ' ' as x from {part}", {"x": text.norm_space(c("x"))}, r"trim(regexp_replace(x, '\s+', ' ', 'g')) as x", ("part",))
-columns("norm_value", LOGS, {"name": text.norm_value(F.concat(F.lit("Cust_"), c("k").cast("string")))}, "'Cust ' || k as name", OC)
-columns("norm_map", "select p_partkey as i, replace(p_type, ' ', ',') as x from {part}", {"x": text.norm_map(c("x"))}, "replace(x, ',', ';') as x", ("part",))
-columns("game_key", LOGS, {"game_key": text.game_key(F.concat(F.lit("Cust_"), c("k").cast("string")), c("src"), F.concat("ymd", F.lit("120000"), "z"))}, "'Cust_' || k || ':' || src || ':' || ymd || '120000' || z as game_key", OC)
-columns("version_full", LOGS, {"v": version.full(c("v"))}, "'0.' || (i % 25) || case i % 4 when 0 then '.0' when 1 then '.0-a0' when 2 then '.0-rc1' else '.3' end as v", OC)
-columns("version_major", LOGS, {"v": version.major(c("v")), "cv": version.canonical(c("v"))}, "'0.' || (i % 25) as v, '0.' || (i % 25) || case when i % 4 in (1, 2) then '-a' else '' end as cv", OC)
-columns("version_alpha", LOGS, {"alpha": version.is_alpha(c("v"))}, "i % 4 in (1, 2) as alpha", OC)
-columns("version_num", LOGS, {"num": version.number(c("v"))}, "(i % 25) * 100000000000 + case i % 4 when 0 then 99000000 when 1 then 1000000 when 2 then 18010000 else 399000000 end as num", OC)
-columns("version_strip_vcs", "select o_orderkey as i, case o_orderkey % 3 when 0 then 'Git:::' when 1 then 'svn:' else '' end || '0.' || cast(o_orderkey % 25 as string) as x from {orders}", {"x": version.strip_vcs(c("x"))}, "'0.' || (i % 25) as x", ("orders",))
-columns("version_expand", "select o_orderkey as i, lpad(cast(o_orderkey % 99 + 1 as string), 2, '0') as x from {orders}", {"x": version.expand_key(c("x"))}, "'0.' || (i % 99 + 1) as x", ("orders",))
+columns("parse_int", NUMBERS, lambda: {"x": text.parse_int(c("x"), -5)}, "cast(case i % 6 when 0 then try_cast(x as int) when 1 then try_cast(x as int) when 5 then try_cast(substr(x, 2) as int) else -5 end as int) as x", ("orders",))
+columns("sanitize_gold", "select o_orderkey as i, cast(o_orderkey % 7 - 1 as string) as a, cast(o_orderkey % 50 as string) as b, cast(o_orderkey % 11 as string) as c from {orders}", lambda: dict(zip(("gold", "found", "spent"), text.sanitized_gold(c("a"), c("b"), c("c")), strict=True)), "cast(case when i % 7 = 0 then 0 else i % 7 - 1 end as int) as gold, cast(case when i % 7 = 0 then 0 else i % 50 end as int) as found, cast(case when i % 7 = 0 then 0 else i % 11 end as int) as spent", ("orders",))
+columns("norm_space", "select p_partkey as i, '  ' || replace(p_name, ' ', '   ') || chr(9) || chr(10) || p_type || ' ' as x from {part}", lambda: {"x": text.norm_space(c("x"))}, r"trim(regexp_replace(x, '\s+', ' ', 'g')) as x", ("part",))
+columns("norm_value", LOGS, lambda: {"name": text.norm_value(F.concat(F.lit("Cust_"), c("k").cast("string")))}, "'Cust ' || k as name", OC)
+columns("norm_map", "select p_partkey as i, replace(p_type, ' ', ',') as x from {part}", lambda: {"x": text.norm_map(c("x"))}, "replace(x, ',', ';') as x", ("part",))
+columns("game_key", LOGS, lambda: {"game_key": text.game_key(F.concat(F.lit("Cust_"), c("k").cast("string")), c("src"), F.concat("ymd", F.lit("120000"), "z"))}, "'Cust_' || k || ':' || src || ':' || ymd || '120000' || z as game_key", OC)
+columns("version_full", LOGS, lambda: {"v": version.full(c("v"))}, "'0.' || (i % 25) || case i % 4 when 0 then '.0' when 1 then '.0-a0' when 2 then '.0-rc1' else '.3' end as v", OC)
+columns("version_major", LOGS, lambda: {"v": version.major(c("v")), "cv": version.canonical(c("v"))}, "'0.' || (i % 25) as v, '0.' || (i % 25) || case when i % 4 in (1, 2) then '-a' else '' end as cv", OC)
+columns("version_alpha", LOGS, lambda: {"alpha": version.is_alpha(c("v"))}, "i % 4 in (1, 2) as alpha", OC)
+columns("version_num", LOGS, lambda: {"num": version.number(c("v"))}, "(i % 25) * 100000000000 + case i % 4 when 0 then 99000000 when 1 then 1000000 when 2 then 18010000 else 399000000 end as num", OC)
+columns("version_strip_vcs", "select o_orderkey as i, case o_orderkey % 3 when 0 then 'Git:::' when 1 then 'svn:' else '' end || '0.' || cast(o_orderkey % 25 as string) as x from {orders}", lambda: {"x": version.strip_vcs(c("x"))}, "'0.' || (i % 25) as x", ("orders",))
+columns("version_expand", "select o_orderkey as i, lpad(cast(o_orderkey % 99 + 1 as string), 2, '0') as x from {orders}", lambda: {"x": version.expand_key(c("x"))}, "'0.' || (i % 99 + 1) as x", ("orders",))
 DAY = "substr(ymd, 1, 4) || '-' || lpad(cast(cast(substr(ymd, 5, 2) as int) + 1 as varchar), 2, '0') || '-' || substr(ymd, 7, 2)"
-RAW = F.concat("ymd", F.lit("120000"), "z")
-columns("time_raw", LOGS, {"digits": clock.raw_digits(RAW), "summer": clock.daylight(RAW)}, f"replace({DAY}, '-', '') || '120000' as digits, i % 2 = 1 as summer", OC)
+
+
+def raw_start() -> Column:
+    return F.concat("ymd", F.lit("120000"), "z")
+
+
+columns("time_raw", LOGS, lambda: {"digits": clock.raw_digits(raw_start()), "summer": clock.daylight(raw_start())}, f"replace({DAY}, '-', '') || '120000' as digits, i % 2 = 1 as summer", OC)
 
 
 @query("time_utc", LOG_T + f" select i, strftime(cast({DAY} || ' 12:00:00' as timestamp) + to_hours(case when src = 'cao' then 5 - i % 2 when src = 'cdo' then -1 - i % 2 else 0 end), '%Y-%m-%d %H:%M:%S') as start from t")
 def time_utc(spark, sf_dir):
     rows = spark.sql(LOGS, orders=fixtures.table(spark, sf_dir, "orders"), customer=fixtures.table(spark, sf_dir, "customer"))
-    rows = rows.select("i", "src", RAW.alias("start"), RAW.alias("end"), F.lit("").alias("time"))
+    rows = rows.select("i", "src", raw_start().alias("start"), raw_start().alias("end"), F.lit("").alias("time"))
     return normalize.timed(rows, fixtures.servers(spark)).select("i", clock.shown(c("start")).alias("start"))
 
 
-columns("server_zones", "select s_suppkey as i, case s_suppkey % 4 when 0 then '-0' || cast(s_suppkey % 9 as string) || '30' when 1 then '+0' || cast(s_suppkey % 9 as string) || ':00' when 2 then 'Z' else 'bad' end as zone from {supplier}", {"seconds": clock.zone_offset(c("zone")), "epoch": clock.shown(clock.epoch_moment(F.concat(F.lit("200808070330"), F.when(c("zone") == "bad", F.lit("")).otherwise(c("zone")))))},
+columns("server_zones", "select s_suppkey as i, case s_suppkey % 4 when 0 then '-0' || cast(s_suppkey % 9 as string) || '30' when 1 then '+0' || cast(s_suppkey % 9 as string) || ':00' when 2 then 'Z' else 'bad' end as zone from {supplier}", lambda: {"seconds": clock.zone_offset(c("zone")), "epoch": clock.shown(clock.epoch_moment(F.concat(F.lit("200808070330"), F.when(c("zone") == "bad", F.lit("")).otherwise(c("zone")))))},
         "cast(case i % 4 when 0 then -(i % 9) * 3600 - 1800 when 1 then (i % 9) * 3600 when 2 then 0 end as int) as seconds, strftime(timestamp '2008-08-07 03:30:00' - to_seconds(coalesce(case i % 4 when 0 then -(i % 9) * 3600 - 1800 when 1 then (i % 9) * 3600 when 2 then 0 end, 0)), '%Y-%m-%d %H:%M:%S') as epoch", ("supplier",))
-columns("norm_god", "select event_id as i, case event_id % 3 when 0 then 'okawaru' when 1 then 'OKAWARU' else 'Trog' end as god from {events}", {"god": text.mapped(c("god"), BOOK.gods, fold=True)}, "case when i % 3 < 2 then 'Okawaru' else 'Trog' end as god", ("events",))
-columns("norm_place", "select event_id as i, case event_id % 5 when 0 then 'shoal:' || cast(event_id % 5 + 1 as string) when 1 then 'V:3' when 2 then 'ICE' when 3 then 'Labyrinth' else 'D:' || cast(event_id % 7 as string) end as place from {events}", {"place": text.norm_place(c("place"), BOOK.places)}, "case i % 5 when 0 then 'Shoals:1' when 1 then 'Vaults:3' when 2 then 'IceCv' when 3 then 'Lab' else 'D:' || (i % 7) end as place", ("events",))
-columns("strip_depth", "select event_id as i, 'Snake:' || cast(event_id as string) || '; D:' || cast(event_id % 9 as string) as place from {events}", {"place": text.strip_depth(c("place"))}, "'Snake; D' as place", ("events",))
-columns("norm_char", LOGS, {"char": text.norm_char(c("race"), c("cls"), F.lit("XxYy"), BOOK.species, BOOK.jobs)}, "case when i % 5 = 4 or i % 4 = 3 then 'XxYy' else case i % 5 when 0 then 'Dr' when 1 then 'Gh' when 2 then 'Gn' else 'Na' end || case i % 4 when 0 then 'Fi' when 1 then 'Wz' else 'Sk' end end as char", OC)
-columns("add_article", "select p_partkey as i, case p_partkey % 6 when 0 then 'apple' when 1 then 'pear' when 2 then 'a yak' when 3 then 'Grum' when 4 then 'Bob' || chr(39) || 's ghost' else 'miscasting a spell' end as x from {part}", {"x": text.add_article(c("x"), BOOK.names.special)}, "case i % 6 when 0 then 'an apple' when 1 then 'a pear' else x end as x", ("part",))
+columns("norm_god", "select event_id as i, case event_id % 3 when 0 then 'okawaru' when 1 then 'OKAWARU' else 'Trog' end as god from {events}", lambda: {"god": text.mapped(c("god"), BOOK.gods, fold=True)}, "case when i % 3 < 2 then 'Okawaru' else 'Trog' end as god", ("events",))
+columns("norm_place", "select event_id as i, case event_id % 5 when 0 then 'shoal:' || cast(event_id % 5 + 1 as string) when 1 then 'V:3' when 2 then 'ICE' when 3 then 'Labyrinth' else 'D:' || cast(event_id % 7 as string) end as place from {events}", lambda: {"place": text.norm_place(c("place"), BOOK.places)}, "case i % 5 when 0 then 'Shoals:1' when 1 then 'Vaults:3' when 2 then 'IceCv' when 3 then 'Lab' else 'D:' || (i % 7) end as place", ("events",))
+columns("strip_depth", "select event_id as i, 'Snake:' || cast(event_id as string) || '; D:' || cast(event_id % 9 as string) as place from {events}", lambda: {"place": text.strip_depth(c("place"))}, "'Snake; D' as place", ("events",))
+columns("norm_char", LOGS, lambda: {"char": text.norm_char(c("race"), c("cls"), F.lit("XxYy"), BOOK.species, BOOK.jobs)}, "case when i % 5 = 4 or i % 4 = 3 then 'XxYy' else case i % 5 when 0 then 'Dr' when 1 then 'Gh' when 2 then 'Gn' else 'Na' end || case i % 4 when 0 then 'Fi' when 1 then 'Wz' else 'Sk' end end as char", OC)
+columns("add_article", "select p_partkey as i, case p_partkey % 6 when 0 then 'apple' when 1 then 'pear' when 2 then 'a yak' when 3 then 'Grum' when 4 then 'Bob' || chr(39) || 's ghost' else 'miscasting a spell' end as x from {part}", lambda: {"x": text.add_article(c("x"), BOOK.names.special)}, "case i % 6 when 0 then 'an apple' when 1 then 'a pear' else x end as x", ("part",))
 KILLER = "case i % 8 when 0 then 'a hydra' when 1 then 'a player ghost' when 2 then 'a draconian shifter' when 3 then 'a shapeshifter' when 4 then 'a very ugly thing' when 5 then 'an orc' when 6 then 'Grum' else 'a bat skeleton' end"
-CV = version.canonical(c("v"))
-columns("norm_killer", LOGS, {"ckiller": killer.rewritten(c("killer"))}, "case i % 8 when 5 then 'Bogdan the orc' else " + KILLER + " end as ckiller", OC)
-columns("norm_unique", LOGS, {"ckiller": killer.canonical(CV, c("killer"), c("killer"), F.lit(""), BOOK.names)}, KILLER + " as ckiller", OC)
-columns("norm_kmod", LOGS, {"kmod": killer.modifier(c("killer"))}, "case i % 8 when 3 then 'shapeshifter' when 7 then 'skeleton' else '' end as kmod", OC)
-columns("norm_kaux", LOGS, {"ckaux": killer.weapon(c("kaux"))}, "case i % 5 when 0 then 'sling' when 1 then 'dart' when 2 then 'crossbow' when 3 then 'dagger' else '' end as ckaux", OC)
+
+
+def canonical_version() -> Column:
+    return version.canonical(c("v"))
+
+
+columns("norm_killer", LOGS, lambda: {"ckiller": killer.rewritten(c("killer"))}, "case i % 8 when 5 then 'Bogdan the orc' else " + KILLER + " end as ckiller", OC)
+columns("norm_unique", LOGS, lambda: {"ckiller": killer.canonical(canonical_version(), c("killer"), c("killer"), F.lit(""), BOOK.names)}, KILLER + " as ckiller", OC)
+columns("norm_kmod", LOGS, lambda: {"kmod": killer.modifier(c("killer"))}, "case i % 8 when 3 then 'shapeshifter' when 7 then 'skeleton' else '' end as kmod", OC)
+columns("norm_kaux", LOGS, lambda: {"ckaux": killer.weapon(c("kaux"))}, "case i % 5 when 0 then 'sling' when 1 then 'dart' when 2 then 'crossbow' when 3 then 'dagger' else '' end as ckaux", OC)
 NOUN = "case event_type when 'click' then (case event_id % 3 when 0 then 'Sigmund' when 1 then 'Maurice' else 'Grum' end) when 'view' then 'Snake' when 'purchase' then 'Okawaru' when 'signup' then 'serpentine' else 'user_' || user_id end"
 VERB = "case event_type when 'click' then 'uniq' || (case event_id % 3 when 0 then '.pac' when 1 then '.slime' else '' end) when 'view' then 'br.enter' when 'purchase' then 'god.worship' when 'signup' then 'rune' else 'ghost.ban' end"
 
@@ -189,19 +201,24 @@ VERB = "case event_type when 'click' then 'uniq' || (case event_id % 3 when 0 th
 @query("milestone_noun", f"select event_id as i, {NOUN} as noun from events")
 def milestone_noun(spark, sf_dir):
     rows = records(spark, sf_dir, fixtures.MILESTONE)
-    verb = text.mapped(f["type"], BOOK.names.verbs)
-    return rows.select("i", killer.milestone_noun(verb, f["milestone"], f["place"], F.lit(""), f["god"]).alias("noun"))
+    verb = text.mapped(fields()["type"], BOOK.names.verbs)
+    return rows.select("i", killer.milestone_noun(verb, fields()["milestone"], fields()["place"], F.lit(""), fields()["god"]).alias("noun"))
 
 
 @query("milestone_verb", f"select event_id as i, {VERB} as verb from events")
 def milestone_verb(spark, sf_dir):
     rows = records(spark, sf_dir, fixtures.MILESTONE)
-    return rows.select("i", killer.milestone_verb(text.mapped(f["type"], BOOK.names.verbs), f["milestone"]).alias("verb"))
+    return rows.select("i", killer.milestone_verb(text.mapped(fields()["type"], BOOK.names.verbs), fields()["milestone"]).alias("verb"))
 
 
 BANISHED = "select event_id as i, case event_id % 4 when 0 then 'orc priest' when 1 then 'an ugly thing' when 2 then 'Grum' end as banisher from {events}"
-BANISHER = text.add_article(c("banisher"), BOOK.names.special)
-columns("norm_banisher", BANISHED, {"banisher": F.when(c("banisher").isNotNull(), BANISHER), "cbanisher": F.when(c("banisher").isNotNull(), killer.canonical(F.lit("0.16"), BANISHER, BANISHER, F.lit(""), BOOK.names))}, "case i % 4 when 0 then 'an orc priest' else banisher end as banisher, case i % 4 when 0 then 'an orc priest' else banisher end as cbanisher", ("events",))
+
+
+def banisher() -> Column:
+    return text.add_article(c("banisher"), BOOK.names.special)
+
+
+columns("norm_banisher", BANISHED, lambda: {"banisher": F.when(c("banisher").isNotNull(), banisher()), "cbanisher": F.when(c("banisher").isNotNull(), killer.canonical(F.lit("0.16"), banisher(), banisher(), F.lit(""), BOOK.names))}, "case i % 4 when 0 then 'an orc priest' else banisher end as banisher, case i % 4 when 0 then 'an orc priest' else banisher end as cbanisher", ("events",))
 
 
 @query("normalize_log", GOOD.format(f"select i, '0.' || (i % 25) || case when i % 4 in (1, 2) then '-a' else '' end as cv, {KILLER} as ckiller, case i % 8 when 3 then 'shapeshifter' when 7 then 'skeleton' else '' end as kmod, case i % 5 when 0 then 'sling' when 1 then 'dart' when 2 then 'crossbow' when 3 then 'dagger' else '' end as ckaux, 'Cust_' || k || ':' || src || ':' || ymd || '120000' || z as game_key, cast(case when i % 7 = 0 then 0 else i % 7 - 1 end as int) as gold, tiles not in ('', '0', 'f') as tiles, ymd || '130000' || z as rend, '0' as ntv from t"))
@@ -226,15 +243,25 @@ def multi_map(spark, sf_dir):
 # -- file names ----------------------------------------------------------------------------------------------------
 
 FILES = "select o_orderkey as i, case o_orderkey % 2 when 0 then 'logfile' else 'Milestones' end || case o_orderkey % 5 when 0 then '-git' when 1 then '-0.' || cast(o_orderkey % 25 as string) when 2 then cast(o_orderkey % 89 + 10 as string) when 3 then '-trunk' else '' end || case o_orderkey % 4 when 0 then '-sprint' when 1 then '-zd' when 2 then '' else '-old' end as name, 's' || cast(o_custkey as string) as server from {orders}"
-N = c("name")
-columns("file_kind", FILES, {"kind": filename.kind(N), "strict": filename.strict_kind(N)}, "case i % 2 when 0 then 'logfile' else 'milestone' end as kind, case i % 2 when 0 then 'logfile' else 'milestone' end as strict", ("orders",))
-columns("file_game", FILES, {"game": filename.game(N, registry.GAMES)}, "case i % 4 when 0 then 'sprint' when 1 then 'zotdef' else '' end as game", ("orders",))
+
+
+def file_name() -> Column:
+    return c("name")
+
+
+columns("file_kind", FILES, lambda: {"kind": filename.kind(file_name()), "strict": filename.strict_kind(file_name())}, "case i % 2 when 0 then 'logfile' else 'milestone' end as kind, case i % 2 when 0 then 'logfile' else 'milestone' end as strict", ("orders",))
+columns("file_game", FILES, lambda: {"game": filename.game(file_name(), registry.GAMES)}, "case i % 4 when 0 then 'sprint' when 1 then 'zotdef' else '' end as game", ("orders",))
 FVER = "case when i % 5 in (0, 3) then 'git' when i % 5 = 1 then '0.' || (i % 25) when i % 5 = 2 then '0.' || (i % 89 + 10) else 'any' end"
-columns("file_version", FILES, {"version": filename.version(N)}, f"{FVER} as version", ("orders",))
-columns("file_qualified_name", FILES, {"file": filename.qualified_name(c("server"), filename.strict_kind(N), filename.version(N), filename.game(N, registry.GAMES), F.when(c("i") % 4 == 3, F.lit("old")).otherwise(F.lit("")))}, f"'remote.' || server || '-' || case i % 2 when 0 then 'logfile' else 'milestone' end || '-' || {FVER} || case i % 4 when 0 then '-sprint' when 1 then '-zotdef' when 3 then '-old' else '' end as file", ("orders",))
+columns("file_version", FILES, lambda: {"version": filename.version(file_name())}, f"{FVER} as version", ("orders",))
+columns("file_qualified_name", FILES, lambda: {"file": filename.qualified_name(c("server"), filename.strict_kind(file_name()), filename.version(file_name()), filename.game(file_name(), registry.GAMES), F.when(c("i") % 4 == 3, F.lit("old")).otherwise(F.lit("")))}, f"'remote.' || server || '-' || case i % 2 when 0 then 'logfile' else 'milestone' end || '-' || {FVER} || case i % 4 when 0 then '-sprint' when 1 then '-zotdef' when 3 then '-old' else '' end as file", ("orders",))
 BASES = "select s_suppkey as i, 's' || cast(s_suppkey as string) as server, case s_suppkey % 2 when 0 then 'http://h.example.org/' else 'http://h.example.org/x' end as base, case s_suppkey % 3 when 0 then '/meta//logfile' when 1 then 'logfile' else 'http://o.example.net/a/logfile' end as path from {supplier}"
-URL = filename.url_join(c("base"), c("path"))
-columns("file_url_path", BASES, {"url": URL, "target": filename.target_path(c("server"), URL)}, "case i % 3 when 2 then path when 0 then case i % 2 when 0 then 'http://h.example.org/meta//logfile' else 'http://h.example.org/x/meta//logfile' end else case i % 2 when 0 then 'http://h.example.org/logfile' else 'http://h.example.org/x/logfile' end end as url, server || case i % 3 when 2 then '/a/logfile' when 0 then case i % 2 when 0 then '/meta/logfile' else '/x/meta/logfile' end else case i % 2 when 0 then '/logfile' else '/x/logfile' end end as target", ("supplier",))
+
+
+def joined_url() -> Column:
+    return filename.url_join(c("base"), c("path"))
+
+
+columns("file_url_path", BASES, lambda: {"url": joined_url(), "target": filename.target_path(c("server"), joined_url())}, "case i % 3 when 2 then path when 0 then case i % 2 when 0 then 'http://h.example.org/meta//logfile' else 'http://h.example.org/x/meta//logfile' end else case i % 2 when 0 then 'http://h.example.org/logfile' else 'http://h.example.org/x/logfile' end end as url, server || case i % 3 when 2 then '/a/logfile' when 0 then case i % 2 when 0 then '/meta/logfile' else '/x/meta/logfile' end else case i % 2 when 0 then '/logfile' else '/x/logfile' end end as target", ("supplier",))
 
 # -- sources -------------------------------------------------------------------------------------------------------
 
@@ -290,10 +317,10 @@ def attribute_forced_dir(spark, sf_dir):
 # -- rules ---------------------------------------------------------------------------------------------------------
 
 SKILLS = "select event_id as i, case event_id % 4 when 0 then 'Translocation' when 1 then 'Transmigration' when 2 then 'Red Draconian' else 'Kenku' end as sk, event_type as kind from {events}"
-columns("rule_exact", SKILLS, {"sk": rules.exact(c("sk"), [("Translocation", "x"), ("x", "Translocations"), ("Transmigration", "Transmutations")])}, "case i % 4 when 0 then 'Translocations' when 1 then 'Transmutations' else sk end as sk", ("events",))
-columns("rule_regexp", SKILLS, {"sk": rules.regexp(c("sk"), [("^[A-Z][a-z]+ Draconian", "Draconian"), ("an", "AN")])}, "case i % 4 when 0 then 'TrANslocation' when 1 then 'TrANsmigration' when 2 then 'DraconiAN' else sk end as sk", ("events",))
-columns("rule_chain", SKILLS, {"sk": rules.chain(c("sk"), [F.lower, lambda x: F.replace(x, F.lit("n"), F.lit("m"))], stop=c("sk") == "Kenku")}, "case when sk = 'Kenku' then sk else replace(lower(sk), 'n', 'm') end as sk", ("events",))
-columns("rule_condition", SKILLS, {"hit": rules.matches([("kind", "click"), ("sk", "Kenku")])}, "kind = 'click' and sk = 'Kenku' as hit", ("events",))
+columns("rule_exact", SKILLS, lambda: {"sk": rules.exact(c("sk"), [("Translocation", "x"), ("x", "Translocations"), ("Transmigration", "Transmutations")])}, "case i % 4 when 0 then 'Translocations' when 1 then 'Transmutations' else sk end as sk", ("events",))
+columns("rule_regexp", SKILLS, lambda: {"sk": rules.regexp(c("sk"), [("^[A-Z][a-z]+ Draconian", "Draconian"), ("an", "AN")])}, "case i % 4 when 0 then 'TrANslocation' when 1 then 'TrANsmigration' when 2 then 'DraconiAN' else sk end as sk", ("events",))
+columns("rule_chain", SKILLS, lambda: {"sk": rules.chain(c("sk"), [F.lower, lambda x: F.replace(x, F.lit("n"), F.lit("m"))], stop=c("sk") == "Kenku")}, "case when sk = 'Kenku' then sk else replace(lower(sk), 'n', 'm') end as sk", ("events",))
+columns("rule_condition", SKILLS, lambda: {"hit": rules.matches([("kind", "click"), ("sk", "Kenku")])}, "kind = 'click' and sk = 'Kenku' as hit", ("events",))
 RULES = [rules.Rule("sk", exact=[("Translocation", "Translocations")]), rules.Rule("crace", "sk", regexp=[("^.*Draconian$", "Draconian")], conditions=[("kind", "click")]), rules.Rule("sk", regexp=[("ions$", "ION")], conditions=[("kind", "view")])]
 
 

@@ -28,12 +28,12 @@ def query(name: str, sql: str | None = None):
     return put
 
 
-def columns(name: str, source: str, out: dict[str, Column], expected: str, tables: tuple[str, ...], keep: tuple[str, ...] = ("i",)) -> None:
-    """A query of expressions over rows that `source`, SQL for both engines, gives; expected: what DuckDB selects from the same rows."""
+def columns(name: str, source: str, out: Callable[[], dict[str, Column]], expected: str, tables: tuple[str, ...], keep: tuple[str, ...] = ("i",)) -> None:
+    """A query of expressions over rows that `source`, SQL for both engines, gives, made when it runs, as Columns need a session; expected: what DuckDB selects from the same rows."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = spark.sql(source, **{t: fixtures.table(spark, sf_dir, t) for t in tables})
-        return rows.select(*keep, *[c.alias(n) for n, c in out.items()])
+        return rows.select(*keep, *[c.alias(n) for n, c in out().items()])
 
     QUERIES[name] = run
     SQL[name] = f"with s as ({source.format(**{t: t for t in tables})}) select {', '.join(keep)}, {expected} from s"
