@@ -74,3 +74,13 @@ def test_entry_without_the_optional_part():
     import __spark_entry__
 
     assert __spark_entry__._optional("loamline.llm.queries_that_are_gone") is None
+
+
+def test_queries_are_listed_without_a_session():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = "import __spark_entry__ as e; print(set(e.oracle_sql()) <= set(e.queries()))"
+    got = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).resolve().parents[1], capture_output=True, text=True, timeout=120)
+    assert got.stdout.strip() == "True", got.stderr
