@@ -45,7 +45,7 @@ def text_slices(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, i
         lo = hi
 
 
-def row_slices(batch: pa.RecordBatch, size_of: pa.Array, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def row_slices(batch: pa.RecordBatch, size_of: pa.Array, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows whose texts take about `limit` bytes."""
     ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(size_of), 0), dtype=np.int64))
     lo = 0
