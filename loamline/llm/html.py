@@ -19,7 +19,7 @@ from .urls import split_url
 
 #: Hosts up to which the table of winning paths is broadcast.
 BROADCAST_HOSTS = 200_000
-#: A path with so few different texts over so many pages is a notice.
+#: A path with so few different texts over so many different pages is a notice; copies of a page count once.
 NOTICE_PAGES, NOTICE_SHARE = 20, 0.1
 
 #: Kinds of elements.
@@ -138,6 +138,11 @@ def scores(found: list[tuple[str, bool, str, int]]) -> dict[str, tuple[float, in
     return {k: (a, b) for k, (a, b) in out.items()}
 
 
+def page_hash(found: list[tuple[str, bool, str, int]]) -> int:
+    """A hash of the texts that no mark puts outside: copies of a page have the same, whatever stands around them."""
+    return zlib.crc32("\n".join(x[2] for x in found if not x[1]).encode("utf-8", "replace"))
+
+
 def _under(path: str, root: str) -> bool:
     return path == root or path.startswith(root + "/")
 
@@ -159,22 +164,24 @@ def extracted(pages: DataFrame) -> DataFrame:
 
     Null or empty html gives an empty text; a page without a host (null url) votes among such pages. Ties between paths
     go to the first by name. Repeated rows vote and return each; other columns are ignored; no pages give no rows.
+    Copies of a page vote on the winner each, but count as one page where notices are told by how often a text comes back.
     Votes are summed by host and path before they meet, so a host with any share of the pages is a few rows.
     """
     rows = pages.select(F.col("page_id").cast("long"), "url", "html")
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: list[list] = [[], [], [], []]
+            found: list[list] = [[], [], [], [], []]
             for url, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                host = split_url(url)[0]
-                for path, (score, seen) in scores(blocks(page or "")).items():
-                    for c, x in zip(found, (host, path, score, seen), strict=True):
+                host, parts = split_url(url)[0], blocks(page or "")
+                whole = page_hash(parts)
+                for path, (score, seen) in scores(parts).items():
+                    for c, x in zip(found, (host, path, score, seen, whole), strict=True):
                         c.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(found, (pa.string(), pa.string(), pa.float64(), pa.int64()), strict=True)], ["host", "path", "score", "seen"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(found, (pa.string(), pa.string(), pa.float64(), pa.int64(), pa.int64()), strict=True)], ["host", "path", "score", "seen", "whole"])
 
-    votes = rows.select("url", "html").mapInArrow(vote, "host string, path string, score double, seen bigint")
-    paths = votes.groupBy("host", "path").agg(F.sum("score").alias("score"), F.count(F.lit(1)).alias("n"), F.approx_count_distinct("seen").alias("texts"))
+    votes = rows.select("url", "html").mapInArrow(vote, "host string, path string, score double, seen bigint, whole bigint")
+    paths = votes.groupBy("host", "path").agg(F.sum("score").alias("score"), F.approx_count_distinct("whole").alias("n"), F.approx_count_distinct("seen").alias("texts"))
     notice = F.expr(f"n >= {NOTICE_PAGES} and texts < {NOTICE_SHARE} * n")
     positive = F.col("score") > 0
     winner = F.max_by(F.when(positive, F.col("path")), F.when(positive, F.struct("score", "path")))
