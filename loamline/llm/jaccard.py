@@ -46,7 +46,8 @@ def survival(levels: int, likeness: float = THRESHOLD, split: float = SPLIT) ->
     return p
 
 
-def runs_needed(recall: float = RECALL, levels: int = FIRST_LEVEL + 1) -> int:
+def runs_needed(recall: float = RECALL, levels: int = LAST_LEVEL) -> int:
+    """Runs with which pairs at the threshold meet with this recall even where all their buckets are split to the last level."""
     return math.ceil(math.log(1 - recall) / math.log(1 - survival(levels)))
 
 

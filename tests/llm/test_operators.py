@@ -73,6 +73,47 @@ def test_jaccard_against_brute_force(spark):
     assert {r.doc_id: r.n_links for r in jaccard.classes(docs).collect()} == links
 
 
+def test_jaccard_recall_at_the_last_level():
+    """Pairs of signatures at the threshold, in buckets that are all split to the end: at most 1 in 1000 may share none."""
+    import numpy as np
+    import pyarrow as pa
+
+    from loamline.llm import jaccard
+
+    r, n = np.random.default_rng(3), 8000
+    a, fresh = (r.integers(0, 1 << 16, (n, jaccard.PLACES), dtype=np.uint16) for _ in range(2))
+    b = np.where(r.random(a.shape) < jaccard.THRESHOLD, a, fresh)
+    walk = jaccard._paths(jaccard.LAST_LEVEL, jaccard.runs_needed(), jaccard.FIRST_RUNS)
+    missed = 0
+    for k in range(0, n, 1000):
+        sides = []
+        for x in (a, b):
+            batch = pa.RecordBatch.from_arrays([pa.array(np.arange(1000)), pa.array([row.tobytes() for row in x[k : k + 1000]], pa.binary())], ["digest", "signature"])
+            sides.append({(d, e) for out in walk([batch]) for d, e in zip(out.column(0).to_pylist(), out.column(1).to_pylist(), strict=True)})
+        missed += 1000 - len({d for d, _ in sides[0] & sides[1]})
+    assert missed <= (1 - jaccard.RECALL) * n
+
+
+def test_jaccard_split_buckets_against_brute_force(spark, monkeypatch):
+    """Texts that share much without being alike fill buckets above SPLIT_FROM; each has a copy with few words changed."""
+    import random
+
+    from loamline.llm import jaccard
+
+    monkeypatch.setattr(jaccard, "SPLIT_FROM", 4)
+    r = random.Random(4)
+    common = [f"c{k}" for k in range(110)]
+    texts = []
+    for k in range(150):
+        own = [f"o{k}x{j}" for j in range(90)]
+        texts += [common + own, common + own[:-20] + [f"p{k}x{j}" for j in range(r.randint(18, 22))]]
+    sets = {i: frozenset(zip(*[t[k:] for k in range(5)], strict=False)) for i, t in enumerate(texts)}
+    links = {a: sum(a != b and 5 * len(x & y) >= 4 * len(x | y) for b, y in sets.items()) for a, x in sets.items()}
+    rows = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    got = {x.doc_id: x.n_links for x in jaccard.classes(rows).collect()}
+    assert sum(got.values()) >= 0.99 * sum(links.values()) > 0 and all(got[i] <= n for i, n in links.items())
+
+
 def test_secret_base_spans(spark):
     from loamline.llm import secrets
 
