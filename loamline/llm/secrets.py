@@ -1,13 +1,14 @@
 """Secret scans: fixed patterns, and a linear-chain conditional random field over tokens decoded by Viterbi.
 
-Tokens are runs of letters and digits and single other characters. Only tokens of a chunk (a run without white space)
-that holds a digit can be begin or inside; all others are outside by rule, which parts the chain exactly at white
-space between chunks, so each chunk is decoded on its own.
+Tokens are runs of letters and digits and single other characters. No secret goes over white space, so each chunk (a
+run without white space) is decoded on its own, in the light of two words before it and of traits of its text. A chunk is
+passed over without being decoded only where a bound shows that all of it is outside; bounds of short chunks are remembered.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -30,11 +31,13 @@ KINDS = ("assign", "access", "hex", "crf")
 
 OUT, BEGIN, INSIDE = 0, 1, 2
 DIGIT = re.compile(r"[0-9]")
-CHUNK = re.compile(r"(?<!\S)[^\s0-9]*+[0-9]\S*")
+CHUNK = re.compile(r"\S+")
 TOKEN = re.compile(r"[A-Za-z0-9]+|[^A-Za-z0-9]")
-#: Weights of hashed features; documents from which background chunks for the fit are taken, and chunks at most.
-SLOTS, SAMPLE_DOCS, SAMPLE_CHUNKS = 1 << 13, 2000, 1500
-EPOCHS, RATE, L2, SEED = 30, 0.3, 1e-4, 5
+#: Weights of hashed features; documents from which background chunks for the fit are taken, and chunks at most, with a digit and without.
+SLOTS, SAMPLE_DOCS, SAMPLE_CHUNKS, SAMPLE_WORDS = 1 << 13, 2000, 1500, 4000
+EPOCHS, RATE, L2, SEED = 60, 0.3, 1e-4, 5
+#: Characters and tokens of chunks whose bounds are worked out, and chunks that a worker remembers at most.
+SHORT, FEW_TOKENS, REMEMBERED = 24, 8, 100_000
 
 
 def base_spans(text: str) -> list[tuple[int, int, int, int]]:
@@ -53,6 +56,8 @@ def base_spans(text: str) -> list[tuple[int, int, int, int]]:
 def _shape(t: str) -> str:
     if not t[0].isalnum() or not t.isascii():
         return t if t.isascii() else "other"
+    if t.isalpha():
+        return f"{'' if t.isupper() else 'a'}{'' if t.islower() else 'A'}{min(8, len(t).bit_length())}"
     kinds = ("a" if any(c.islower() for c in t) else "") + ("A" if any(c.isupper() for c in t) else "") + ("0" if any(c.isdigit() for c in t) else "")
     if "0" in kinds and "A" not in kinds and all(c in "0123456789abcdef" for c in t):
         kinds += "x"
@@ -63,41 +68,60 @@ def _slot(x: str) -> int:
     return zlib.crc32(x.encode("utf-8", "replace")) % SLOTS
 
 
-def features(chunk: str, before: list[str], file: list[str]) -> tuple[list[int], list[list[int]]]:
-    """Token ends and the slots of each token's features: shape, neighbours, words before the chunk, traits of the text."""
+def _shape_features(key: tuple) -> list[str]:
+    s, prev, after, second, variety, switches, size, n = key
+    return ["s" + s, f"ps{prev},{s}", f"ns{s},{after}", f"pp{second},{prev},{s}", f"v{variety},{switches},{s[-1]}", f"c{size},{s}", f"n{n},{s[:3]}"]
+
+
+def _token_features(chunk: str) -> tuple[list[int], list[str], list[tuple[tuple, list[str]]]]:
+    """Token ends, shapes and what the chunk alone decides of features: keys of _shape_features, and features of letters."""
     tokens = TOKEN.findall(chunk)
     shapes = [_shape(t) for t in tokens]
     ends, at, out = [], 0, []
-    size = min(7, len(chunk).bit_length())
+    size, n = min(7, len(chunk).bit_length()), min(9, len(tokens))
+    word = ""
     for i, (t, s) in enumerate(zip(tokens, shapes, strict=True)):
         at += len(t)
         ends.append(at)
-        prev, after = shapes[i - 1] if i else "^", shapes[i + 1] if i + 1 < len(tokens) else "$"
+        alpha = t.isalpha()
         variety = 10 * len(set(t)) // len(t) if len(t) > 7 else 0
-        switches = min(6, sum(a.isdigit() != b.isdigit() for a, b in zip(t, t[1:], strict=False))) if len(t) > 3 else 0
-        x = ["s" + s, f"ps{prev},{s}", f"ns{s},{after}", f"pp{shapes[i - 2] if i > 1 else '^'},{prev},{s}", f"v{variety},{switches},{s[-1]}", f"c{size},{s}", f"w{before[-1] if before else ''},{s[:3]}", "w2" + (before[-2] if len(before) > 1 else ""), f"n{min(9, len(tokens))},{s[:3]}"]
-        if len(t) < 12 and t.isalpha():
+        switches = min(6, sum(a.isdigit() != b.isdigit() for a, b in zip(t, t[1:], strict=False))) if len(t) > 3 and not alpha else 0
+        x = []
+        if len(t) < 12 and alpha:
             x.append("t" + t.lower())
         if i and tokens[i - 1].isalpha():
             x.append("pt" + tokens[i - 1].lower())
         if i > 1:
-            x.append(f"k{next((w.lower() for w in reversed(tokens[:i]) if w.isalpha()), '')},{s[:3]}")
-        out.append([_slot(y) for y in x + file])
-    return ends, out
+            x.append(f"k{word},{s[:3]}")
+        if alpha:
+            word = t.lower()
+        out.append(((s, shapes[i - 1] if i else "^", shapes[i + 1] if i + 1 < len(tokens) else "$", shapes[i - 2] if i > 1 else "^", variety, switches, size, n), x))
+    return ends, shapes, out
+
+
+def features(chunk: str, before: list[str], file: list[str]) -> tuple[list[int], list[list[int]]]:
+    """Token ends and the slots of each token's features: shape, neighbours, words before the chunk, traits of the text."""
+    ends, shapes, own = _token_features(chunk)
+    one, two = before[-1] if before else "", before[-2] if len(before) > 1 else ""
+    same = [_slot(y) for y in ["w2" + two, *file]]
+    return ends, [[*map(_slot, _shape_features(key) + x), _slot(f"w{one},{s[:3]}"), *same] for s, (key, x) in zip(shapes, own, strict=True)]
 
 
 def file_features(text: str) -> list[str]:
     return [f"f{min(12, len(text).bit_length())}", f"e{'=' in text}{'{' in text}{';' in text}"]
 
 
+def _norm(chunk: str) -> str:
+    """A chunk as a word before another."""
+    return chunk[-90:].lower().strip("\"'`:=,;()[]{}<>")[:20]
+
+
 def chunks(text: str) -> Iterator[tuple[int, str, list[str]]]:
-    """Chunks with a digit: place, characters, the lower-cased words before."""
-    if DIGIT.search(text):
-        for m in CHUNK.finditer(text):
-            before: list[str] = []
-            head = text[max(0, m.start() - 90) : m.start()].lower().split()
-            before = [w.strip("\"'`:=,;()[]{}<>")[:20] for w in head[-2:]]
-            yield m.start(), m[0], before
+    """All chunks: place, characters, the lower-cased words before."""
+    before: list[str] = []
+    for m in CHUNK.finditer(text):
+        yield m.start(), m[0], before
+        before = [*before[-1:], _norm(m[0])]
 
 
 class Field:
@@ -105,6 +129,14 @@ class Field:
 
     def __init__(self, weights: np.ndarray, steps: np.ndarray):
         self.weights, self.steps = weights, steps
+        self.words: dict[str, tuple] = {}
+        self.keys: dict[tuple, tuple[float, float]] = {}
+
+    def __getstate__(self) -> dict:
+        return {"weights": self.weights, "steps": self.steps}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__init__(state["weights"], state["steps"])
 
     def decode(self, slots: list[list[int]]) -> list[int]:
         emit = [self.weights[s].sum(0) for s in slots]
@@ -120,10 +152,87 @@ class Field:
             y.append(int(b[y[-1]]))
         return y[::-1]
 
+    def _gain(self, features: list[str]) -> tuple[float, float]:
+        """What these features add to begin and to inside over outside."""
+        b = i = 0.0
+        for x in features:
+            o, y, z = self.gains[_slot(x)]
+            b += y - o
+            i += z - o
+        return b, i
+
+    def _need(self, chunk: str) -> tuple[float, frozenset[str]]:
+        """What words before and traits of the text must add to begin or inside, at least, for a token not to be outside; kinds of its shapes."""
+        if not chunk or len(chunk) > SHORT:
+            return -math.inf, frozenset()
+        _, shapes, own = _token_features(chunk)
+        if len(own) > FEW_TOKENS:
+            return -math.inf, frozenset()
+        kinds = frozenset(s[:3] for s in shapes)
+        gains = []
+        for key, x in own:
+            known = self.keys.get(key)
+            if known is None:
+                if len(self.keys) >= REMEMBERED:
+                    self.keys.clear()
+                known = self.keys[key] = self._gain(_shape_features(key))
+            b, i = self._gain(x)
+            gains.append((b + known[0], i + known[1]))
+        if len(gains) == 1:
+            return -gains[0][0], kinds
+        # best sums over those of all outside, by the last label and the number of tokens not outside
+        d = (self.steps - self.steps[OUT, OUT]).tolist()
+        best = {(OUT, 0): 0.0, (BEGIN, 1): gains[0][0]}
+        for b, i in gains[1:]:
+            new: dict[tuple[int, int], float] = {}
+            for (y, k), v in best.items():
+                for z, g in ((OUT, 0.0), (BEGIN, b), (INSIDE, i)):
+                    if y == OUT and z == INSIDE:
+                        continue
+                    to = z, k + (z != OUT)
+                    new[to] = max(new.get(to, -math.inf), v + d[y][z] + g)
+            best = new
+        return min(-v / k for (_, k), v in best.items() if k), kinds
+
+    def _word(self, chunk: str) -> tuple:
+        """What is remembered of a chunk: its need and kinds, its gains as the word before and as the one before that."""
+        norm = _norm(chunk)
+        found = (*self._need(chunk), norm, {}, *self._gain(["w2" + norm]))
+        if len(chunk) <= SHORT:
+            if len(self.words) >= REMEMBERED:
+                self.words.clear()
+            self.words[chunk] = found
+        return found
+
+    def open_chunks(self, text: str) -> list[tuple[int, str, list[str]]]:
+        """Those of chunks(text) that the bound does not show to be outside."""
+        if not self.words:
+            self.gains = self.weights.tolist()
+        words, out = self.words, []
+        parts = text.split()
+        fb, fi = self._gain(file_features(text)) if parts else (0.0, 0.0)
+        one = two = self._word("")
+        for n, chunk in enumerate(parts):
+            word = words.get(chunk) or self._word(chunk)
+            need, kinds = word[0], word[1]
+            if need > -math.inf:
+                add = one[3].get(kinds)
+                if add is None:
+                    each = [self._gain([f"w{one[2]},{s}"]) for s in kinds]
+                    add = one[3][kinds] = max(b for b, _ in each), max(i for _, i in each)
+                b, i = add[0] + two[4] + fb, add[1] + two[5] + fi
+                need -= (b if b > i else i) + 1e-6
+            if need <= 0:
+                out.append(n)
+            one, two = word, one
+        if not out:
+            return []
+        places = [m.start() for m in CHUNK.finditer(text)]
+        return [(places[n], parts[n], [_norm(p) for p in parts[max(0, n - 2) : n]]) for n in out]
+
     def spans(self, text: str) -> list[tuple[int, int]]:
-        out, file = [], None
-        for at, chunk, before in chunks(text):
-            file = file or file_features(text)
+        out, file = [], file_features(text)
+        for at, chunk, before in self.open_chunks(text):
             ends, slots = features(chunk, before, file)
             labels, begin = self.decode(slots), None
             for i, y in enumerate([*labels, OUT]):
@@ -154,7 +263,7 @@ def trained(examples: list[tuple[list[list[int]], list[int]]], epochs: int = EPO
     g_w, g_s = np.full_like(weights, 1e-3), np.full_like(steps, 1e-3)
     rows = np.arange(n)
     for _ in range(epochs):
-        emit = (weights[slot] * used[..., None]).sum(2)
+        emit = np.stack([(weights[:, k][slot] * used).sum(2) for k in range(3)], 2)
         t = steps + allowed
         ahead, back = np.zeros((n, size, 3)), np.zeros((n, size, 3))
         ahead[:, 0] = emit[:, 0] + [0, 0, -1e9]
@@ -192,19 +301,20 @@ def labelled(chunk: str, secret: list[tuple[int, int]]) -> list[int]:
     return out
 
 
-def made_examples(n: int = 700, seed: int = SEED) -> list[tuple[str, list[str], list[tuple[int, int]]]]:
-    """Made chunks with the words before them and their secrets: keys of public formats, and numbers that are none."""
+def made_examples(n: int = 1400, seed: int = SEED) -> list[tuple[str, list[str], list[tuple[int, int]]]]:
+    """Made chunks with the words before them and their secrets: keys of public formats, passphrases of letters, and words and numbers that are none."""
     r = random.Random(seed)
     b64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
     pick = lambda a, lo, hi: "".join(r.choice(a) for _ in range(r.randint(lo, hi)))
+    syllable = lambda: r.choice("bcdfghlmnprstvw") + r.choice("aeiou") + r.choice(["", "n", "r", "s", "t", "l"])
+    word = lambda lo, hi: "".join(syllable() for _ in range(r.randint(lo, hi)))
+    usual = "required wrong invalid not the a an needed expired missing case-sensitive correct stored here empty too short long reset changed set used given known lost secret hidden safe to and of in for with is are this that your".split()
     prose = ["the", "and", "of", "en", "la", "der", "und", "in", "los", "to", "it", "see", "is"]
     out = []
     for _ in range(n):
-        kind = r.randrange(22)
+        kind = r.randrange(34)
         words = [r.choice(prose), r.choice(prose)]
         secret = [pick("0123456789abcdef", 24, 64), pick(b64, 20, 44), pick(b64 + "+/", 30, 60) + "=" * r.randrange(3), "ghp_" + pick(b64, 36, 36), "sk_live_" + pick(b64, 24, 32), "AKIA" + pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 16, 16), "eyJ" + pick(b64, 16, 30) + "." + pick(b64, 20, 40) + "." + pick(b64 + "_-", 24, 43), "xoxb-" + pick("0123456789", 11, 13) + "-" + pick(b64, 24, 24), "AIza" + pick(b64 + "_-", 35, 35)][r.randrange(9)]
-        if not DIGIT.search(secret):
-            secret += "7"
         if kind < 4:
             key = r.choice(["password", "passwd", "secret", "token", "api_key", "apikey", "auth", "client_secret", "access_key", "SECRET_KEY"])
             sep, q = r.choice(["=", ":", '="', "='", ':"']), r.choice(["", ",", ";"])
@@ -217,6 +327,20 @@ def made_examples(n: int = 700, seed: int = SEED) -> list[tuple[str, list[str],
             out.append((q + secret + q, words, [(len(q), len(q) + len(secret))]))
         elif kind < 10:
             out.append((secret + r.choice(["", ".", ","]), words, [(0, len(secret))]))
+        elif kind < 15:  # letters alone: after a key or a word that tells, or long and of mixed case
+            letters = b64[:52]
+            secret = [pick(letters, 20, 44), pick(letters, 10, 20), "-".join(word(1, 3) for _ in range(r.randint(3, 5))), word(5, 10), pick(letters[26:], 10, 24), pick(letters + "+/", 24, 44) + "=" * r.randrange(3)][r.randrange(6)]
+            head, tail = "", r.choice(["", "", ".", ","])
+            if kind < 13 or not (len(secret) >= 20 and "-" not in secret and secret.lower() != secret):
+                words = [r.choice(["password", "passphrase", "secret", "token", "key", "credentials"]), r.choice(["is", "", "was"])] if r.random() < 0.6 else [r.choice(prose), r.choice(["bearer", "password", "token", "secret", "passphrase"])]
+                if r.random() < 0.25:
+                    head = r.choice(["password", "passwd", "secret", "token", "auth"]) + r.choice(["=", ":"])
+            out.append((head + secret + tail, words, [(len(head), len(head) + len(secret))]))
+        elif kind < 24:  # words, also after those that tell
+            plain = r.choice([r.choice(usual), word(1, 3), word(2, 6), word(1, 4).capitalize(), word(5, 11), word(5, 9).capitalize(), word(1, 5) + r.choice("äöüßéèêñó") + word(1, 5), word(1, 2) + "-" + word(1, 3), word(1, 2).upper()])
+            if r.random() < 0.3:
+                words, plain = r.choice([[r.choice(["password", "secret", "token", "key"]), r.choice(["is", "was", ""])], [r.choice(prose), r.choice(["bearer", "password", "token", "secret"])]]), r.choice([r.choice(usual), word(1, 2)])
+            out.append((r.choice(["", "", "", "(", '"']) + plain + r.choice(["", "", "", ".", ",", ";", ")", ":"]), words, []))
         else:
             plain = [
                 f"+{r.randint(1, 99)}", f"({r.randint(200, 999)})", f"555-{r.randint(1000, 9999)}", ".".join(str(r.randint(0, 255)) for _ in range(4)), pick("0123456789", 1, 10), f"{r.randint(1900, 2030)}-{r.randint(1, 12):02}-{r.randint(1, 28):02}",
@@ -228,24 +352,27 @@ def made_examples(n: int = 700, seed: int = SEED) -> list[tuple[str, list[str],
 
 
 def background(docs: DataFrame, sample: int = SAMPLE_DOCS) -> list[tuple[str, list[str], list[tuple[int, int]]]]:
-    """Chunks of about `sample` texts picked by a hash of doc_id, SAMPLE_CHUNKS at most, with the base patterns' secrets in them."""
+    """Different chunks of about `sample` texts picked by a hash of doc_id, SAMPLE_CHUNKS at most with a digit and SAMPLE_WORDS
+    without, with the base patterns' secrets in them."""
     n = docs.count()
     rows = docs.where(F.expr(f"text is not null and pmod(xxhash64(doc_id), 1073741824) < {int(min(1.0, sample / max(n, 1)) * (1 << 30))}")).select("text")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], []]
+            out: list[list] = [[], [], [], []]
             for text in batch.column(0).to_pylist():
-                base = None
+                base = base_spans(text)
                 for at, chunk, before in chunks(text):
-                    base = base_spans(text) if base is None else base
                     inside = [x for _, _, e, s in base if s < at + len(chunk) and e > at for x in (max(0, s - at), min(len(chunk), e - at))]
-                    for c, x in zip(out, (chunk[:400], before, [x for x in inside if x <= 400]), strict=True):
+                    for c, x in zip(out, (chunk[:400], before, [x for x in inside if x <= 400], DIGIT.search(chunk) is not None), strict=True):
                         c.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.list_(pa.string())), pa.array(out[2], pa.list_(pa.int32()))], ["chunk", "before", "inside"])
+            types = (pa.string(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["chunk", "before", "inside", "digit"])
 
-    found = rows.mapInArrow(find, "chunk string, before array<string>, inside array<int>").orderBy(F.xxhash64("chunk"), "chunk").limit(SAMPLE_CHUNKS).collect()
-    return [(c, list(b), list(zip(i[::2], i[1::2], strict=False))) for c, b, i in found]
+    found = rows.mapInArrow(find, "chunk string, before array<string>, inside array<int>, digit boolean")
+    order = F.xxhash64("chunk", "before"), "chunk", "before", "inside"
+    some = [found.where(kind).orderBy(*order).limit(most) for kind, most in (("digit", SAMPLE_CHUNKS), ("not digit", SAMPLE_WORDS))]
+    return [(c, list(b), list(zip(i[::2], i[1::2], strict=False))) for c, b, i, _ in some[0].unionAll(some[1]).collect()]
 
 
 def fitted(docs: DataFrame, sample: int = SAMPLE_DOCS) -> Field:
@@ -260,7 +387,7 @@ def fitted(docs: DataFrame, sample: int = SAMPLE_DOCS) -> Field:
 
 def _scan(text: str, field: Field) -> list[tuple[int, int, int, int]]:
     base = base_spans(text)
-    more = [(s, 3, e, s) for s, e in field.spans(text) if e - s >= 8 and not any(s < b[2] and e > b[0] for b in base)]
+    more = [(s, 3, e, s) for s, e in field.spans(text) if not any(s < b[2] and e > b[0] for b in base)]
     return sorted(base + more) if more else base
 
 
