@@ -351,35 +351,48 @@ def made_examples(n: int = 1400, seed: int = SEED) -> list[tuple[str, list[str],
     return out
 
 
-def background(docs: DataFrame, sample: int = SAMPLE_DOCS) -> list[tuple[str, list[str], list[tuple[int, int]]]]:
+def background(docs: DataFrame, sample: int = SAMPLE_DOCS) -> list[tuple[str, list[str], list[tuple[int, int]], list[str]]]:
     """Different chunks of about `sample` texts picked by a hash of doc_id, SAMPLE_CHUNKS at most with a digit and SAMPLE_WORDS
-    without, with the base patterns' secrets in them."""
+    without, with the base patterns' secrets in them and their texts' file features."""
     n = docs.count()
     rows = docs.where(F.expr(f"text is not null and pmod(xxhash64(doc_id), 1073741824) < {int(min(1.0, sample / max(n, 1)) * (1 << 30))}")).select("text")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], []]
+            out: list[list] = [[], [], [], [], []]
             for text in batch.column(0).to_pylist():
-                base = base_spans(text)
+                base, file = base_spans(text), file_features(text)
                 for at, chunk, before in chunks(text):
                     inside = [x for _, _, e, s in base if s < at + len(chunk) and e > at for x in (max(0, s - at), min(len(chunk), e - at))]
-                    for c, x in zip(out, (chunk[:400], before, [x for x in inside if x <= 400], DIGIT.search(chunk) is not None), strict=True):
+                    for c, x in zip(out, (chunk[:400], before, [x for x in inside if x <= 400], file, DIGIT.search(chunk) is not None), strict=True):
                         c.append(x)
-            types = (pa.string(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.bool_())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["chunk", "before", "inside", "digit"])
+            types = (pa.string(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.string()), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["chunk", "before", "inside", "file", "digit"])
 
-    found = rows.mapInArrow(find, "chunk string, before array<string>, inside array<int>, digit boolean")
-    order = F.xxhash64("chunk", "before"), "chunk", "before", "inside"
+    found = rows.mapInArrow(find, "chunk string, before array<string>, inside array<int>, file array<string>, digit boolean")
+    order = F.xxhash64("chunk", "before", "file"), "chunk", "before", "file", "inside"
     some = [found.where(kind).orderBy(*order).limit(most) for kind, most in (("digit", SAMPLE_CHUNKS), ("not digit", SAMPLE_WORDS))]
-    return [(c, list(b), list(zip(i[::2], i[1::2], strict=False))) for c, b, i, _ in some[0].unionAll(some[1]).collect()]
+    return [(c, list(b), list(zip(i[::2], i[1::2], strict=False)), list(f)) for c, b, i, f, _ in some[0].unionAll(some[1]).collect()]
+
+
+def made_files(made: list[tuple[str, list[str], list[tuple[int, int]]]], seen: list[list[str]], seed: int = SEED) -> list[list[str]]:
+    """File features for made examples, whatever their labels: those of texts seen, or of any length and any of the marks."""
+    r, out = random.Random(seed), []
+    for chunk, _, _ in made:
+        size, marks = f"f{r.randint(max(3, min(12, len(chunk).bit_length())), 12)}", [r.random() < 0.5 for _ in range(3)]
+        if seen and r.random() < 0.5:
+            size, e = r.choice(seen)
+            marks = [m == "True" for m in re.findall("True|False", e)]
+        out.append([size, "e" + "".join(str(m or c in chunk) for m, c in zip(marks, "={;", strict=True))])
+    return out
 
 
 def fitted(docs: DataFrame, sample: int = SAMPLE_DOCS) -> Field:
     """A field from made examples and a bounded sample of the texts' own chunks, labelled by the base patterns."""
-    file = file_features("prose")
+    made, own = made_examples(), background(docs, sample)
+    files = made_files(made, [f for *_, f in own])
     examples = []
-    for chunk, before, secret in made_examples() + background(docs, sample):
+    for chunk, before, secret, file in [(*x, f) for x, f in zip(made, files, strict=True)] + own:
         _, slots = features(chunk, before, file)
         examples.append((slots[:60], labelled(chunk, secret)[:60]))
     return trained(examples)
