@@ -43,7 +43,8 @@ SOLID = np.ones(256, bool)
 SOLID[[32, *range(9, 14)]] = False
 
 
-def _table(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, n at least."""
     if len(_powers["n"]) < n:
         size = max(_CHUNK + 2, n)
         for key, base in (("n", _BASE), ("i", _INVERSE)):
@@ -55,7 +56,7 @@ def _table(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def span_hashes(b: np.ndarray, start: np.ndarray, end: np.ndarray, fold: bool = False) -> np.ndarray:
     """Hashes of b[start:end) for spans within one chunk of bytes."""
-    up, down = _table(len(b) + 1)
+    up, down = powers(len(b) + 1)
     sums = np.zeros(len(b) + 1, U)
     np.cumsum((_FOLDED if fold else _VALUES)[b] * up[: len(b)], out=sums[1:])
     return mix((sums[end] - sums[start]) * down[start])
@@ -122,3 +123,76 @@ def covered(at: np.ndarray, k: int, n: int) -> np.ndarray:
     np.add.at(step, at, 1)
     np.add.at(step, np.minimum(at + k, n), -1)
     return np.cumsum(step[:n]) > 0
+
+
+def joined_texts(texts: list[str]) -> tuple[bytes, np.ndarray]:
+    """The texts' bytes one after another, and where each begins, with the end last."""
+    raw = [t.encode() for t in texts]
+    o = np.zeros(len(raw) + 1, np.int64)
+    np.cumsum([len(r) for r in raw], out=o[1:])
+    return b"".join(raw), o
+
+
+class Memory:
+    """Numbers of remembered hashes, 0 and up, in sorted arrays of 8 bytes each; those that never came back go first.
+
+    Hashes are added in sorted order, into a small array that is merged into the large one from time to time.
+    """
+
+    def __init__(self, most: int, fresh: int = 1 << 16):
+        self.most, self.fresh = most, fresh
+        self.clear()
+
+    def clear(self) -> None:
+        self.levels = [(np.zeros(0, U), np.zeros(0, np.int64))] * 2
+        self.seen = np.zeros(0, np.int32)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each of the different hashes, -1 for new ones."""
+        out = np.full(len(hashes), -1, np.int64)
+        for keys, numbers in self.levels:
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+                hit = keys[at] == hashes
+                out[hit] = numbers[at[hit]]
+        self.seen[out[out >= 0]] += 1
+        return out
+
+    @staticmethod
+    def _merged(a: tuple, b: tuple) -> tuple:
+        keys = np.concatenate([a[0], b[0]])
+        order = np.argsort(keys, kind="stable")
+        return keys[order], np.concatenate([a[1], b[1]])[order]
+
+    def add(self, hashes: np.ndarray) -> None:
+        """New hashes, in order, with the next numbers."""
+        n = len(self.seen)
+        self.seen = np.append(self.seen, np.zeros(len(hashes), np.int32))
+        self.levels[1] = self._merged(self.levels[1], (hashes, np.arange(n, n + len(hashes))))
+        if len(self.levels[1][0]) > self.fresh:
+            self.levels = [self._merged(*self.levels), (np.zeros(0, U), np.zeros(0, np.int64))]
+
+    def shrunk(self) -> np.ndarray:
+        """Forgets what never came back, and more if that leaves over half: the old numbers of what stays, which is numbered anew."""
+        keep = np.flatnonzero(self.seen)
+        if len(keep) > self.most // 2:
+            keep = np.sort(keep[np.argsort(-self.seen[keep], kind="stable")[: self.most // 2]])
+        new = np.full(len(self.seen), -1, np.int64)
+        new[keep] = np.arange(len(keep))
+        keys, numbers = self._merged(*self.levels)
+        stay = new[numbers] >= 0
+        self.levels = [(keys[stay], new[numbers[stay]]), (np.zeros(0, U), np.zeros(0, np.int64))]
+        self.seen = np.zeros(len(keep), np.int32)
+        return keep
+
+
+#: The one holder of remembered words in this process: another one's are freed when it is asked for.
+_holder: dict = {}
+
+
+def holder(key: tuple, make):
+    """make(), kept for this worker until another key is asked for, so that a reused worker holds one memory at a time."""
+    if key not in _holder:
+        _holder.clear()
+        _holder[key] = make()
+    return _holder[key]
