@@ -5,8 +5,8 @@ min-hashes, a sample of its tokens. A path picks places of the signature at rand
 classes that share the values there go on together. Runs are repeated until pairs at the threshold meet with the target
 recall. A first, short pass links each member of a bucket that looks like the bucket's first or last one, so that large groups of near copies are one
 group before the rest: later a bucket whose members are in one group has nothing to compare. Other buckets are split on until they are small,
-and the last are compared block against block. What meets and looks alike is linked, and linked groups are
-verified once on their whole sets, again block against block, so no task holds an unbounded group and no pair
+and the last are compared block against block. A bucket gives one edge for each group that it joins, not for each member. What meets and looks alike is linked, and linked groups are
+verified once on their whole sets, again block against block (a block holds about BLOCK_GRAMS grams), so no task holds an unbounded group and no pair
 leaves a task: tasks return counts of links and one edge for each member.
 """
 
@@ -19,7 +19,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from . import wordhash as wh
 from .common import staged, text_slices
@@ -32,7 +31,9 @@ SPLIT, FIRST_LEVEL, LAST_LEVEL, RECALL = 0.7, 2, 6, 0.999
 #: Runs of the short pass.
 FIRST_RUNS = 4
 #: Classes that a bucket may hold before it is split into further paths; classes in a block of a bucket, and of a group for verification.
-SPLIT_FROM, BUCKET, BLOCK = 4096, 512, 256
+SPLIT_FROM, BUCKET, BLOCK = 4096, 2048, 1024
+#: Grams that a block of a group holds for verification, about; BLOCK bounds its classes.
+BLOCK_GRAMS = 250_000
 #: Rows up to which a table of class numbers is broadcast.
 BROADCAST_ROWS = 1_000_000
 _SEEDS = wh.seeded(PLACES, 101)
@@ -99,7 +100,7 @@ def _signatures(key: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, set's hash, size, signature."""
+    """doc_id, text, text's hash to doc_id, text's hash, set's hash, size, signature."""
     for batch in batches:
         null = np.asarray(batch.column(1).is_null())
         for lo, hi, b, o in text_slices(batch.column(1)):
@@ -107,7 +108,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             digest = _digests(key, first, b, o).view(np.int64)
             n = np.where(null[lo:hi], -1, np.diff(first))
             sig = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * PLACES), hi - lo, [None, pa.py_buffer(np.ascontiguousarray(_signatures(key, first)))])
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(digest), pa.array(n), sig.cast(pa.binary())], ["doc_id", "digest", "n_grams", "signature"])
+            own = (batch.column(k).slice(lo, hi - lo) for k in (0, 2))
+            yield pa.RecordBatch.from_arrays([*own, pa.array(digest), pa.array(n), sig.cast(pa.binary())], ["doc_id", "text_hash", "digest", "n_grams", "signature"])
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -187,12 +189,12 @@ def _least(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _star(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Brute force in buckets, sorted by bucket: rows (bucket, digest, label, signature, side); an edge from each class to the least it looks like.
+    """Brute force in buckets, sorted by bucket: rows (bucket, digest, label, signature, side); an edge from each label to the least it is joined with.
 
-    side: 0 compares with all; 1 and 2 compare with the other side only. Those of one label are linked already.
+    side: 0 compares with all; 1 and 2 compare with the other side only. Those of one label are linked already, so only labels are.
     """
     for t in _grouped(batches, "bucket"):
-        bucket, digest, side, label = (t[c].to_numpy() for c in ("bucket", "digest", "side", "label"))
+        bucket, side, label = (t[c].to_numpy() for c in ("bucket", "side", "label"))
         sig = _matrix(t["signature"].combine_chunks())
         a, b = [], []
         for d in range(1, len(bucket)):
@@ -206,21 +208,20 @@ def _star(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 a.append(x[like])
                 b.append(x[like] + d)
         if a:
-            to = _least(len(bucket), np.concatenate(a), np.concatenate(b))
-            own = np.flatnonzero((digest != digest[to]))
-            edge = np.unique(np.stack([digest[own], digest[to[own]]]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(edge[0]), pa.array(edge[1])], ["a", "b"])
+            names, ends = np.unique(np.concatenate([label[np.concatenate(a)], label[np.concatenate(b)]]), return_inverse=True)
+            to = _least(len(names), *np.split(ends, 2))
+            own = np.flatnonzero(to != np.arange(len(names)))
+            yield pa.RecordBatch.from_arrays([pa.array(names[own]), pa.array(names[to[own]])], ["a", "b"])
 
 
-def in_blocks(df: DataFrame, key: str, block: int = BLOCK) -> DataFrame:
+def in_blocks(df: DataFrame, key: str) -> DataFrame:
     """Rows of groups `key` for comparison in groups `bucket` of bounded size: whole, or for each pair of blocks of a large group.
 
-    df has the size of the row's group as n. A row of a large group goes to its own block and to one group for each other block.
+    df has the number of blocks of the row's group as `blocks`. A row of a large group goes to its own block and to one group for each other block.
     """
-    joined = df.withColumn("__blocks", F.expr(f"cast(ceil(n / {block}) as int)"))
-    joined = joined.withColumn("__mine", F.expr("cast(pmod(xxhash64(digest, 5), __blocks) as int)"))
+    joined = df.withColumnRenamed("blocks", "__blocks").withColumn("__mine", F.expr("cast(pmod(xxhash64(digest, 5), __blocks) as int)"))
     one = f"transform(sequence(0, __blocks - 1), o -> struct(xxhash64({key}, least(__mine, o), greatest(__mine, o)) as bucket, case when o = __mine then 0 when __mine < o then 1 else 2 end as side))"
-    return joined.withColumn("__to", F.explode(F.expr(one))).select(*[c for c in df.columns if c not in ("bucket", "side", "n")], "__to.bucket", "__to.side")
+    return joined.withColumn("__to", F.explode(F.expr(one))).select(*[c for c in df.columns if c not in ("bucket", "side", "blocks")], "__to.bucket", "__to.side")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -243,14 +244,13 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """label, digest, weight, text to label, digest, weight, set."""
+    """label, digest, weight, blocks, text to label, digest, weight, blocks, set."""
     for batch in batches:
-        for lo, hi, b, o in text_slices(batch.column(3)):
+        for lo, hi, b, o in text_slices(batch.column(4)):
             key, first = shingle_sets(b, o)
             raw = key.tobytes()
             sets = pa.array([raw[8 * s : 8 * e] for s, e in zip(first[:-1], first[1:], strict=True)], pa.binary())
-            out = pa.RecordBatch.from_arrays([*(batch.column(k).slice(lo, hi - lo) for k in range(3)), sets], ["label", "digest", "weight", "grams"])
-            # a repeated doc_id also brings rows with another text
+            out = pa.RecordBatch.from_arrays([*(batch.column(k).slice(lo, hi - lo) for k in range(4)), sets], ["label", "digest", "weight", "blocks", "grams"])
             yield out.filter(pa.array(_digests(key, first, b, o).view(np.int64) == out.column(1).to_numpy()))
 
 
@@ -273,9 +273,10 @@ def near_pairs(key: np.ndarray, first: np.ndarray, group: np.ndarray, side: np.n
         width = int(col.max()) + 1 if len(col) else 0
         order = np.argsort(col, kind="stable")
         col, own = col[order], own[order]
-        for c in range(0, width, 16384):  # dense strips of bounded size
-            s, e = np.searchsorted(col, [c, c + 16384])
-            strip = np.zeros((m, min(16384, width - c)), np.float32)
+        step = min(16384, max(1024, (1 << 22) // m))
+        for c in range(0, width, step):  # dense strips of bounded size
+            s, e = np.searchsorted(col, [c, c + step])
+            strip = np.zeros((m, min(step, width - c)), np.float32)
             strip[own[s:e], col[s:e] - c] = 1
             both += strip @ strip.T
         size = n[lo:hi]
@@ -317,23 +318,23 @@ def _like_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         like = (_matrix(batch.column(1)) == _matrix(batch.column(3))).sum(1) >= LIKELY * PLACES
         at = pa.array(np.flatnonzero(like))
-        a, b = (batch.column(k).take(at).to_numpy() for k in (0, 2))
-        yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
-
-
-def _shorter(edges: DataFrame) -> DataFrame:
-    """Edges (a, b), b the lesser, with each neighbour of a node tied to the node's least neighbour instead: as connected, but fewer."""
-    least = edges.select("a", "b", F.min("b").over(Window.partitionBy("a")).alias("m"))
-    return least.select(F.explode(F.array(F.struct("a", "m"), F.struct(F.col("b").alias("a"), "m"))).alias("e")).select("e.a", F.col("e.m").alias("b")).where("a <> b").distinct()
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(2).take(at)], ["a", "b"])
 
 
 def _first_links(names: DataFrame) -> DataFrame:
-    """Labels of groups found with FIRST_RUNS runs, comparing with the first and last member of each bucket only."""
+    """Labels of groups found with FIRST_RUNS runs, comparing with the first member of each bucket only.
+
+    A member keeps one edge, to the least of the first members that it looks like; first members that it has besides are tied
+    to that one, each such pair once. So edges are at most one for each member and few between first members.
+    """
     rows = staged(names.mapInArrow(_paths(FIRST_LEVEL, FIRST_RUNS), "digest bigint, bucket bigint"))
-    ends = rows.groupBy("bucket").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).where("x <> y").select("bucket", F.array("x", "y").alias("ends"))
-    met = rows.join(ends, "bucket").select("digest", F.explode("ends").alias("first")).where("digest <> first").distinct()
+    firsts = rows.groupBy("bucket").agg(F.min("digest").alias("first"), F.max("digest").alias("__last")).where("first <> __last").select("bucket", "first")
+    met = rows.join(firsts, "bucket").where("digest <> first").select("digest", "first").distinct()
     signed = met.join(names, "digest").join(names.select(F.col("digest").alias("first"), F.col("signature").alias("other")), "first")
-    return components(_shorter(signed.select("digest", "signature", "first", "other").mapInArrow(_like_first, "a bigint, b bigint")))
+    like = signed.select("digest", "signature", "first", "other").mapInArrow(_like_first, "a bigint, b bigint")
+    own = staged(like.groupBy("a").agg(F.min("b").alias("b"), F.collect_set("b").alias("__firsts")))  # at most one first member for each path
+    between = own.where("size(__firsts) > 1").select(F.explode("__firsts").alias("a"), "b").where("a <> b").distinct()
+    return components(own.select("a", "b").unionByName(between))
 
 
 def _likely(reps: DataFrame, recall: float) -> DataFrame:
@@ -351,14 +352,14 @@ def _likely(reps: DataFrame, recall: float) -> DataFrame:
         rows = staged(rows.join(counts.select("bucket", "n"), "bucket").select("digest", "label", "bucket", "n"))
         end = level == LAST_LEVEL
         met = (rows if end else rows.where(f"n <= {SPLIT_FROM}")).join(names.select("digest", "signature"), "digest")
-        small = in_blocks(met, "bucket", BUCKET)
+        small = in_blocks(met.withColumn("blocks", F.expr(f"cast(ceil(n / {BUCKET}) as int)")).drop("n"), "bucket")
         found = small.repartition("bucket").sortWithinPartitions("bucket", "digest").mapInArrow(_star, "a bigint, b bigint")
         edges = edges.unionByName(found)
         if end or rows.where(f"n > {SPLIT_FROM}").limit(1).count() == 0:
             break
         on = rows.where(f"n > {SPLIT_FROM}").select("digest", "bucket").join(names.select("digest", "signature"), "digest")
         rows = on.select("digest", "signature", "bucket").mapInArrow(_paths(1, 0), "digest bigint, bucket bigint")
-    return components(_shorter(edges))
+    return components(edges.distinct())
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
@@ -367,25 +368,32 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECAL
     Two documents are linked if the Jaccard similarity of their sets of word 5-grams is at least `threshold`; a class is
     a connected group, named by its least doc_id. n_copies counts other documents with the same set. Documents of fewer than five words are one gram of all their words;
     texts without words are alike only if equal; a null text is alone. Ties and repeated rows count as
-    documents of their own; other columns are ignored; an empty table gives no rows.
+    documents of their own, rows without doc_id too, whose class_id is null where no row of the class has one; very long
+    texts are taken whole; other columns are ignored; an empty table gives no rows.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketches = staged(rows.mapInArrow(_sketch, "doc_id bigint, digest bigint, n_grams bigint, signature binary"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+    sketches = staged(rows.mapInArrow(_sketch, "doc_id bigint, text_hash bigint, digest bigint, n_grams bigint, signature binary"))
     alone = sketches.where("n_grams < 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(0).cast("long").alias("n_copies"))
     told = sketches.where("n_grams >= 0")
-    reps = staged(told.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.max("n_grams").alias("n_grams"), F.max("signature").alias("signature")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))  # a row with doc_id where there is one
+    reps = told.groupBy("digest").agg(first.alias("r"), F.count(F.lit(1)).alias("weight"), F.max("n_grams").alias("n_grams"), F.max("signature").alias("signature"))
+    reps = staged(reps.select("digest", F.col("r.doc_id").alias("rep"), F.col("r.text_hash").alias("text_hash"), "weight", "n_grams", "signature"))
     likely = _likely(reps, recall)
-    members = staged(likely.join(reps.select("digest", "rep", "weight", "n_grams"), "digest").select("label", "digest", "weight", "rep"))
-    texts = rows.join(_few(members).withColumnRenamed("rep", "doc_id"), "doc_id").select("label", "digest", "weight", "text", "doc_id")
-    sets = texts.drop("doc_id").mapInArrow(_sets, "label bigint, digest bigint, weight bigint, grams binary")
-    counts = members.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-    dealt = in_blocks(sets.join(counts, "label"), "label")
+    members = staged(likely.join(reps.select("digest", "rep", "text_hash", "weight", "n_grams"), "digest"))
+    # blocks are told before texts are read, and only of groups of several blocks, which are few
+    large = staged(members.groupBy("label").agg(F.expr(f"cast(greatest(ceil(count(1) / {BLOCK}), ceil(sum(n_grams) / {BLOCK_GRAMS})) as int)").alias("blocks")).where("blocks > 1"))
+    sized = members.join(_few(large), "label", "left").select("label", "digest", "weight", F.coalesce("blocks", F.lit(1)).alias("blocks"), "rep", F.col("text_hash").alias("__hash"))
+    sized = _few(staged(sized))
+    texts = rows.join(sized, (rows["text_hash"] == sized["__hash"]) & rows["doc_id"].eqNullSafe(sized["rep"])).select("label", "digest", "weight", "blocks", "text")
+    sets = texts.mapInArrow(_sets, "label bigint, digest bigint, weight bigint, blocks int, grams binary")
+    dealt = in_blocks(sets, "label")
     checked = staged(dealt.repartition("bucket").sortWithinPartitions("bucket", "digest").mapInArrow(_verified(threshold), "a bigint, b bigint, links bigint"))
     links = checked.groupBy("a").agg(F.sum("links").alias("links"))
     joined = components(checked.where("a <> b"))
     near = joined.join(links.withColumnRenamed("a", "digest"), "digest", "left").join(reps.select("digest", "rep"), "digest")
     least = near.groupBy("label").agg(F.min("rep").alias("class_id"))
     near = near.join(least, "label").select("digest", "class_id", "links")
-    full = reps.join(near, "digest", "left").select("digest", F.coalesce("class_id", "rep").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"), "weight")
+    # stored, so that the next join can split a digest that very many rows have
+    full = staged(reps.join(near, "digest", "left").select("digest", F.coalesce("class_id", "rep").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"), "weight"))
     out = told.select("doc_id", "digest").join(full, "digest").select("doc_id", "class_id", F.expr("cast(links + weight - 1 as bigint)").alias("n_links"), F.expr("cast(weight - 1 as bigint)").alias("n_copies"))
     return out.unionByName(alone)
