@@ -11,6 +11,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from . import wordhash
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -56,8 +58,22 @@ def row_slices(batch: pa.RecordBatch, size_of: pa.Array, limit: int = 1 << 20) -
         lo = hi
 
 
-def appended(df: DataFrame, fields: str, make, text: str = "text") -> DataFrame:
-    """df with columns computed from its text column by make(Arrow column) -> list of Arrow arrays, in slices of bounded size.
+def tidy(run, keep: str = ""):
+    """A mapper of Arrow batches that first frees what other operators left in a reused worker, and at its end what Arrow holds unused.
+
+    keep: the operator whose memory this mapper uses.
+    """
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wordhash.release(keep)
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return tidied
+
+
+def appended(df: DataFrame, fields: str, make, text: str = "text", limit: int = 1 << 20, keep: str = "") -> DataFrame:
+    """df with columns computed from its text column by make(Arrow column) -> list of Arrow arrays, in slices of about `limit` bytes. keep: the operator whose memory `make` uses.
 
     fields: their names and types in SQL; names must not be among df's columns.
     """
@@ -68,7 +84,7 @@ def appended(df: DataFrame, fields: str, make, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in row_slices(whole, whole.column(at)):
+            for batch in row_slices(whole, whole.column(at), limit):
                 yield pa.RecordBatch.from_arrays([*batch.columns, *make(batch.column(at))], [*batch.schema.names, *new.names])
 
-    return df.mapInArrow(run, StructType([*df.schema.fields, *new.fields]))
+    return df.mapInArrow(tidy(run, keep), StructType([*df.schema.fields, *new.fields]))

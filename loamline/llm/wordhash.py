@@ -110,6 +110,14 @@ def grams(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     return out, whole
 
 
+def second_hashes(w: Words, at: np.ndarray, k: int) -> np.ndarray:
+    """Another hash of the k words from each of the places on, to hold hits of `grams` against."""
+    out = np.zeros(len(at), U)
+    for j in range(k):
+        out += mix(w.hash[at + j] + U(j)) * _STEPS[63 - j]
+    return out
+
+
 def per_text(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Sums of values between the entries of first."""
     total = np.zeros(len(values) + 1, np.int64)
@@ -190,6 +198,12 @@ class Memory:
 _holder: dict = {}
 
 
+def release(keep: str = "") -> None:
+    """Frees what another operator than `keep` holds in this worker."""
+    if _holder and next(iter(_holder))[0] != keep:
+        _holder.clear()
+
+
 def holder(key: tuple, make):
     """make(), kept for this worker until another key is asked for, so that a reused worker holds one memory at a time."""
     if key not in _holder:
