@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import wordhash as wh
-from .common import staged, text_slices
+from .common import staged, text_slices, tidy
 
 NGRAM, THRESHOLD = 5, 0.8
 #: Places of the signature; likeness by signature from which classes are verified, four deviations below the threshold.
@@ -279,9 +279,11 @@ def near_pairs(key: np.ndarray, first: np.ndarray, group: np.ndarray, side: np.n
             strip = np.zeros((m, min(step, width - c)), np.float32)
             strip[own[s:e], col[s:e] - c] = 1
             both += strip @ strip.T
-        size = n[lo:hi]
-        union = size[:, None] + size[None, :] - both
-        near = np.triu((both >= threshold * union - 1e-6) & (both > 0), 1)
+        size, near = n[lo:hi], np.zeros((m, m), bool)
+        for r in range(0, m, 256):
+            union = size[r : r + 256, None] + size[None, :] - both[r : r + 256]
+            near[r : r + 256] = (both[r : r + 256] >= threshold * union - 1e-6) & (both[r : r + 256] > 0)
+        near = np.triu(near, 1)
         if side[lo:hi].any():
             near &= side[lo:hi, None] != side[None, lo:hi]
         a, b = np.nonzero(near)
@@ -327,11 +329,11 @@ def _first_links(names: DataFrame) -> DataFrame:
     A member keeps one edge, to the least of the first members that it looks like; first members that it has besides are tied
     to that one, each such pair once. So edges are at most one for each member and few between first members.
     """
-    rows = staged(names.mapInArrow(_paths(FIRST_LEVEL, FIRST_RUNS), "digest bigint, bucket bigint"))
+    rows = staged(names.mapInArrow(tidy(_paths(FIRST_LEVEL, FIRST_RUNS)), "digest bigint, bucket bigint"))
     firsts = rows.groupBy("bucket").agg(F.min("digest").alias("first"), F.max("digest").alias("__last")).where("first <> __last").select("bucket", "first")
     met = rows.join(firsts, "bucket").where("digest <> first").select("digest", "first").distinct()
     signed = met.join(names, "digest").join(names.select(F.col("digest").alias("first"), F.col("signature").alias("other")), "first")
-    like = signed.select("digest", "signature", "first", "other").mapInArrow(_like_first, "a bigint, b bigint")
+    like = signed.select("digest", "signature", "first", "other").mapInArrow(tidy(_like_first), "a bigint, b bigint")
     own = staged(like.groupBy("a").agg(F.min("b").alias("b"), F.collect_set("b").alias("__firsts")))  # at most one first member for each path
     between = own.where("size(__firsts) > 1").select(F.explode("__firsts").alias("a"), "b").where("a <> b").distinct()
     return components(own.select("a", "b").unionByName(between))
@@ -343,7 +345,7 @@ def _likely(reps: DataFrame, recall: float) -> DataFrame:
     known = staged(_first_links(names))
     names = staged(names.join(known, "digest", "left").select("digest", "signature", F.coalesce("label", "digest").alias("label")))
     tags = names.select("digest", "label")
-    rows = names.select("digest", "signature").mapInArrow(_paths(FIRST_LEVEL, runs_needed(recall), FIRST_RUNS), "digest bigint, bucket bigint")
+    rows = names.select("digest", "signature").mapInArrow(tidy(_paths(FIRST_LEVEL, runs_needed(recall), FIRST_RUNS)), "digest bigint, bucket bigint")
     edges = known.select(F.col("digest").alias("a"), F.col("label").alias("b")).where("a <> b")
     for level in range(FIRST_LEVEL, LAST_LEVEL + 1):
         # buckets of one class or one group have nothing to compare and go; only the rest take a signature along
@@ -353,12 +355,12 @@ def _likely(reps: DataFrame, recall: float) -> DataFrame:
         end = level == LAST_LEVEL
         met = (rows if end else rows.where(f"n <= {SPLIT_FROM}")).join(names.select("digest", "signature"), "digest")
         small = in_blocks(met.withColumn("blocks", F.expr(f"cast(ceil(n / {BUCKET}) as int)")).drop("n"), "bucket")
-        found = small.repartition("bucket").sortWithinPartitions("bucket", "digest").mapInArrow(_star, "a bigint, b bigint")
+        found = small.repartition("bucket").sortWithinPartitions("bucket", "digest").mapInArrow(tidy(_star), "a bigint, b bigint")
         edges = edges.unionByName(found)
         if end or rows.where(f"n > {SPLIT_FROM}").limit(1).count() == 0:
             break
         on = rows.where(f"n > {SPLIT_FROM}").select("digest", "bucket").join(names.select("digest", "signature"), "digest")
-        rows = on.select("digest", "signature", "bucket").mapInArrow(_paths(1, 0), "digest bigint, bucket bigint")
+        rows = on.select("digest", "signature", "bucket").mapInArrow(tidy(_paths(1, 0)), "digest bigint, bucket bigint")
     return components(edges.distinct())
 
 
@@ -372,7 +374,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECAL
     texts are taken whole; other columns are ignored; an empty table gives no rows.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
-    sketches = staged(rows.mapInArrow(_sketch, "doc_id bigint, text_hash bigint, digest bigint, n_grams bigint, signature binary"))
+    sketches = staged(rows.mapInArrow(tidy(_sketch), "doc_id bigint, text_hash bigint, digest bigint, n_grams bigint, signature binary"))
     alone = sketches.where("n_grams < 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(0).cast("long").alias("n_copies"))
     told = sketches.where("n_grams >= 0")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))  # a row with doc_id where there is one
@@ -385,9 +387,9 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECAL
     sized = members.join(_few(large), "label", "left").select("label", "digest", "weight", F.coalesce("blocks", F.lit(1)).alias("blocks"), "rep", F.col("text_hash").alias("__hash"))
     sized = _few(staged(sized))
     texts = rows.join(sized, (rows["text_hash"] == sized["__hash"]) & rows["doc_id"].eqNullSafe(sized["rep"])).select("label", "digest", "weight", "blocks", "text")
-    sets = texts.mapInArrow(_sets, "label bigint, digest bigint, weight bigint, blocks int, grams binary")
+    sets = texts.mapInArrow(tidy(_sets), "label bigint, digest bigint, weight bigint, blocks int, grams binary")
     dealt = in_blocks(sets, "label")
-    checked = staged(dealt.repartition("bucket").sortWithinPartitions("bucket", "digest").mapInArrow(_verified(threshold), "a bigint, b bigint, links bigint"))
+    checked = staged(dealt.repartition("bucket").sortWithinPartitions("bucket", "digest").mapInArrow(tidy(_verified(threshold)), "a bigint, b bigint, links bigint"))
     links = checked.groupBy("a").agg(F.sum("links").alias("links"))
     joined = components(checked.where("a <> b"))
     near = joined.join(links.withColumnRenamed("a", "digest"), "digest", "left").join(reps.select("digest", "rep"), "digest")
