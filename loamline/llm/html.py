@@ -14,30 +14,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_slices
+from .common import row_slices, staged, tidy
 from .urls import split_url
 
 #: Hosts up to which the table of winning paths is broadcast.
 BROADCAST_HOSTS = 200_000
+#: Parts into which the pages of each host are dealt where that table isn't broadcast.
+SALTS = 64
 #: A path with so few different texts over so many different pages is a notice; copies of a page count once.
 NOTICE_PAGES, NOTICE_SHARE = 20, 0.1
 
 #: Kinds of elements.
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr picture source link meta input".split())
+INLINE = frozenset("math semantics mrow mi mo mn ms mtext msup msub mfrac msqrt a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr picture source link meta input".split())
 LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote td th caption figcaption summary address center".split())
 VOID = frozenset("hr br img input link meta source wbr area base col embed track param".split())
 NEVER = frozenset("nav footer aside form button select option menu dialog head title label fieldset legend noscript canvas object video audio figure-ad".split())
 #: Words of class and id names that mark what isn't the article, and what is.
 OUTSIDE = frozenset("ad ads adv advert advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice alert newsletter subscribe subscription signup share sharing social related recommended comment comments reply replies respond disqus discussion sidebar widget menu nav navbar navigation breadcrumb breadcrumbs footer header masthead topbar toolbar popup modal overlay login search pager pagination tags copyright legal disclaimer paywall toc skip".split())
+FIRST = frozenset("ad ads adv advert banner sponsor promo cookie cookies consent comment comments reply replies sidebar widget menu nav navbar footer header masthead topbar popup modal newsletter social share breadcrumb breadcrumbs".split())
 MAIN = frozenset("article content post entry story main body text maincontent".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|svg|iframe|textarea|noscript|math)\b.*?(?:</\1\s*>|\Z)|<(/?)([a-z][a-z0-9:-]*)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-z][a-z0-9:-]*)([^<>]*+)>|<[!?][^>]*+>", re.S | re.I)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|svg|iframe|textarea|noscript)\b.*?(?:</\1\s*>|\Z)|<(/?)([a-z][a-z0-9:-]*)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-z][a-z0-9:-]*)([^<>]*+)>|<[!?][^>]*+>", re.S | re.I)
 NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none", re.I)
 
 
 def _names(attributes: str) -> tuple[str, list[str], str]:
-    """The first class, generalised; words of class and id; the role."""
+    """The first class, generalised; names of class and id; the role."""
     if "=" not in attributes:
         return "", [], ""
     first, words, role = "", [], ""
@@ -46,12 +49,20 @@ def _names(attributes: str) -> tuple[str, list[str], str]:
         if m[1].lower() == "role":
             role = value
         else:
-            words += re.split(r"[^a-z]+", value)
+            words += value.split()
             if m[1].lower() == "class" and value.split():
                 first = "." + re.sub(r"\d+", "N", value.split()[0])
     return first, words, role
 
 
+def _outside(found: list[str]) -> bool:
+    """Whether names mark what isn't the article: by a whole name, or, on an element that no name calls the article, by a name's first or last word."""
+    names = [[w for w in re.split(r"[^a-z]+", n) if w] for n in found]
+    if any(len(n) == 1 and n[0] in OUTSIDE for n in names):
+        return True
+    return not any(len(n) == 1 and n[0] in MAIN for n in names) and any(n and (n[-1] in OUTSIDE or n[0] in FIRST) for n in names)
+
+
 def blocks(page: str) -> list[tuple[str, bool, str, int]]:
     """Blocks in page order: container's path, whether it is outside any article by its marks, text, characters in links."""
     out: list[tuple[str, bool, str, int]] = []
@@ -105,7 +116,7 @@ def blocks(page: str) -> list[tuple[str, bool, str, int]]:
         _, path, outside, within = stack[-1]
         first, words, role = _names(attributes)
         if not outside:
-            outside = tag in NEVER or tag == "header" and not within or role in ("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert") or (tag not in ("body", "html", "article", "main") and not OUTSIDE.isdisjoint(words)) or bool(attributes and HIDDEN.search(attributes))
+            outside = tag in NEVER or tag == "header" and not within or role in ("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert") or (tag not in ("body", "html", "article", "main") and bool(words) and _outside(words)) or bool(attributes and HIDDEN.search(attributes))
         within = within or tag in ("article", "main") or role == "main"
         stack.append((tag, path if tag in LEAF else f"{path}/{tag}{first}", outside, within))
         if attributes.endswith("/") and tag not in LEAF:
@@ -163,36 +174,38 @@ def extracted(pages: DataFrame) -> DataFrame:
     """Main text of each row of pages (page_id, url, html).
 
     Null or empty html gives an empty text; a page without a host (null url) votes among such pages. Ties between paths
-    go to the first by name. Repeated rows vote and return each; other columns are ignored; no pages give no rows.
+    go to the first by name. Repeated rows vote and return each; very long pages are read whole; other columns are ignored; no pages give no rows.
     Copies of a page vote on the winner each, but count as one page where notices are told by how often a text comes back.
     Votes are summed by host and path before they meet, so a host with any share of the pages is a few rows.
     """
     rows = pages.select(F.col("page_id").cast("long"), "url", "html")
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in row_slices(whole, whole.column(1))):
             found: list[list] = [[], [], [], [], []]
             for url, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 host, parts = split_url(url)[0], blocks(page or "")
-                whole = page_hash(parts)
+                same = page_hash(parts)
                 for path, (score, seen) in scores(parts).items():
-                    for c, x in zip(found, (host, path, score, seen, whole), strict=True):
+                    for c, x in zip(found, (host, path, score, seen, same), strict=True):
                         c.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(found, (pa.string(), pa.string(), pa.float64(), pa.int64(), pa.int64()), strict=True)], ["host", "path", "score", "seen", "whole"])
 
-    votes = rows.select("url", "html").mapInArrow(vote, "host string, path string, score double, seen bigint, whole bigint")
+    votes = rows.select("url", "html").mapInArrow(tidy(vote), "host string, path string, score double, seen bigint, whole bigint")
     paths = votes.groupBy("host", "path").agg(F.sum("score").alias("score"), F.approx_count_distinct("whole").alias("n"), F.approx_count_distinct("seen").alias("texts"))
     notice = F.expr(f"n >= {NOTICE_PAGES} and texts < {NOTICE_SHARE} * n")
     positive = F.col("score") > 0
     winner = F.max_by(F.when(positive, F.col("path")), F.when(positive, F.struct("score", "path")))
     hosts = paths.groupBy("host").agg(winner.alias("winner"), F.collect_set(F.when(notice, F.col("path"))).alias("notices"))
-    from .common import staged
-
     hosts = staged(hosts)
-    if hosts.count() <= BROADCAST_HOSTS:
-        hosts = F.broadcast(hosts)
     host = F.expr(r"case when instr(url, '://') > 0 then translate(regexp_extract(substr(url, instr(url, '://') + 3), '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') else '' end")
-    joined = rows.withColumn("host", F.coalesce(host, F.lit(""))).join(hosts, "host", "left").select("page_id", "url", "html", "winner", "notices")
+    named = rows.withColumn("host", F.coalesce(host, F.lit("")))
+    if hosts.count() <= BROADCAST_HOSTS:
+        joined = named.join(F.broadcast(hosts), "host", "left")
+    else:  # a host's pages are dealt over SALTS parts, each of which gets the host's row
+        salted = hosts.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = named.withColumn("__salt", F.expr(f"cast(pmod(xxhash64(url, page_id), {SALTS}) as int)")).join(salted, ["host", "__salt"], "left")
+    joined = joined.select("page_id", "url", "html", "winner", "notices")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -202,4 +215,4 @@ def extracted(pages: DataFrame) -> DataFrame:
                     texts.append(main_text(blocks(page or ""), None if winner is None else article_path(winner), frozenset(notices or ())))
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
-    return joined.mapInArrow(extract, "page_id bigint, url string, text string, n_chars bigint")
+    return joined.mapInArrow(tidy(extract), "page_id bigint, url string, text string, n_chars bigint")

@@ -11,8 +11,8 @@ from pyspark.sql.window import Window
 
 #: The ChatML marks around a turn.
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
-#: Parts into which the conversations of one opening are dealt for numbering.
-PARTS = 64
+#: Parts into which the conversations of one opening are dealt for numbering, for every PART_ROWS turns of each part as many again.
+PARTS, PART_ROWS = 64, 1_000_000
 
 
 def _prefix(a: str, b: str) -> str:
@@ -22,14 +22,15 @@ def _prefix(a: str, b: str) -> str:
 
 def rendered(turns: Column) -> Column:
     """Turns (role, text) as ChatML."""
-    return F.array_join(F.transform(turns, lambda t: F.concat(F.lit(OPEN), t["role"], F.lit("\n"), t["text"], F.lit(CLOSE + "\n"))), "")
+    return F.array_join(F.transform(turns, lambda t: F.concat(F.lit(OPEN), F.coalesce(t["role"], F.lit("user")), F.lit("\n"), F.coalesce(t["text"], F.lit("")), F.lit(CLOSE + "\n"))), "")
 
 
 def mask(turns: str) -> str:
     """SQL for `start:end` runs, in code points of the rendered turns, that count for the loss: text and end mark of assistant turns."""
     head, tail = len(OPEN) + 1, len(CLOSE)
-    end = f"a.at + {head} + char_length(t.role) + char_length(t.text) + {tail}"
-    span = f"concat(cast(a.at + {head} + char_length(t.role) as string), ':', cast({end} as string))"
+    role = "char_length(coalesce(t.role, 'user'))"
+    end = f"a.at + {head} + {role} + char_length(coalesce(t.text, '')) + {tail}"
+    span = f"concat(cast(a.at + {head} + {role} as string), ':', cast({end} as string))"
     return f"""aggregate({turns}, struct(0 as at, cast(array() as array<string>) as spans),
         (a, t) -> struct({end} + 1 as at, case when t.role = 'assistant' then concat(a.spans, array({span})) else a.spans end as spans), a -> array_join(a.spans, ','))"""
 
@@ -37,8 +38,10 @@ def mask(turns: str) -> str:
 def formatted(pairs: DataFrame) -> DataFrame:
     """Prompt, completions and masks of pairs with `chosen` and `rejected` arrays of (role, text); other columns stay.
 
-    Equal conversations have the whole as prompt and empty completions; an empty or null one makes the prompt empty.
+    Equal conversations have the whole as prompt and empty completions; an empty or null one makes the prompt empty. A null text
+    counts as empty and a null role as `user`; very long texts stay whole; columns named like the new ones are replaced.
     """
+    pairs = pairs.drop("n_prompt_turns", "prompt", "chosen_mask", "rejected_mask")
     none = "cast(array() as array<struct<role: string, text: string>>)"
     keep = [c for c in pairs.columns if c not in ("chosen", "rejected")]
     out = pairs.select(*keep, F.expr(f"coalesce(chosen, {none})").alias("__a"), F.expr(f"coalesce(rejected, {none})").alias("__b"))
@@ -51,17 +54,18 @@ def formatted(pairs: DataFrame) -> DataFrame:
 def paired(conversations: DataFrame) -> DataFrame:
     """Pairs from rows (conv_id, turn, role, text), as the data name no preference.
 
-    Conversations with the same first turn are coupled two by two, in the order of conv_id within PARTS parts; the one
+    Conversations with the same first turn are coupled two by two, in the order of conv_id within parts; the one
     with more turns is chosen, then the lower conv_id. One left over is chosen against itself with its last
     assistant turn cut to the first half. Every conversation is in one pair. A null text is empty, a null role `user`; turns go by number,
     role and text, equal rows count once, null turns come first; rows without conv_id are left out. Numbering uses counts
     by opening and part, so no task holds all conversations of a common opening.
     """
+    parts = PARTS * (1 + conversations.count() // (PARTS * PART_ROWS))
     turns = conversations.where("conv_id is not null").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("user")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     opening = F.min(F.struct("turn", "role", F.xxhash64("text").alias("h"), F.crc32(F.encode("text", "UTF-8")).alias("c")))
-    firsts = turns.groupBy("conv_id").agg(opening.alias("o")).select("conv_id", F.xxhash64("o.role", "o.h", "o.c").alias("__opening"), F.expr(f"pmod(conv_id, {PARTS})").alias("__part"))
+    firsts = turns.groupBy("conv_id").agg(opening.alias("o")).select("conv_id", F.xxhash64("o.role", "o.h", "o.c").alias("__opening"), F.expr(f"pmod(conv_id, {parts})").alias("__part"))
     counts = firsts.groupBy("__opening", "__part").agg(F.count(F.lit(1)).alias("__n"))
-    within = Window.partitionBy("__opening").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # PARTS rows at most
+    within = Window.partitionBy("__opening").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each part
     counts = counts.select("__opening", "__part", F.coalesce(F.sum("__n").over(within), F.lit(0)).alias("__before"), F.sum("__n").over(Window.partitionBy("__opening")).alias("__all"))
     ranked = firsts.withColumn("__row", F.row_number().over(Window.partitionBy("__opening", "__part").orderBy("conv_id"))).join(counts, ["__opening", "__part"])
     ranked = ranked.select("conv_id", "__opening", "__all", (F.col("__before") + F.col("__row") - 1).alias("__rank"))

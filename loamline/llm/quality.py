@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -11,10 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import wordhash as wh
-from .common import text_slices
-
-#: Phrases of notices, in lower case.
-PHRASES = ("all rights reserved", "terms of use", "terms of service", "privacy policy", "cookie policy", "uses cookies", "enable javascript", "subscribe to our", "sign up for our", "click here", "lorem ipsum", "skip to content", "powered by wordpress")
+from .common import text_slices, tidy
+
+#: Phrases of notices in English, German, French and Spanish, in lower case.
+PHRASES = (
+    "all rights reserved", "terms of use", "terms of service", "privacy policy", "cookie policy", "uses cookies", "enable javascript", "subscribe to our", "sign up for our", "click here", "lorem ipsum", "skip to content", "powered by wordpress",
+    "alle rechte vorbehalten", "nutzungsbedingungen", "datenschutzerklärung", "verwendet cookies", "newsletter abonnieren", "klicken sie hier", "zum inhalt springen",
+    "tous droits réservés", "conditions d'utilisation", "politique de confidentialité", "utilise des cookies", "abonnez-vous", "cliquez ici", "aller au contenu",
+    "todos los derechos reservados", "condiciones de uso", "política de privacidad", "utiliza cookies", "suscríbete a", "haz clic aquí", "saltar al contenido",
+)
 SYMBOLS = b"#*$%&|<>"
 BARS = b"|>\t"
 MARKS = b".!?:;\"')]}"
@@ -42,7 +48,14 @@ def _flags(chars: bytes) -> np.ndarray:
 
 
 _SYMBOL, _BAR, _MARK = _flags(SYMBOLS), _flags(BARS), _flags(MARKS)
-_MARK[128:] = True  # closing quotes, ellipses and the stops of other scripts
+
+
+def _closed(b: np.ndarray, last: int) -> bool:
+    """Whether the character that ends with a byte beyond ASCII is punctuation: a closing quote, an ellipsis or another script's stop."""
+    first = last
+    while first and b[first] & 0xC0 == 0x80:
+        first -= 1
+    return unicodedata.category(b[first : last + 1].tobytes().decode())[0] == "P"
 
 
 def _counts(b: np.ndarray, flags: np.ndarray) -> np.ndarray:
@@ -86,6 +99,8 @@ def _judge(b: np.ndarray, o: np.ndarray, r: Rules) -> tuple[dict, np.ndarray, np
     bars = _counts(b, _BAR)
     last = w.end[first + size - 1] - 1
     fails = ~_MARK[b[last]] & (size < r.open_words)
+    for x in np.flatnonzero(fails & (b[last] >= 128)).tolist():
+        fails[x] = not _closed(b, int(last[x]))
     n_bars = bars[end] - bars[start]
     fails |= (n_bars >= r.min_bars) & (size <= r.bar_words * n_bars)
     fails |= marked > r.max_symbol * size
@@ -95,7 +110,7 @@ def _judge(b: np.ndarray, o: np.ndarray, r: Rules) -> tuple[dict, np.ndarray, np
         p, i = phrase.encode(), -1
         while (i := low.find(p, i + 1)) >= 0:
             x = int(np.searchsorted(start, i, "right")) - 1
-            if x >= 0 and i < end[x]:
+            if x >= 0 and i + len(p) <= end[x]:  # within the line
                 fails[x] = True
     lost = np.bincount(of[fails], size[fails], n).astype(np.int64)
     out["n_lost_words"] = lost
@@ -106,8 +121,8 @@ def _judge(b: np.ndarray, o: np.ndarray, r: Rules) -> tuple[dict, np.ndarray, np
 def cleaned(docs: DataFrame, rules: Rules = Rules(), with_text: bool = False) -> DataFrame:
     """Figures and verdict of each row of docs (doc_id, text); with_text: the text without its failing lines, as `clean_text`.
 
-    A null or empty text has no words and fails. Repeated rows and ties are judged each for itself; other columns are
-    ignored; an empty table gives no rows.
+    A null or empty text has no words and fails; a very long one is judged whole. Repeated rows and ties are judged each for
+    itself, whatever rows stand beside them; other columns are ignored; an empty table gives no rows.
     """
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lost_words"]
     kinds = ["boolean" if x in ("base_failed", "kept") else "bigint" for x in names]
@@ -129,4 +144,4 @@ def cleaned(docs: DataFrame, rules: Rules = Rules(), with_text: bool = False) ->
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", *names, *["clean_text"] * with_text])
 
     schema = "doc_id bigint, " + ", ".join(f"{n} {k}" for n, k in zip(names, kinds, strict=True)) + ", clean_text string" * with_text
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(judge, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(judge), schema)

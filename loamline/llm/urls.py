@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import staged, tidy
+
 #: Rules that the trie holds at most; more go through joined_verdicts.
 TRIE_RULES = 1_000_000
 SCHEMA = "page_id bigint, host string, path string, rule string, verdict string"
@@ -87,7 +89,7 @@ def verdicts(pages: DataFrame, rules: list[tuple[str, str, str]], default: str =
             text = [pa.array(x, pa.string()) for x in ([h for h, _ in split], [p for _, p in split], [r for r, _ in found], [v for _, v in found])]
             yield pa.RecordBatch.from_arrays([batch.column(0), *text], ["page_id", "host", "path", "rule", "verdict"])
 
-    return pages.select(F.col("page_id").cast("long"), "url").mapInArrow(judge, SCHEMA)
+    return pages.select(F.col("page_id").cast("long"), "url").mapInArrow(tidy(judge), SCHEMA)
 
 
 def joined_verdicts(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFrame:
@@ -96,8 +98,6 @@ def joined_verdicts(pages: DataFrame, rules: DataFrame, default: str = "allow")
     rest = F.expr("case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end")
     page = page.withColumn("__rest", rest)
     page = page.select("page_id", "__row", F.expr(r"translate(regexp_extract(__rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')").alias("host"), F.expr(r"regexp_extract(__rest, '^[^/?#]*([^?#]*)', 1)").alias("path"))
-    from .common import staged
-
     page = staged(page)
     labels, parts = F.split("host", r"\."), F.split("path", "/")
     keys = page.withColumn("__labels", labels).withColumn("__parts", parts)
