@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from loamline.functions.version import expand_key
 
 #: Words of unreleased versions.
-TRUNK = r"\b(?:git|svn|master|trunk)\b"
+TRUNK = r"(?i)\b(?:git|svn|master|trunk)\b"
+#: Fixed value: names of files that tell their server.
+FORCED = r"^remote.(\w+)-[\w.-]+$"
 
 
 def kind(name: Column) -> Column:
@@ -53,4 +55,4 @@ def target_path(server: Column, url: Column) -> Column:
 
 def forced_server(name: Column) -> Column:
     """The server in remote.<server>-<rest>; empty for other names."""
-    return F.regexp_extract(name, r"^remote.(\w+)-[\w.-]+$", 1)
+    return F.regexp_extract(name, FORCED, 1)

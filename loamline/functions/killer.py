@@ -27,6 +27,7 @@ HEADS = [(r"^an? \w+-headed (hydra.*)\z", "a $1"), (r"^the \w+-headed ((?:Lernae
 SHAPES = [(r"^an? .* \(((?:glowing )?shapeshifter)\)\z", "a $1"), (r"^the .* shaped (.*)\z", "the $1"), (r".*\bmiscasting\b.*\z", "miscast"), (r".*\bunwield\b.*", "unwield")]
 #: Weapon patterns, applied in order.
 WEAPON = [(r"^Hit by (.*) thrown .*\z", "$1"), (r"^Shot with (.*) by .*\z", "$1"), (r"\{.*?\}", ""), (r"\(.*?\)", ""), (r"[+-]\d+,?[\t\n\f\r ]*", ""), ("^an? ", ""), ("(?:elven|orcish|dwarven) ", ""), (r"\b(?:un)?cursed ", "")]
+#: Names at the head of a killer, and titles at its end.
 PROPER = r"^(\p{Lu}[\p{L}\p{N}']*(?: \p{Lu}[\p{L}\p{N}']+)*)"
 TITLE = r" the (.*)\z"
 
@@ -56,11 +57,13 @@ def canonical(cv: Column, killer: Column, raw: Column, flags: Column, names: Nam
     return unique(cv, rewritten(killer), raw, flags, names)
 
 
+#: Patterns of modifiers.
+SPECTRAL, UNDEAD = r"spectral (\w+)", r"(?iu)(zombie|skeleton|simulacrum)\z"
+
+
 def modifier(killer: Column) -> Column:
-    spectral = r"spectral (\w+)"
-    undead = r"(?iu)(zombie|skeleton|simulacrum)\z"
-    is_spectre = killer.rlike(spectral) & (F.regexp_extract(killer, spectral, 1) != "warrior")
-    return F.when(is_spectre, F.lit("spectre")).when(killer.contains("shapeshifter"), F.lit("shapeshifter")).when(killer.rlike(undead), F.regexp_extract(killer, undead, 1)).otherwise(F.lit(""))
+    is_spectre = killer.rlike(SPECTRAL) & (F.regexp_extract(killer, SPECTRAL, 1) != "warrior")
+    return F.when(is_spectre, F.lit("spectre")).when(killer.contains("shapeshifter"), F.lit("shapeshifter")).when(killer.rlike(UNDEAD), F.regexp_extract(killer, UNDEAD, 1)).otherwise(F.lit(""))
 
 
 def weapon(kaux: Column) -> Column:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: White space that the rules know.
 SPACE = r"[\t\n\f\r ]"
+#: All white space of Unicode.
+BLANKS = "\t\n\x0b\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def let(c: Column, use: Callable[[Column], Column]) -> Column:
@@ -19,11 +21,11 @@ def let(c: Column, use: Callable[[Column], Column]) -> Column:
 
 def trim_all(c: Column) -> Column:
     """Without Unicode white space at either end."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+\z", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def trim_right(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)\s+\z", "")
+    return F.rtrim(c, F.lit(BLANKS))
 
 
 def present(c: Column) -> Column:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,20 +35,19 @@ def canonical(v: Column) -> Column:
 
 def number(v: Column) -> Column:
     """A number that sorts as versions do; 0 for null counts as no version at all."""
-    return let(trim_all(F.coalesce(v, F.lit(""))), _number)
-
-
-def _number(v: Column) -> Column:
+    v = trim_all(F.coalesce(v, F.lit("")))
     dotted = F.substring_index(v, "-", 1)
     qualifier = F.when(v.contains("-"), F.substring(v, F.length(dotted) + 2, F.length(v))).otherwise(F.lit(""))
     parts = F.split(dotted, r"\.")
-    parts = F.concat(parts, F.array_repeat(F.lit("0"), F.greatest(F.lit(0), F.lit(3) - F.size(parts))))
-    weighed = F.aggregate(
+    # three parts at most are weighed one by one; lambdas, which are slow, are for more
+    few = reduce(add, [F.coalesce(parse_int(F.get(parts, F.lit(k))).cast("long"), F.lit(0)) * F.lit(100_000_000 * 1000 ** (2 - k)) for k in range(3)])
+    many = F.aggregate(
         F.reverse(parts),
         F.struct(F.lit(0).cast("long").alias("sum"), F.lit(100_000_000).cast("long").alias("unit")),
         lambda a, p: F.struct((a["sum"] + parse_int(p).cast("long") * a["unit"]).alias("sum"), (a["unit"] * 1000).alias("unit")),
         lambda a: a["sum"],
     )
+    weighed = F.when(F.size(parts) <= 3, few).otherwise(many)
     return weighed + F.when(qualifier == "", F.lit(99_000_000).cast("long")).otherwise(let(qualifier, _rank))
 
 

@@ -11,9 +11,9 @@ from loamline.functions import clock, killer, version
 from loamline.functions.killer import Names
 from loamline.functions.text import add_article, first_not_empty, game_key, mapped, norm_bool, norm_char, norm_map, norm_place, present, sanitized_gold
 from loamline.operators import parse
-from loamline.operators.rules import Rule, applied
+from loamline.operators.rules import Rule, applied, names
 
-#: Fields of a record that are read; others stay in the map.
+#: Fields of a record that rules of this module read; promoted() adds those that are declared or that rule tables name.
 FIELDS = (
     "v vlong lv vsav vsavrv name race crace cls char title sk god tiles wiz alpha place oplace br xl sklev lvl absdepth hp mhp mmhp str int dex ac ev sh piety "
     "dur turn aut kills gold goldfound goldspent scrollsused potionsused sc dam sdam tdam start end time status ktyp killer ikiller killer_flags kaux map killermap tmsg vmsg "
@@ -23,8 +23,15 @@ FIELDS = (
 
 @dataclass(frozen=True)
 class RuleBook:
-    """All rule tables of a normalization."""
+    """All rule tables of a normalization.
 
+    branches: names of branches that say nothing, as a pattern; versions never do. games: tag words of file names by game,
+    the first that fits holds. prefixes: of table names by game.
+    """
+
+    branches: str = ""
+    games: list[tuple[str, list[str]]] = field(default_factory=list)
+    prefixes: dict[str, str] = field(default_factory=dict)
     fields: list[Rule] = field(default_factory=list)
     places: list[tuple[str, str]] = field(default_factory=list)
     gods: dict[str, str] = field(default_factory=dict)
@@ -33,22 +40,32 @@ class RuleBook:
     names: Names = field(default_factory=Names)
 
 
-def promoted(records: DataFrame, keep: tuple[str, ...]) -> DataFrame:
-    """`keep`, then a text column for each field, null where it is absent; version-like branch names are dropped."""
-    fields = F.col("fields")
-    branch = F.when(~version.like_version(fields["explbr"]) & ~fields["explbr"].rlike("^(?:HEAD|crawl-)"), fields["explbr"])
+#: Columns that normalization makes of file and record themselves; a field of that name is left in the line.
+OWN = ("base_table", "table", "cause", "__verb")
+
+
+def promoted(records: DataFrame, keep: tuple[str, ...], book: RuleBook, more: tuple[str, ...] = ()) -> DataFrame:
+    """`keep`, then a text column for each of FIELDS, `more` and the fields of rules, null where it is absent; branch names
+    that look like versions or that the book leaves out are dropped."""
+    # all fields at once by way of JSON: looked up one by one, each would search the map from its start
+    wanted = dict.fromkeys([*FIELDS, *more, *sorted(names(book.fields))])
+    wanted = [f for f in wanted if f not in keep and f not in OWN]
+    found = records.withColumn("__f", F.from_json(F.to_json("fields"), ", ".join(f"`{f}` string" for f in wanted)))
+    fields = F.col("__f")
+    named = fields["explbr"]
+    branch = F.when(~version.like_version(named) & (~named.rlike(book.branches) if book.branches else F.lit(True)), named)
     # names of Python keywords and SQL functions are fine as quoted columns
-    columns = [branch.alias("explbr") if f == "explbr" else fields[f].alias(f) for f in FIELDS if f not in keep]
-    return records.select(*keep, parse.record_kind(fields).alias("base_table"), *columns)
+    columns = [branch.alias("explbr") if f == "explbr" else fields[f].alias(f) for f in wanted]
+    return found.select(*keep, parse.record_kind(F.col("fields")).alias("base_table"), *columns)
 
 
 def _col(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def normalized(records: DataFrame, book: RuleBook, keep: tuple[str, ...] = ("src", "hash")) -> DataFrame:
-    """Records with `fields`, `src` and `hash` to flat rows, in the order that the rules need."""
-    df = applied(promoted(records, keep), book.fields)
+def normalized(records: DataFrame, book: RuleBook, keep: tuple[str, ...] = ("src", "hash"), more: tuple[str, ...] = ()) -> DataFrame:
+    """Records with `fields`, `src` and `hash` to flat rows, in the order that the rules need. more: further fields to keep."""
+    df = applied(promoted(records, keep, book, more), book.fields)
     empty = F.lit("")
     df = df.withColumns({
         "alpha": F.when(version.is_alpha(_col("v")), F.lit("t")).otherwise(_col("alpha")),
@@ -95,12 +112,18 @@ def normalized(records: DataFrame, book: RuleBook, keep: tuple[str, ...] = ("src
     return df.withColumns({n: F.col(f"__{n}") for n in ("gold", "goldfound", "goldspent")}).drop("__gold", "__goldfound", "__goldspent")
 
 
+#: Servers up to which their table is broadcast.
+BROADCAST_SERVERS = 10_000
+
+
 def timed(records: DataFrame, servers: DataFrame) -> DataFrame:
     """start, end and time in UTC by the server of `src`; servers (name, zone_s, zone_d, utc_epoch) are a few rows a site.
 
     A time that is there but can't be read is named in `cause`.
     """
     zones = servers.select(F.col("name").alias("src"), clock.zone_offset(F.col("zone_s")).alias("__s"), clock.zone_offset(F.col("zone_d")).alias("__d"), clock.epoch_moment(F.col("utc_epoch")).alias("__e"))
+    if servers.limit(BROADCAST_SERVERS + 1).count() <= BROADCAST_SERVERS:
+        zones = F.broadcast(zones)
     df = records.join(zones, "src", "left")
     bad = F.lit(False)
     for name in ("start", "end", "time"):

@@ -9,6 +9,8 @@ from loamline.functions.text import let, trim_all, trim_right
 
 #: Fixed value: a key up to `=`, a value up to the first unpaired `:`.
 PAIR = r"([^=]*)=([^:]*+(?:::[^:]*+)*+)(?::|\z)"
+#: Stands for a doubled colon while a line is cut; lines that hold it go by PAIR.
+TWO = "\x01"
 
 
 def potential(line: Column) -> Column:
@@ -17,9 +19,16 @@ def potential(line: Column) -> Column:
     return (F.length(text) > 0) & ~text.startswith(":")
 
 
+def _cut(text: Column) -> Column:
+    """A trimmed line with TWO for doubled colons and without the colon that ends its last value."""
+    text = F.replace(text, F.lit("::"), F.lit(TWO))
+    return F.when(F.endswith(text, F.lit(":")), F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(text)
+
+
 def malformed(line: Column) -> Column:
     """Whether text is left over that has no `=`."""
-    return F.regexp_replace(trim_all(line), PAIR, "") != ""
+    text = trim_all(line)
+    return (text != "") & ~F.contains(F.substring_index(_cut(text), ":", -1), F.lit("="))
 
 
 def line_hash(src: Column, line: Column) -> Column:
@@ -27,17 +36,27 @@ def line_hash(src: Column, line: Column) -> Column:
 
 
 def fields_of(line: Column) -> Column:
-    """A map of the pairs; of a repeated key the last value holds."""
+    """A map of the pairs; of a repeated key the last value holds. Lines are cut at colons; only those with a colon in a key go by PAIR."""
 
-    def pairs(text: Column) -> Column:
+    def piece(p: Column) -> Column:
+        """A piece at its first `=`."""
+        key = F.substring_index(p, "=", 1)
+        return F.struct(trim_all(F.replace(key, F.lit(TWO), F.lit("::"))).alias("key"), F.replace(F.substring(p, F.length(key) + 2, F.length(p)), F.lit(TWO), F.lit(":")).alias("value"))
+
+    def by_pattern(text: Column) -> Column:
         keys = F.transform(F.regexp_extract_all(text, F.lit(PAIR), F.lit(1)), trim_all)
         values = F.transform(F.regexp_extract_all(text, F.lit(PAIR), F.lit(2)), lambda v: F.replace(v, F.lit("::"), F.lit(":")))
-        return F.struct(keys.alias("keys"), values.alias("values"))
+        return F.arrays_zip(keys.alias("key"), values.alias("value"))
 
-    def latest(p: Column) -> Column:
-        keys, all_pairs = p["keys"], F.arrays_zip(p["keys"], p["values"])
-        last = F.filter(all_pairs, lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), F.get(keys, i)))
-        return F.map_from_entries(F.when(F.size(F.array_distinct(keys)) == F.size(keys), all_pairs).otherwise(last))
+    def latest(entries: Column) -> Column:
+        keys = entries["key"]
+        last = F.filter(entries, lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"]))
+        return F.map_from_entries(F.when(F.size(F.array_distinct(keys)) == F.size(keys), entries).otherwise(last))
+
+    def pairs(text: Column) -> Column:
+        odd = F.contains(text, F.lit(TWO))
+        cut = lambda pieces: F.when(odd | F.exists(pieces, lambda p: ~F.contains(p, F.lit("="))), by_pattern(text)).otherwise(F.transform(pieces, piece))
+        return let(F.split(_cut(text), ":", -1), cut)
 
     return let(let(trim_all(line), pairs), latest)
 
@@ -65,10 +84,15 @@ def encoded(fields: Column) -> Column:
     return F.array_join(pairs, ":")
 
 
+def marked(lines: DataFrame, line: str = "line", src: str = "src") -> DataFrame:
+    """Lines that can be records with `fields`, `hash` and the cause for which they are set aside; a malformed one has no fields."""
+    kept = lines.where(potential(F.col(line)))
+    out = kept.withColumn("fields", F.when(~malformed(F.col(line)), fields_of(F.col(line))))
+    out = out.withColumn("hash", F.coalesce(F.col("fields")["hash"], line_hash(F.col(src), F.col(line))))
+    return out.withColumn("cause", F.when(F.col("fields").isNull(), F.lit("malformed")).when(~valid(F.col("fields")), F.lit("invalid")))
+
+
 def sorted_out(lines: DataFrame, line: str = "line", src: str = "src") -> tuple[DataFrame, DataFrame]:
     """Good records, parsed, and rejected lines with their cause; lines that cannot be records are in neither."""
-    kept = lines.where(potential(F.col(line))).withColumn("__bad", malformed(F.col(line)))
-    good = parsed(kept.where("not __bad").drop("__bad"), line, src)
-    invalid = good.where(~valid(F.col("fields"))).drop("fields", "hash").withColumn("cause", F.lit("invalid"))
-    rejected = kept.where("__bad").drop("__bad").withColumn("cause", F.lit("malformed")).unionByName(invalid)
-    return good.where(valid(F.col("fields"))), rejected
+    out = marked(lines, line, src)
+    return out.where("cause is null").drop("cause"), out.where("cause is not null").drop("fields", "hash")

@@ -55,6 +55,11 @@ class Rule:
         return reduce(lambda a, b: a | b, tests)
 
 
+def names(rules: list[Rule]) -> set[str]:
+    """All fields that rules read or write."""
+    return {n for r in rules for n in (r.target, r.source or r.target, *(c for c, _ in r.conditions))}
+
+
 def applied(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Each rule in order, so that it sees what earlier ones made. Missing targets are added."""
     for r in rules:
@@ -65,6 +70,7 @@ def applied(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return df
 
 
+#: Fixed value: a declared field's name, type code, marks and whether it is unique.
 SPEC = re.compile(r"^([a-z_]+)([A-Z]*)([^\w]*?)((?:\[uuid\])?)$")
 #: Names that differ in tables, and types by code.
 NAMES = {"offset": "file_offset", "name": "pname"}

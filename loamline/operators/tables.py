@@ -53,6 +53,18 @@ def numbered(values: DataFrame, after: int = 0, key: str = "key", parts: int | N
     return out.withColumn("id", (F.col("__start") + F.col("__row") + after).cast("long")).drop("__part", "__row", "__start")
 
 
+def numbered_within(values: DataFrame, group: str, tops: DataFrame, key: str = "key", parts: int | None = None) -> DataFrame:
+    """As numbered, for all groups in one pass: each group's ids go on after its `top` in tops (group, top)."""
+    parts = parts or int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = stored(values.repartitionByRange(parts, group, key).sortWithinPartitions(group, key).withColumn("__part", F.spark_partition_id()))
+    ranged = ranged.withColumn("__row", F.row_number().over(Window.partitionBy("__part", group).orderBy(key)))
+    counts = ranged.groupBy(group, "__part").agg(F.count(F.lit(1)).alias("__n"), F.min(key).alias("__least"))
+    before = Window.partitionBy(group).orderBy("__least").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    starts = counts.join(tops, group, "left").select(group, "__part", (F.coalesce(F.sum("__n").over(before), F.lit(0)) + F.coalesce("top", F.lit(0))).alias("__start"))
+    out = ranged.join(F.broadcast(starts), [group, "__part"])
+    return out.withColumn("id", (F.col("__start") + F.col("__row")).cast("long")).drop("__part", "__row", "__start")
+
+
 def resolved(facts: DataFrame, dimension: DataFrame, column: str, to: str, case_sensitive: bool = False) -> DataFrame:
     """facts with the id of column's value in the dimension (id, key)."""
     ids = dimension.select(F.col("key").alias("__key"), F.col("id").alias(to))
@@ -75,6 +87,12 @@ def first_of_hash(batch: DataFrame, position: tuple[str, ...] = ("file", "offset
     return least.select("hash", "__r.*").select(*batch.columns)
 
 
+def first_of_stored(batch: DataFrame, position: tuple[str, ...] = ("file", "offset")) -> DataFrame:
+    """The same for a stored batch: only hashes are shuffled for all rows, and whole rows for those that came more than once."""
+    again = batch.groupBy("hash").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("hash")
+    return batch.join(again, "hash", "left_anti").unionByName(first_of_hash(batch.join(again, "hash", "left_semi"), position))
+
+
 def not_known(batch: DataFrame, hashes: DataFrame) -> DataFrame:
     return batch.join(hashes.select("hash"), "hash", "left_anti")
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loamline.functions.killer import Names
 from loamline.operators.normalize import RuleBook
+from loamline.operators.rules import Rule
 
 LOG = """
 with b as (
@@ -65,6 +66,10 @@ BOOK = RuleBook(
     gods={"okawaru": "Okawaru"},
     species={"Draconian": "Dr", "Ghoul": "Gh", "Gnoll": "Gn", "Naga": "Na"},
     jobs={"Fighter": "Fi", "Wizard": "Wz", "Skald": "Sk"},
+    fields=[Rule("lot", "props", regexp=[('^.*?(\\d+).*\\z', "$1")])],
+    branches="^(?:HEAD|release-)",
+    games=[("sprint", ["sprint", "spr"]), ("zotdef", ["zotdef", "zd"]), ("nostalgia", ["nostalgia"])],
+    prefixes={"sprint": "spr_", "zotdef": "zot_", "nostalgia": "nostalgia_"},
     names=Names(uniques=frozenset({"Grum", "Sigmund", "Maurice", "Ijyb", "Urug", "Blork"}), orcs=frozenset({"Hawl"}), lord="a pandemonium lord", special=("you", "miscasting", "unwield"), verbs={"unique": "uniq"}),
 )
 
@@ -74,6 +79,8 @@ SERVERS = [("cao", ["cao2"], "http://cao.example.org/", "-0500", "-0400", "20080
 #: Declared fields of the fact tables.
 LOG_FIELDS = ["idPK%", "hash?[uuid]", "src^", "game_key", "v", "cv^", "vnumIB", "nameS?^", "race", "cls", "char", "place", "scIB", "goldIB", "tiles!", "ktyp", "ckiller^", "kmod", "ckaux", "ntvIB", "rstart", "rend", "start", "end"]
 
+MILESTONE_FIELDS = ["idPK%", "hash?[uuid]", "src^", "nameS?^", "cv^", "place^", "oplace^", "god", "verb^", "noun", "props", "lotI", "start", "time"]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -1,83 +1,201 @@
-"""The batch load: scanned lines to a star schema with dimensions, offsets and a report."""
+"""The load: scanned lines to a star schema, in batch or as one batch of a stream.
+
+A load writes its rows, dimension values, hashes, offsets, rejected lines and report each to a folder of its own name, and is
+marked complete at the end. Readers take complete loads alone, and a load that is run again overwrites what it left, so all of
+it counts together and once.
+"""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamline.functions import clock
+from loamline.functions.text import norm_value
 from loamline.operators import normalize, parse, rules, tables
 from loamline.operators.normalize import RuleBook
+from loamline.operators.rules import Declared
 from loamline.sources import registry, sinks, workspace
 
+#: Rows of new hashes up to which they are broadcast to the stored ones.
+BROADCAST_HASHES = 1_000_000
+#: Characters of a hash that name its folder.
+PREFIX = 2
+KINDS = ("logrecord", "milestone")
+
+
+@dataclass(frozen=True)
+class Design:
+    """Declared fields by kind of record; fields that share a dimension, by its name; and fields of the record that a dimension
+    of one field keeps besides its value."""
+
+    fields: Mapping[str, list[str]]
+    shared: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
+    derived: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
+
+    def __post_init__(self):
+        if both := set(self.shared) & set(self.derived):
+            raise ValueError(f"a shared dimension keeps its value only: {sorted(both)}")
+
+    def declared(self, kind: str) -> list[Declared]:
+        return rules.declared(list(self.fields[kind]))
+
+    def dimension_of(self, name: str) -> str:
+        return next((d for d, names in self.shared.items() if name in names), name)
+
+    def extra(self) -> list[Declared]:
+        return rules.declared([s for specs in self.derived.values() for s in specs])
+
+    def names(self) -> tuple[str, ...]:
+        """All fields that records must be asked for."""
+        return tuple(dict.fromkeys(f.name for f in [*(x for k in self.fields for x in self.declared(k)), *self.extra()] if not f.primary))
+
 
 @dataclass(frozen=True)
 class Star:
-    """Where the tables of one star schema are."""
+    """Where the tables of one star schema are, and which loads of it are complete."""
 
     root: str
 
-    @property
-    def facts(self) -> str:
-        return f"{self.root}/facts"
+    def complete(self, spark: SparkSession) -> list[str]:
+        return sinks.names_in(spark, f"{self.root}/complete")
 
-    def dimension(self, name: str) -> str:
-        return f"{self.root}/l_{name}"
+    def read(self, spark: SparkSession, table: str, schema: str, *more: str, only: str | None = None) -> DataFrame:
+        """Rows of complete loads, and of `more` loads, or of one load only."""
+        path = f"{self.root}/{table}"
+        if not sinks.exists(spark, path):
+            return spark.createDataFrame([], schema)
+        names = [c.split()[0].strip("`") for c in schema.split(", ")]
+        rows = spark.read.schema(f"{schema}, load string").option("basePath", path).parquet(path)
+        return rows.where(F.col("load").isin([only] if only else [*self.complete(spark), *more])).select(*names)
 
-    @property
-    def offsets(self) -> str:
-        return f"{self.root}/file_offsets"
+    def facts(self, spark: SparkSession, kind: str, design: Design) -> DataFrame:
+        return self.read(spark, f"facts/{kind}", fact_schema(design, kind))
 
-    @property
-    def rejected(self) -> str:
-        return f"{self.root}/rejected"
+    def dimension(self, spark: SparkSession, name: str, design: Design, *more: str) -> DataFrame:
+        """Rows (id, key, value and what the dimension keeps besides)."""
+        kept = [f.column for f in rules.declared(list(design.derived.get(name, ())))]
+        return self.read(spark, "dimensions", dimension_schema(design), *more).where(F.col("dimension") == name).select("id", "key", "value", *kept)
 
+    def offsets(self, spark: SparkSession) -> DataFrame:
+        return tables.last_offsets(self.read(spark, "offsets", "file string, file_offset bigint").withColumnRenamed("file_offset", "offset"))
 
-def read_or(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).parquet(path) if sinks.exists(spark, path) else spark.createDataFrame([], schema)
+    def rejected(self, spark: SparkSession) -> DataFrame:
+        return self.read(spark, "rejected", "file string, offset bigint, line string, src string, game string, cause string")
 
+    def report(self, spark: SparkSession, load: str) -> DataFrame:
+        return self.read(spark, "reports", "table string, rows_in bigint, rows_kept bigint, skipped bigint", only=load)
 
-def prepared(scanned: DataFrame, book: RuleBook, servers: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Normalized rows with `table`, and rejected lines; scanned: file, offset, line, src, game."""
-    good, rejected = parse.sorted_out(scanned)
-    # stored once: rejected lines, dimensions and facts are all read from it, and filters aren't pushed into the rules
-    rows = workspace.stored(normalize.timed(normalize.normalized(workspace.stored(good), book, ("src", "hash", "file", "offset", "game")), servers))
-    rows = rows.withColumn("table", registry.table_name(F.col("base_table"), F.col("game")))
+
+def fact_schema(design: Design, kind: str) -> str:
+    columns = ["`table` string, `file` string, `file_offset` bigint, `hash` string"]
+    for f in stored_fields(design, kind):
+        columns.append(f"`{f.column}_id` bigint" if f.dimension else f"`{f.column}` {'boolean' if f.boolean else rules.TYPES[f.code]}")
+    return ", ".join(columns)
+
+
+def dimension_schema(design: Design) -> str:
+    return "dimension string, id bigint, key string, value string" + "".join(f", `{f.column}` {'boolean' if f.boolean else rules.TYPES[f.code]}" for f in design.extra())
+
+
+def stored_fields(design: Design, kind: str) -> list[Declared]:
+    return [f for f in design.declared(kind) if not f.primary and f.name not in ("hash", "offset", "file", "table")]
+
+
+def prepared(scanned: DataFrame, book: RuleBook, servers: DataFrame, more: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Normalized rows with `table`, rejected lines, and file and offset of every line that can be a record.
+
+    scanned: file, offset, line, src, game. Lines are decoded once and rows normalized once, each into a stored table.
+    """
+    lines = workspace.stored(parse.marked(scanned))
+    good = lines.where("cause is null").drop("cause")
+    rows = workspace.stored(normalize.timed(normalize.normalized(good, book, ("src", "hash", "file", "offset", "game"), more), servers))
+    rows = rows.withColumn("table", registry.table_name(F.col("base_table"), F.col("game"), book.prefixes))
     late = rows.where("cause is not null").select("file", "offset", F.lit(None).cast("string").alias("line"), "src", "game", "cause")
-    rows = rows.where("cause is null").drop("cause")
-    return rows.withColumns({n: clock.shown(F.col(n)) for n in ("start", "end", "time")}), rejected.select(*late.columns).unionByName(late)
+    rejected = lines.where("cause is not null").select(*late.columns).unionByName(late)
+    rows = rows.where("cause is null").drop("cause").withColumns({n: clock.shown(F.col(n)) for n in ("start", "end", "time")})
+    return rows, rejected, lines.select("file", "offset")
+
+
+def dimension_values(rows: DataFrame, design: Design) -> DataFrame:
+    """All dimensions' values in one table (dimension, key, value and what dimensions keep besides): of equal keys the last spelling."""
+    extra, each = design.extra(), []
+    for kind in design.fields:
+        for f in (f for f in stored_fields(design, kind) if f.dimension):
+            name = design.dimension_of(f.name)
+            value = norm_value(F.coalesce(_text(rows, f.name), F.lit("")))
+            own = {x.column for x in rules.declared(list(design.derived.get(name, ())))}
+            kept = [(x.typed(_text(rows, x.name)) if x.column in own else F.lit(None).cast("boolean" if x.boolean else rules.TYPES[x.code])).alias(x.column) for x in extra]
+            each.append(F.when(F.col("base_table") == kind, F.struct(F.lit(name).alias("dimension"), f.key(value).alias("key"), value.alias("value"), F.struct(F.lit(None).cast("string").alias("__none"), *kept).alias("kept"))))
+    long = rows.select("file", "offset", F.explode(F.array(*each)).alias("e")).where("e is not null")
+    last = long.groupBy("e.dimension", "e.key").agg(F.max_by(F.struct("e.value", "e.kept"), F.struct("file", "offset")).alias("e"))
+    return last.select("dimension", "key", "e.value", *[F.col(f"e.kept.{x.column}") for x in extra])
+
+
+def _text(rows: DataFrame, name: str) -> Column:
+    kinds = dict(rows.dtypes)
+    if name not in kinds:
+        return F.lit(None).cast("string")
+    return F.when(F.col(name), F.lit("t")).otherwise(F.lit("")) if kinds[name] == "boolean" else F.col(f"`{name}`").cast("string")
+
+
+def unknown(rows: DataFrame, hashes: DataFrame) -> DataFrame:
+    """rows, which are stored, without those whose hash is among the stored hashes (prefix, hash).
+
+    The stored hashes are searched for the new ones: only the folders of prefixes that occur are read, and while the new ones are
+    few they are broadcast, so that the history isn't shuffled.
+    """
+    new = rows.select(F.substring("hash", 1, PREFIX).alias("prefix"), "hash")
+    if rows.count() <= BROADCAST_HASHES:
+        new = F.broadcast(new)
+    return tables.not_known(rows, hashes.join(new, ["prefix", "hash"], "left_semi"))
 
 
-def load(scanned: DataFrame, star: Star, book: RuleBook, servers: DataFrame, specs: list[str], strict: bool = False) -> DataFrame:
+def load(scanned: DataFrame, star: Star, book: RuleBook, servers: DataFrame, design: Design | list[str], strict: bool = False, name: str | None = None) -> DataFrame:
     """Loads lines and returns the report by table: rows in, rows kept, duplicates.
 
-    The normalized batch is stored once; dimensions, facts, offsets and the report are read from it. A record is kept once
-    for its hash, over all tables and loads. Offsets also move over duplicates. strict: rejected lines are an error.
+    A record is kept once for its hash, over all tables and loads. Offsets also move over duplicates and rejected lines. A load
+    of a name that is complete is not run again. design: a list of fields is that of both kinds. strict: rejected lines are an error.
     """
     spark = scanned.sparkSession
-    fields = rules.declared(specs)
-    rows, rejected = prepared(scanned, book, servers)
+    if not isinstance(design, Design):
+        design = Design({kind: design for kind in KINDS})
+    done = star.complete(spark)
+    name = name or f"load-{len(done):09d}"
+    if name in done:
+        return star.report(spark, name)
+    rows, rejected, read = prepared(scanned, book, servers, design.names())
     if strict and rejected.limit(1).count():
         raise ValueError("lines were rejected")
-    rejected.write.mode("append").parquet(star.rejected)
-    known = read_or(spark, star.facts, "hash string")
-    kept = workspace.stored(tables.not_known(tables.first_of_hash(rows), known))
-    typed = typed_rows(kept, fields)
-    for f in (f for f in fields if f.dimension):
-        values = tables.distinct_values(rows, f.name, ("file", "offset"), f.case_sensitive)
-        old = read_or(spark, star.dimension(f.name), "id bigint, key string, value string")
-        top = old.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
-        sinks.write_dimension(tables.numbered(tables.new_values(values, old), after=top).select("id", "key", "value"), star.dimension(f.name))
-        typed = tables.resolved(typed, spark.read.parquet(star.dimension(f.name)), f.column, f"{f.column}_id", f.case_sensitive).drop(f.column)
-    sinks.write_facts(typed, star.facts)
-    old = read_or(spark, star.offsets, "file string, file_offset bigint")
-    sinks.replaced(tables.merged_offsets(old, scanned.select("file", "offset")), star.offsets)
-    return tables.load_report(rows, kept)
-
-
-def typed_rows(kept: DataFrame, fields: list[rules.Declared]) -> DataFrame:
-    """The declared columns with the row's table, file, offset and hash."""
-    fields = [f for f in fields if f.name not in ("hash", "offset", "file", "table")]
-    return rules.typed_select(kept.withColumn("file_offset", F.col("offset").cast("long")), fields, ("table", "file", "file_offset", "hash"))
+
+    def put(df: DataFrame, table: str, *by: str) -> None:
+        df.write.mode("overwrite").partitionBy(*by).parquet(f"{star.root}/{table}/load={name}")
+
+    put(rejected, "rejected")
+    kept = workspace.stored(unknown(workspace.stored(tables.first_of_stored(rows)), star.read(spark, "hashes", "hash string, prefix string")))
+    old = star.read(spark, "dimensions", dimension_schema(design))
+    fresh = dimension_values(kept, design).join(old.select("dimension", "key"), ["dimension", "key"], "left_anti")
+    tops = old.groupBy("dimension").agg(F.max("id").alias("top"))
+    put(tables.numbered_within(fresh, "dimension", tops), "dimensions", "dimension")
+    for kind in design.fields:
+        fields = stored_fields(design, kind)
+        some = kept.where(F.col("base_table") == kind).withColumn("file_offset", F.col("offset").cast("long"))
+        typed = rules.typed_select(some, fields, ("table", "file", "file_offset", "hash"))
+        for f in (f for f in fields if f.dimension):
+            ids = star.dimension(spark, design.dimension_of(f.name), design, name)
+            typed = tables.resolved(typed, ids, f.column, f"{f.column}_id", f.case_sensitive).drop(f.column)
+        put(typed.select(*[c.split()[0].strip("`") for c in fact_schema(design, kind).split(", ")]), f"facts/{kind}", "table")
+    put(kept.select("hash", F.substring("hash", 1, PREFIX).alias("prefix")).repartition("prefix"), "hashes", "prefix")
+    put(tables.last_offsets(read), "offsets")
+    put(tables.load_report(rows, kept), "reports")
+    sinks.touch(spark, f"{star.root}/complete/{name}")
+    return star.report(spark, name)
+
+
+def all_facts(spark: SparkSession, star: Star, design: Design) -> DataFrame:
+    """Facts of all kinds; columns that one lacks are null."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [star.facts(spark, kind, design) for kind in design.fields])

@@ -135,7 +135,7 @@ def record_kind(spark, sf_dir):
 def record_metadata(spark, sf_dir):
     rows = records(spark, sf_dir).withColumn("file", F.concat("src", F.lit("/meta/git/logfile"), F.when(F.col("i") % 4 == 0, F.lit("-sprint")).otherwise(F.lit(""))))
     base = parse.record_kind(fields())
-    return rows.select("i", "src", "file", registry.table_name(base, filename.game(F.col("file"), registry.GAMES)).alias("table"), base.alias("base_table"))
+    return rows.select("i", "src", "file", registry.table_name(base, filename.game(F.col("file"), BOOK.games), BOOK.prefixes).alias("table"), base.alias("base_table"))
 
 
 # -- single expressions --------------------------------------------------------------------------------------------
@@ -242,7 +242,7 @@ def multi_map(spark, sf_dir):
 
 # -- file names ----------------------------------------------------------------------------------------------------
 
-FILES = "select o_orderkey as i, case o_orderkey % 2 when 0 then 'logfile' else 'Milestones' end || case o_orderkey % 5 when 0 then '-git' when 1 then '-0.' || cast(o_orderkey % 25 as string) when 2 then cast(o_orderkey % 89 + 10 as string) when 3 then '-trunk' else '' end || case o_orderkey % 4 when 0 then '-sprint' when 1 then '-zd' when 2 then '' else '-old' end as name, 's' || cast(o_custkey as string) as server from {orders}"
+FILES = "select o_orderkey as i, case o_orderkey % 2 when 0 then 'logfile' else 'Milestones' end || case o_orderkey % 5 when 0 then case when o_orderkey % 2 = 0 then '-git' else '-GIT' end when 1 then '-0.' || cast(o_orderkey % 25 as string) when 2 then cast(o_orderkey % 89 + 10 as string) when 3 then '-trunk' else '' end || case o_orderkey % 4 when 0 then '-sprint' when 1 then '-zd' when 2 then '' else '-old' end as name, 's' || cast(o_custkey as string) as server from {orders}"
 
 
 def file_name() -> Column:
@@ -250,10 +250,10 @@ def file_name() -> Column:
 
 
 columns("file_kind", FILES, lambda: {"kind": filename.kind(file_name()), "strict": filename.strict_kind(file_name())}, "case i % 2 when 0 then 'logfile' else 'milestone' end as kind, case i % 2 when 0 then 'logfile' else 'milestone' end as strict", ("orders",))
-columns("file_game", FILES, lambda: {"game": filename.game(file_name(), registry.GAMES)}, "case i % 4 when 0 then 'sprint' when 1 then 'zotdef' else '' end as game", ("orders",))
+columns("file_game", FILES, lambda: {"game": filename.game(file_name(), BOOK.games)}, "case i % 4 when 0 then 'sprint' when 1 then 'zotdef' else '' end as game", ("orders",))
 FVER = "case when i % 5 in (0, 3) then 'git' when i % 5 = 1 then '0.' || (i % 25) when i % 5 = 2 then '0.' || (i % 89 + 10) else 'any' end"
 columns("file_version", FILES, lambda: {"version": filename.version(file_name())}, f"{FVER} as version", ("orders",))
-columns("file_qualified_name", FILES, lambda: {"file": filename.qualified_name(c("server"), filename.strict_kind(file_name()), filename.version(file_name()), filename.game(file_name(), registry.GAMES), F.when(c("i") % 4 == 3, F.lit("old")).otherwise(F.lit("")))}, f"'remote.' || server || '-' || case i % 2 when 0 then 'logfile' else 'milestone' end || '-' || {FVER} || case i % 4 when 0 then '-sprint' when 1 then '-zotdef' when 3 then '-old' else '' end as file", ("orders",))
+columns("file_qualified_name", FILES, lambda: {"file": filename.qualified_name(c("server"), filename.strict_kind(file_name()), filename.version(file_name()), filename.game(file_name(), BOOK.games), F.when(c("i") % 4 == 3, F.lit("old")).otherwise(F.lit("")))}, f"'remote.' || server || '-' || case i % 2 when 0 then 'logfile' else 'milestone' end || '-' || {FVER} || case i % 4 when 0 then '-sprint' when 1 then '-zotdef' when 3 then '-old' else '' end as file", ("orders",))
 BASES = "select s_suppkey as i, 's' || cast(s_suppkey as string) as server, case s_suppkey % 2 when 0 then 'http://h.example.org/' else 'http://h.example.org/x' end as base, case s_suppkey % 3 when 0 then '/meta//logfile' when 1 then 'logfile' else 'http://o.example.net/a/logfile' end as path from {supplier}"
 
 
@@ -271,12 +271,12 @@ SERVERS = "select 's' || cast(s_suppkey as string) as name, 'http://h' || cast(s
 def supplier_servers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each supplier as a server with two specs."""
     rows = spark.sql(SERVERS, supplier=fixtures.table(spark, sf_dir, "supplier"))
-    spec = F.when(c("m") == 0, F.lit("{logfile,milestones}-0.15{,-sprint}")).otherwise(F.lit("logfile-git*"))
+    spec = F.when(c("m") == 0, F.lit("{logfile,milestones}-0.15{,-sprint}")).when(c("m") == 2, F.lit("{logfile,milestones}{-}{0}{.15}{,-sprint}")).otherwise(F.lit("logfile-git*"))
     return rows.select("name", "base", F.array(F.struct(spec.alias("spec"), F.lit("").alias("qualifier")), F.struct(F.lit("milestones-git*").alias("spec"), F.lit("q").alias("qualifier"))).alias("logs"))
 
 
 SOURCE_SQL = f"""with s as ({SERVERS.format(supplier='supplier')}), f as (
-  select name as server, base, unnest(case when m = 0 then ['logfile-0.15', 'logfile-0.15-sprint', 'milestones-0.15', 'milestones-0.15-sprint', 'milestones-git'] else ['logfile-git', 'milestones-git'] end) as name from s)
+  select name as server, base, unnest(case when m in (0, 2) then ['logfile-0.15', 'logfile-0.15-sprint', 'milestones-0.15', 'milestones-0.15-sprint', 'milestones-git'] else ['logfile-git', 'milestones-git'] end) as name from s)
 select server, name, ends_with(name, 'git') as live, base || '/' || name as url, server || '/meta/' || name as target, case when starts_with(name, 'm') then 'milestone' else 'logfile' end as kind,
   case when ends_with(name, 'sprint') then 'sprint' else '' end as game, case when ends_with(name, 'git') then 'git' else '0.15' end as version,
   'remote.' || server || '-' || case when starts_with(name, 'm') then 'milestone' else 'logfile' end || '-' || case when ends_with(name, 'git') then 'git' else '0.15' end || case when ends_with(name, 'sprint') then '-sprint' else '' end || case when name = 'milestones-git' then '-q' else '' end as file from f"""
@@ -284,26 +284,26 @@ select server, name, ends_with(name, 'git') as live, base || '/' || name as url,
 
 @query("source_dim", SOURCE_SQL)
 def source_dim(spark, sf_dir):
-    return registry.source_dim(supplier_servers(spark, sf_dir))
+    return registry.source_dim(supplier_servers(spark, sf_dir), BOOK.games)
 
 
 @query("duplicate_targets", f"select target, count(*) as n, array_to_string(list_sort(list(url)), ' ') as urls from (select replace(target, server, 's' || (cast(substr(server, 2) as int) % 50)) as target, url from ({SOURCE_SQL})) group by 1 having count(*) > 1")
 def duplicate_targets(spark, sf_dir):
-    sources = registry.source_dim(supplier_servers(spark, sf_dir))
+    sources = registry.source_dim(supplier_servers(spark, sf_dir), BOOK.games)
     less = sources.withColumn("target", F.expr("replace(target, server, concat('s', cast(substr(server, 2) as int) % 50))"))
     return tables.duplicate_targets(less).select("target", "n", F.array_join("urls", " ").alias("urls"))
 
 
 @query("source_filter", f"select server, name from ({SOURCE_SQL}) where name like '%sprint%' or url like '%h7.%'")
 def source_filter(spark, sf_dir):
-    return registry.filtered(registry.source_dim(supplier_servers(spark, sf_dir)), ["sprint", "h7."]).select("server", "name")
+    return registry.filtered(registry.source_dim(supplier_servers(spark, sf_dir), BOOK.games), ["sprint", "h7."]).select("server", "name")
 
 
 @query("attribute_source", "with n as (select count(*) as m from supplier) select o_orderkey as i, 's' || (o_orderkey % m + 1) as server, 'milestone' as kind, '' as game, 'git' as version from orders, n where o_orderkey % m + 1 in (select s_suppkey from supplier)")
 def attribute_source(spark, sf_dir):
     m = fixtures.table(spark, sf_dir, "supplier").count()
     scanned = fixtures.table(spark, sf_dir, "orders").select(c("o_orderkey").alias("i"), F.concat(F.lit("s"), (c("o_orderkey") % m + 1).cast("string"), F.lit("/meta/milestones-git")).alias("file"))
-    return registry.attributed(scanned, registry.source_dim(supplier_servers(spark, sf_dir))).select("i", "server", "kind", "game", "version")
+    return registry.attributed(scanned, registry.source_dim(supplier_servers(spark, sf_dir), BOOK.games)).select("i", "server", "kind", "game", "version")
 
 
 @query("attribute_forced_dir", "select o_orderkey as i, case o_orderkey % 3 when 0 then 'cao' else 'cszo' end as server, case o_orderkey % 2 when 0 then 'logfile' else 'milestone' end as kind from orders where o_orderkey % 3 < 2 and o_orderkey % 5 <> 0")
@@ -335,3 +335,11 @@ def typed_select(spark, sf_dir):
     rows = normalize.normalized(records(spark, sf_dir), BOOK, ("i", "src", "hash"))
     fields = rules.declared(["nameS?^", "goldIB", "scIB", "tiles!", "missing"])
     return rules.typed_select(rows, fields, ("i",))
+
+
+@query("declared_fields", "select event_id as i, replace(props, '_', ' ') as props, coalesce(try_cast(regexp_extract(props, '^.*?(\\d+)', 1) as int), 0) as lot, case event_type when 'click' then 'unique' when 'view' then 'br.enter' when 'purchase' then 'god.worship' when 'signup' then 'rune' else 'ghost' end as \"type\" from events")
+def declared_fields(spark, sf_dir):
+    """Fields that no rule of the library reads: declared ones stay, and a rule takes one of them as its source."""
+    fields = rules.declared(["props", "lotI", "type"])
+    rows = normalize.normalized(records(spark, sf_dir, fixtures.MILESTONE), BOOK, ("i", "src", "hash"), tuple(f.name for f in fields))
+    return rules.typed_select(rows, fields, ("i",))

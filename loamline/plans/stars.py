@@ -9,7 +9,7 @@ from loamline.functions import version
 from loamline.operators import maintenance, rules, tables
 from loamline.plans import fixtures, load
 from loamline.plans.fixtures import BOOK
-from loamline.plans.records import LOGS, log_lines, records
+from loamline.plans.records import LOGS, NOUN, log_lines, records
 from loamline.plans.registry import GOOD, LOG_T, query
 from loamline.sources import sinks, workspace
 
@@ -292,23 +292,44 @@ def write_dims(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+LOGS_ONLY = load.Design({"logrecord": fixtures.LOG_FIELDS})
+#: Both kinds of records, each with fields of its own; two fields share the dimension of places, and versions keep their number.
+BOTH = load.Design({"logrecord": fixtures.LOG_FIELDS, "milestone": fixtures.MILESTONE_FIELDS}, shared={"place": ("place", "oplace")}, derived={"cv": ("cvnumIB",)})
+
+
+def log_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log lines as if scanned, a file for each server and game."""
+    lines = log_lines(spark, sf_dir).withColumn("game", F.when(c("i") % 4 == 0, F.lit("sprint")).otherwise(F.lit("")))
+    return lines.select(F.concat("src", F.lit("/meta/git/logfile"), F.when(c("game") == "", F.lit("")).otherwise(F.lit("-sprint"))).alias("file"), c("i").alias("offset"), "line", "src", "game")
+
+
+def milestone_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = fixtures.lines(spark, sf_dir, fixtures.MILESTONE)
+    return lines.select(F.lit("cszo/meta/git/milestones").alias("file"), c("i").alias("offset"), "line", "src", F.lit("").alias("game"))
+
+
 def loaded(spark: SparkSession, sf_dir: str) -> tuple[load.Star, DataFrame]:
     """Log lines loaded in two batches that overlap."""
-    star = load.Star(workspace.folder(spark))
-    lines = log_lines(spark, sf_dir).withColumn("game", F.when(c("i") % 4 == 0, F.lit("sprint")).otherwise(F.lit("")))
-    lines = lines.select(F.concat("src", F.lit("/meta/git/logfile"), F.when(c("game") == "", F.lit("")).otherwise(F.lit("-sprint"))).alias("file"), c("i").alias("offset"), "line", "src", "game")
-    load.load(lines.where("offset % 3 < 2"), star, BOOK, fixtures.servers(spark), fixtures.LOG_FIELDS)
-    return star, load.load(lines.where("offset % 3 > 0"), star, BOOK, fixtures.servers(spark), fixtures.LOG_FIELDS)
+    star, lines = load.Star(workspace.folder(spark)), log_files(spark, sf_dir)
+    load.load(lines.where("offset % 3 < 2"), star, BOOK, fixtures.servers(spark), LOGS_ONLY)
+    return star, load.load(lines.where("offset % 3 > 0"), star, BOOK, fixtures.servers(spark), LOGS_ONLY)
 
 
-@query("load_batch", GOOD.format("select i as file_offset, 'Cust ' || k as pname, '0.' || (i % 25) || case when i % 4 in (1, 2) then '-a' else '' end as cv, case when i % 4 = 0 then 'spr_logrecord' else 'logrecord' end as \"table\", cast(floor(p) as bigint) as sc from t"))
+def named(spark: SparkSession, star: load.Star, facts: DataFrame, design: load.Design, **columns: str) -> DataFrame:
+    """facts with the values of id columns: column=dimension."""
+    for column, dimension in columns.items():
+        facts = facts.join(star.dimension(spark, dimension, design).select(c("id").alias(f"{column}_id"), c("value").alias(column)), f"{column}_id")
+    return facts
+
+
+LOADED = GOOD.format("select i as file_offset, 'Cust ' || k as pname, '0.' || (i % 25) || case when i % 4 in (1, 2) then '-a' else '' end as cv, case when i % 4 = 0 then 'spr_logrecord' else 'logrecord' end as \"table\", cast(floor(p) as bigint) as sc from t")
+
+
+@query("load_batch", LOADED)
 def load_batch(spark, sf_dir):
     star, _ = loaded(spark, sf_dir)
-    facts = spark.read.parquet(star.facts)
-    for f in ("name", "cv"):
-        column = "pname" if f == "name" else f
-        facts = facts.join(spark.read.parquet(star.dimension(f)).select(c("id").alias(f"{column}_id"), c("value").alias(column)), f"{column}_id")
-    return facts.select("file_offset", "pname", "cv", c("table").cast("string").alias("table"), "sc")
+    facts = named(spark, star, star.facts(spark, "logrecord", LOGS_ONLY), LOGS_ONLY, pname="name", cv="cv")
+    return facts.select("file_offset", "pname", "cv", "table", "sc")
 
 
 @query("load_batch_report", LOG_T + " select case when i % 4 = 0 then 'spr_logrecord' else 'logrecord' end as \"table\", count(*) as rows_in, count(*) filter (i % 3 = 2) as rows_kept, count(*) filter (i % 3 = 1) as skipped from t where i % 97 <> 0 and i % 3 > 0 group by 1")
@@ -316,6 +337,27 @@ def load_batch_report(spark, sf_dir):
     return loaded(spark, sf_dir)[1]
 
 
+VERSION_NUMBER = "(i % 25) * 100000000000 + case when i % 4 in (1, 2) then 1000000 else 99000000 end"
+KINDS_SQL = GOOD.format(f"""select i as file_offset, case when i % 4 = 0 then 'spr_logrecord' else 'logrecord' end as "table", 'Cust ' || k as pname, '0.' || (i % 25) || case when i % 4 in (1, 2) then '-a' else '' end as cv,
+    {VERSION_NUMBER} as cvnum, 'D:' || (i % 15 + 1) as place, cast(floor(p) as bigint) as sc, cast(null as varchar) as noun, cast(null as varchar) as props, cast(null as int) as lot from t""")
+KINDS_SQL += """ union all select event_id, 'milestone', 'user ' || user_id, '0.16-a', 16 * 100000000000 + 1000000, 'Snake:' || (event_id % 5 + 1), null, {noun}, replace(props, '_', ' '),
+    coalesce(try_cast(regexp_extract(props, '^.*?(\\d+)', 1) as int), 0) from events"""
+
+
+@query("load_both_kinds", KINDS_SQL.replace("{noun}", NOUN.replace("'user_'", "'user '")))
+def load_both_kinds(spark, sf_dir):
+    """One load of logs and milestones: a field list each, a shared dimension, one with a derived column, and fields that no rule of the library reads."""
+    star = load.Star(workspace.folder(spark))
+    load.load(log_files(spark, sf_dir).unionByName(milestone_files(spark, sf_dir)), star, BOOK, fixtures.servers(spark), BOTH)
+    facts = load.all_facts(spark, star, BOTH)
+    # a log's place is plain text, a milestone's is in the dimension that it shares
+    places = star.dimension(spark, "place", BOTH)
+    versions = star.dimension(spark, "cv", BOTH).select(c("id").alias("cv_id"), c("value").alias("cv"), "cvnum")
+    facts = facts.join(versions, "cv_id").join(places.select(c("id").alias("oplace_id"), c("value").alias("__place")), "oplace_id", "left")
+    facts = named(spark, star, facts, BOTH, pname="name")
+    return facts.select("file_offset", "table", "pname", "cv", "cvnum", F.coalesce("__place", "place").alias("place"), "sc", "noun", "props", "lot")
+
+
 @query("games_by_version", GOOD.format("select '0.' || (i % 25) || case when i % 4 in (1, 2) then '-a' else '' end as cv, count(*) as games, max(cast(floor(p) as bigint)) as best_score from t") + " group by 1")
 def games_by_version(spark, sf_dir):
     """The flagship: lines to records to a report by version."""

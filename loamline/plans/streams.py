@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loamline.functions import filename
 from loamline.operators import rules
-from loamline.plans import fixtures
+from loamline.plans import fixtures, load, stars
+from loamline.plans.fixtures import BOOK
 from loamline.plans.registry import query
-from loamline.sources import workspace
-from loamline.streaming import tail
+from loamline.sources import workspace, xlog
+from loamline.streaming import loading, tail
 
 c = F.col
 EVENTS = f"select i, line from ({fixtures.in_sql(fixtures.MILESTONE)})"
@@ -34,6 +36,10 @@ def events(spark: SparkSession, out: str) -> DataFrame:
     return rows.select(F.substring_index("line", "\t", 1).cast("long").alias("i"), F.expr("substr(line, instr(line, '\t') + 1)").alias("line"))
 
 
+def batch_number():
+    return F.regexp_extract(F.input_file_name(), "/batch=([0-9]+)/", 1)
+
+
 def folders(spark: SparkSession) -> tuple[str, str, str]:
     root = workspace.folder(spark)
     return f"{root}/in", f"{root}/out", f"{root}/checkpoint"
@@ -61,31 +67,38 @@ def stream_backfill(spark, sf_dir):
     return events(spark, out)
 
 
-@query("stream_batch_limit", EVENTS)
+@query("stream_batch_limit", f"select i, line, true as several, true as bounded from ({EVENTS})")
 def stream_batch_limit(spark, sf_dir):
+    """The rows, with whether they came in three batches or more, each of at most the limit and a line."""
     path, out, checkpoint = folders(spark)
     put(spark, sf_dir, path, "true")
-    size = sum(x.getLen() for x in spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(spark._jvm.org.apache.hadoop.fs.Path(path)))
-    running = tail.follow(spark, path, out, checkpoint, once=False, maxBytesPerTrigger=size // 3 + 1)
+    limit = sum(xlog.listed(path).values()) // 3 + 1
+    running = tail.follow(spark, path, out, checkpoint, once=False, maxBytesPerTrigger=limit)
     try:
         running.processAllAvailable()
     finally:
         running.stop()
-    return events(spark, out)
+    size = F.octet_length("line") + 1
+    batches = followed(spark, out).groupBy(batch_number()).agg(F.sum(size).alias("bytes"), F.max(size).alias("longest"))
+    several, bounded = batches.agg(F.count(F.lit(1)) >= 3, F.bool_and(c("bytes") <= limit + c("longest"))).first()
+    return events(spark, out).select("i", "line", F.lit(several).alias("several"), F.lit(bounded).alias("bounded"))
 
 
-@query("stream_debounce", EVENTS)
+@query("stream_debounce", f"select i, line, true as fewer from ({EVENTS})")
 def stream_debounce(spark, sf_dir):
+    """The rows, with whether a burst of three lots within an interval made fewer batches than lots."""
     path, out, checkpoint = folders(spark)
-    put(spark, sf_dir, path, "i % 3 = 0")
-    running = tail.follow(spark, path, out, checkpoint, once=False, every="1 second")
+    put(spark, sf_dir, path, "i % 4 = 0")
+    tail.caught_up(spark, path, out, checkpoint)
+    running = tail.follow(spark, path, out, checkpoint, once=False, every="6 seconds")
     try:
-        for lot in (1, 2):  # a burst within an interval makes one batch
-            put(spark, sf_dir, path, f"i % 3 = {lot}")
+        for lot in (1, 2, 3):
+            put(spark, sf_dir, path, f"i % 4 = {lot}")
         running.processAllAvailable()
     finally:
         running.stop()
-    return events(spark, out)
+    batches = followed(spark, out).select(batch_number().alias("b")).agg(F.count_distinct("b")).first()[0]
+    return events(spark, out).select("i", "line", F.lit(batches < 4).alias("fewer"))
 
 
 def hashed(batch: DataFrame) -> DataFrame:
@@ -143,3 +156,33 @@ def stream_reappear(spark, sf_dir):
             fs.rename(status.getPath(), jvm.org.apache.hadoop.fs.Path(path, status.getPath().getName()))
     tail.caught_up(spark, path, out, checkpoint)
     return events(spark, out)
+
+
+def attributed(batch: DataFrame) -> DataFrame:
+    """Server and game by the file's name; the number of the line stands for its offset."""
+    name = F.regexp_extract("file", "/name=([^/]+)/", 1)
+    number = F.substring_index("line", "\t", 1).cast("long")
+    return batch.select(name.alias("file"), number.alias("offset"), F.expr("substr(line, instr(line, '\t') + 1)").alias("line"), F.substring_index(name, "-", 1).alias("src"), filename.game(name, BOOK.games).alias("game"))
+
+
+@query("stream_load", stars.LOADED)
+def stream_load(spark, sf_dir):
+    """Two lots of log lines that overlap, followed into a star schema; the second batch fails before it is complete and runs again."""
+    path, root, checkpoint = folders(spark)
+    star, rows = load.Star(root), stars.log_files(spark, sf_dir)
+    rows = rows.select(F.concat_ws("-", "src", F.nullif("game", F.lit(""))).alias("name"), F.concat(c("offset").cast("string"), F.lit("\t"), "line").alias("value"), "offset")
+
+    def run() -> None:
+        loading.followed_load(spark, path, star, checkpoint, attributed, BOOK, fixtures.servers(spark), stars.LOGS_ONLY).awaitTermination()
+
+    for lot in ("offset % 3 < 2", "offset % 3 > 0"):
+        rows.where(lot).repartition("name").select("name", "value").write.mode("append").partitionBy("name").text(path)
+        run()
+    # as after a crash just before the last mark: what the load left is not read, and is overwritten
+    last = star.complete(spark)[-1]
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/complete/{last}")
+    fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(fs_path, False)
+    lines = attributed(xlog.scan(spark, path))
+    load.load(lines.where("offset % 3 > 0"), star, BOOK, fixtures.servers(spark), stars.LOGS_ONLY, name=last)
+    facts = stars.named(spark, star, star.facts(spark, "logrecord", stars.LOGS_ONLY), stars.LOGS_ONLY, pname="name", cv="cv")
+    return facts.select("file_offset", "pname", "cv", "table", "sc")

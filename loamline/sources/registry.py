@@ -9,14 +9,11 @@ from pyspark.sql import functions as F
 
 from loamline.functions import filename
 
-#: Games by tag words in file names, first match wins.
-GAMES = [("sprint", ["sprint", "spr"]), ("zotdef", ["zotdef", "zd"]), ("nostalgia", ["nostalgia"])]
-#: Table prefixes by game.
-PREFIXES = {"": "", "sprint": "spr_", "zotdef": "zot_", "nostalgia": "nostalgia_"}
+Games = list[tuple[str, list[str]]]
 
 
-def expanded(spec: Column) -> Column:
-    """A spec's brace groups as an array of names: one group `{a,b}` at a time, innermost first, up to four."""
+def expanded(spec: Column, groups: int) -> Column:
+    """A spec's brace groups as an array of names, one group `{a,b}` at a time, innermost first; groups: how many a spec has at most."""
     group = r"^(.*)\{([^{}]*)\}(.*)\z"
 
     def once(names: Column) -> Column:
@@ -27,25 +24,26 @@ def expanded(spec: Column) -> Column:
         return F.flatten(F.transform(names, choices))
 
     out = F.array(spec)
-    for _ in range(4):
-        out = once(out)
+    for _ in range(groups):
+        out = F.array_distinct(once(out))
     return F.array_sort(F.array_distinct(out))
 
 
-def source_dim(servers: DataFrame) -> DataFrame:
-    """One row a file, from servers (name, base, logs: array of (spec, qualifier)); `*` in a spec marks it live."""
+def source_dim(servers: DataFrame, games: Games) -> DataFrame:
+    """One row a file, from servers (name, base, logs: array of (spec, qualifier)), a table of settings; `*` in a spec marks it live."""
     spec = servers.select(F.col("name").alias("server"), "base", F.explode("logs").alias("l")).select("server", "base", "l.spec", "l.qualifier")
-    files = spec.select("server", "base", "qualifier", F.col("spec").contains("*").alias("live"), F.explode(expanded(F.replace("spec", F.lit("*"), F.lit("")))).alias("name"))
+    groups = spec.agg(F.max(F.length("spec") - F.length(F.replace("spec", F.lit("{"), F.lit(""))))).first()[0] or 0
+    files = spec.select("server", "base", "qualifier", F.col("spec").contains("*").alias("live"), F.explode(expanded(F.replace("spec", F.lit("*"), F.lit("")), groups)).alias("name"))
     url = filename.url_join(F.col("base"), F.col("name"))
     return files.select(
-        "server", "name", "live", url.alias("url"), filename.target_path(F.col("server"), url).alias("target"), filename.kind(F.col("name")).alias("kind"), filename.game(F.col("name"), GAMES).alias("game"),
-        filename.version(F.col("name")).alias("version"), filename.qualified_name(F.col("server"), filename.kind(F.col("name")), filename.version(F.col("name")), filename.game(F.col("name"), GAMES), F.coalesce("qualifier", F.lit(""))).alias("file"),
+        "server", "name", "live", url.alias("url"), filename.target_path(F.col("server"), url).alias("target"), filename.kind(F.col("name")).alias("kind"), filename.game(F.col("name"), games).alias("game"),
+        filename.version(F.col("name")).alias("version"), filename.qualified_name(F.col("server"), filename.kind(F.col("name")), filename.version(F.col("name")), filename.game(F.col("name"), games), F.coalesce("qualifier", F.lit(""))).alias("file"),
     )
 
 
-def table_name(base: Column, game: Column) -> Column:
-    """A variant's name of a fact table."""
-    prefix = F.element_at(F.create_map(*[F.lit(x) for kv in PREFIXES.items() for x in kv]), game)
+def table_name(base: Column, game: Column, prefixes: dict[str, str]) -> Column:
+    """A variant's name of a fact table; a game without a prefix of its own gives its name."""
+    prefix = F.element_at(F.create_map(*[F.lit(x) for kv in ({"": ""} | prefixes).items() for x in kv]), game)
     return F.concat(F.coalesce(prefix, F.concat(game, F.lit("_"))), base)
 
 

@@ -15,6 +15,20 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, in order; none where it is missing."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True).close()
+
+
 def write_facts(rows: DataFrame, path: str) -> None:
     """Appends rows, each to the folder of its table: one write, without a loop over tables."""
     rows.write.mode("append").partitionBy("table").parquet(path)

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamline.operators import tables
-from loamline.sources import sinks, xlog
+from loamline.sources import sinks, workspace, xlog
 
+#: Rows of a batch up to which its hashes are broadcast.
+BROADCAST_HASHES = 1_000_000
 Handle = Callable[[DataFrame], DataFrame]
 
 
@@ -30,10 +32,12 @@ def follow(spark: SparkSession, path: str, out: str, checkpoint: str, handle: Ha
     def put(batch: DataFrame, number: int) -> None:
         rows = handle(batch) if handle else batch
         if dedup:
-            rows = tables.first_of_hash(rows.withColumnRenamed(dedup, "hash"))
+            rows = workspace.stored(tables.first_of_hash(rows.withColumnRenamed(dedup, "hash")))
             before = stored_rows(spark, out, rows.withColumnRenamed("hash", dedup).schema).select(F.col(dedup).alias("hash"), F.input_file_name().alias("__in"))
             before = before.where(~F.col("__in").contains(f"/batch={number}/"))
-            rows = tables.not_known(rows, before).withColumnRenamed("hash", dedup)
+            new = rows.select("hash")
+            new = F.broadcast(new) if rows.count() <= BROADCAST_HASHES else new  # so that a small batch doesn't shuffle what is stored
+            rows = tables.not_known(rows, before.join(new, "hash", "left_semi")).withColumnRenamed("hash", dedup)
         rows.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     writer = xlog.tail(spark, path, **options).writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
