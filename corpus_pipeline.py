@@ -20,11 +20,15 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each near-duplicate class the document that names it, the one with the least doc_id."""
-    gone = staged(jaccard.classes(docs).where("class_id <> doc_id").select("doc_id").distinct())
+    """Keeps one row of each near-duplicate class, the first of the stored table.
+
+    Rows go by their place in a stored table, so repeated doc_ids, repeated rows and null doc_ids are rows like others.
+    """
+    rows = staged(docs.withColumn("__row", F.monotonically_increasing_id()))
+    gone = staged(jaccard.classes(rows.select(F.col("__row").alias("doc_id"), "text")).where("class_id <> doc_id").select(F.col("doc_id").alias("__row")))
     if gone.count() <= jaccard.BROADCAST_ROWS:
         gone = F.broadcast(gone)
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return rows.join(gone, "__row", "left_anti").select(*docs.columns)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
