@@ -29,9 +29,20 @@ def less_seconds(t: Column, seconds: Column) -> Column:
     return t - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
 
 
+def raw_moment(t: Column) -> Column:
+    """A raw time as a time, its month counted from 0; null for another text, or a day or hour that doesn't exist."""
+    part = lambda at, n: F.substring(t, at, n).try_cast("int")
+    made = F.try_make_timestamp_ntz(part(1, 4), part(5, 2) + 1, part(7, 2), part(9, 2), part(11, 2), part(13, 2))
+    return F.when(t.rlike(RAW) & (part(13, 2) < 60), made)
+
+
 def to_utc(raw: Column, epoch: Column, standard: Column, summer: Column) -> Column:
     """Raw time to UTC: the server's offset (seconds) counts up to its epoch; later, or without epoch or zone, times are UTC already."""
-    t = moment(raw_digits(raw))
+    return shifted(raw_moment(raw), raw, epoch, standard, summer)
+
+
+def shifted(t: Column, raw: Column, epoch: Column, standard: Column, summer: Column) -> Column:
+    """The same for a raw time that is read already."""
     offset = F.when(daylight(raw), summer).otherwise(standard)
     local = epoch.isNotNull() & standard.isNotNull() & (t <= epoch)
     return F.when(F.coalesce(local, F.lit(False)), less_seconds(t, F.coalesce(offset, standard))).otherwise(t)

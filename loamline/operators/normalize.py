@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from loamline.functions import clock, killer, version
 from loamline.functions.killer import Names
 from loamline.functions.text import add_article, first_not_empty, game_key, mapped, norm_bool, norm_char, norm_map, norm_place, present, sanitized_gold
 from loamline.operators import parse
-from loamline.operators.rules import Rule, applied, names
+from loamline.operators.rules import Rule, names, rule_steps
 
 #: Fields of a record that rules of this module read; promoted() adds those that are declared or that rule tables name.
 FIELDS = (
@@ -63,11 +64,23 @@ def _col(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def normalized(records: DataFrame, book: RuleBook, keep: tuple[str, ...] = ("src", "hash"), more: tuple[str, ...] = ()) -> DataFrame:
-    """Records with `fields`, `src` and `hash` to flat rows, in the order that the rules need. more: further fields to keep."""
-    df = applied(promoted(records, keep, book, more), book.fields)
+#: Columns made for a rule book, by running Spark and book: they name fields only, so all loads and batches share them.
+_made: dict[tuple[int, int], tuple[RuleBook, list[dict[str, Column]]]] = {}
+
+
+def steps(book: RuleBook) -> list[dict[str, Column]]:
+    """What normalization adds or replaces, step by step, in the order that the rules need."""
+    key = id(SparkContext._active_spark_context), id(book)
+    if key not in _made:
+        if len(_made) >= 16:
+            _made.pop(next(iter(_made)))
+        _made[key] = book, _steps(book)
+    return _made[key][1]
+
+
+def _steps(book: RuleBook) -> list[dict[str, Column]]:
     empty = F.lit("")
-    df = df.withColumns({
+    first = {
         "alpha": F.when(version.is_alpha(_col("v")), F.lit("t")).otherwise(_col("alpha")),
         "cv": version.canonical(_col("v")),
         "v": version.full(_col("v")),
@@ -83,11 +96,10 @@ def normalized(records: DataFrame, book: RuleBook, keep: tuple[str, ...] = ("src
         "rstart": _col("start"),
         "game_key": game_key(_col("name"), _col("src"), _col("start")),
         "banisher": F.when(_col("banisher").isNotNull(), add_article(_col("banisher"), book.names.special)),
-    })
+    }
     milestone = F.col("base_table") == "milestone"
-    raw_verb = mapped(_col("type"), book.names.verbs)
     blank = F.coalesce(_col("killer"), empty)
-    df = df.withColumns({
+    second = {
         "vnum": version.number(_col("v")), "cvnum": version.number(_col("cv")), "vsavnum": version.number(_col("vsav")), "vsavrvnum": version.number(_col("vsavrv")), "vlongnum": version.number(_col("vlong")),
         "oplace": F.when(milestone, first_not_empty(_col("oplace"), _col("place"))).otherwise(_col("oplace")),
         "rtime": F.when(milestone, _col("time")),
@@ -99,19 +111,28 @@ def normalized(records: DataFrame, book: RuleBook, keep: tuple[str, ...] = ("src
         "cbanisher": F.when(_col("banisher").isNotNull(), killer.canonical(_col("cv"), _col("banisher"), _col("banisher"), empty, book.names)),
         "kmod": F.when(~milestone, killer.modifier(blank)),
         "ckaux": F.when(~milestone, killer.weapon(F.coalesce(_col("kaux"), empty))),
-        "__verb": raw_verb,
-    })
-    df = df.withColumns({
+        "__verb": mapped(_col("type"), book.names.verbs),
+    }
+    amounts = dict(zip(("gold", "goldfound", "goldspent"), sanitized_gold(*[_col(n) for n in ("gold", "goldfound", "goldspent")]), strict=True))
+    third = {
         "ckiller": F.when(~milestone, killer.canonical(_col("cv"), first_not_empty(_col("killer"), _col("ktyp")), _col("killer"), _col("killer_flags"), book.names)),
         "cikiller": F.when(~milestone, killer.canonical(_col("cv"), _col("ikiller"), _col("ikiller"), empty, book.names)),
         "noun": F.when(milestone, killer.milestone_noun(_col("__verb"), _col("milestone"), F.coalesce(_col("place"), empty), F.coalesce(_col("oplace"), empty), F.coalesce(_col("god"), empty))),
         "verb": F.when(milestone, killer.milestone_verb(_col("__verb"), F.coalesce(_col("milestone"), empty))),
-    }).drop("__verb")
-    for name, amount in zip(("gold", "goldfound", "goldspent"), sanitized_gold(*[_col(n) for n in ("gold", "goldfound", "goldspent")]), strict=True):
-        df = df.withColumn(f"__{name}", amount)
-    return df.withColumns({n: F.col(f"__{n}") for n in ("gold", "goldfound", "goldspent")}).drop("__gold", "__goldfound", "__goldspent")
+        **amounts,
+    }
+    return [*rule_steps(book.fields), first, second, third]
+
+
+def normalized(records: DataFrame, book: RuleBook, keep: tuple[str, ...] = ("src", "hash"), more: tuple[str, ...] = ()) -> DataFrame:
+    """Records with `fields`, `src` and `hash` to flat rows. more: further fields to keep."""
+    df = promoted(records, keep, book, more)
+    for step in steps(book):
+        df = df.withColumns(step)
+    return df.drop("__verb")
 
 
+TIMES = ("start", "end", "time")
 #: Servers up to which their table is broadcast.
 BROADCAST_SERVERS = 10_000
 
@@ -124,11 +145,10 @@ def timed(records: DataFrame, servers: DataFrame) -> DataFrame:
     zones = servers.select(F.col("name").alias("src"), clock.zone_offset(F.col("zone_s")).alias("__s"), clock.zone_offset(F.col("zone_d")).alias("__d"), clock.epoch_moment(F.col("utc_epoch")).alias("__e"))
     if servers.limit(BROADCAST_SERVERS + 1).count() <= BROADCAST_SERVERS:
         zones = F.broadcast(zones)
-    df = records.join(zones, "src", "left")
+    # read once in a step of their own, as several expressions use them
+    df = records.withColumns({f"__{n}_read": clock.raw_moment(_col(n)) for n in TIMES}).join(zones, "src", "left")
     bad = F.lit(False)
-    for name in ("start", "end", "time"):
-        there = present(_col(name)).isNotNull()
-        df = df.withColumn(f"__{name}", F.when(there, clock.to_utc(_col(name), F.col("__e"), F.col("__s"), F.col("__d"))))
-        bad = bad | (there & F.col(f"__{name}").isNull())
-    df = df.withColumn("cause", F.when(bad, F.lit("time")))
-    return df.withColumns({n: F.col(f"__{n}") for n in ("start", "end", "time")}).drop("__start", "__end", "__time", "__s", "__d", "__e")
+    for name in TIMES:
+        bad = bad | (present(_col(name)).isNotNull() & F.col(f"__{name}_read").isNull())
+    new = {n: clock.shifted(F.col(f"__{n}_read"), _col(n), F.col("__e"), F.col("__s"), F.col("__d")) for n in TIMES}
+    return df.withColumns({"cause": F.when(bad, F.lit("time")), **new}).drop(*[f"__{n}_read" for n in TIMES], "__s", "__d", "__e")

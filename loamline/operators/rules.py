@@ -60,6 +60,11 @@ def names(rules: list[Rule]) -> set[str]:
     return {n for r in rules for n in (r.target, r.source or r.target, *(c for c, _ in r.conditions))}
 
 
+def rule_steps(rules: list[Rule]) -> list[dict[str, Column]]:
+    """The rules in order as columns to put in place, for rows that have all of names(rules)."""
+    return [{r.target: F.when(matches(r.conditions), r.transformed(F.col(r.source or r.target))).otherwise(F.col(r.target))} for r in rules]
+
+
 def applied(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Each rule in order, so that it sees what earlier ones made. Missing targets are added."""
     for r in rules:
