@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -58,16 +59,28 @@ def row_slices(batch: pa.RecordBatch, size_of: pa.Array, limit: int = 1 << 20) -
         lo = hi
 
 
-def tidy(run, keep: str = ""):
-    """A mapper of Arrow batches that first frees what other operators left in a reused worker, and at its end what Arrow holds unused.
+def _give_back() -> None:
+    """Hands memory that Arrow and the C library hold unused back to the system, as workers live on after a task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidy(run, keep: str = "", every: int = 32):
+    """A mapper of Arrow batches that first frees what other operators left in a reused worker, and now and then what is held unused.
 
     keep: the operator whose memory this mapper uses.
     """
 
     def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wordhash.release(keep)
-        yield from run(batches)
-        pa.default_memory_pool().release_unused()
+        if wordhash.release(keep):
+            _give_back()
+        for k, batch in enumerate(run(batches), 1):
+            yield batch
+            if k % every == 0:
+                _give_back()
+        _give_back()
 
     return tidied
 

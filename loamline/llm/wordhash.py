@@ -13,7 +13,7 @@ import numpy as np
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 _powers: dict[str, np.ndarray] = {"n": np.zeros(0, U)}
 
 
@@ -198,10 +198,12 @@ class Memory:
 _holder: dict = {}
 
 
-def release(keep: str = "") -> None:
-    """Frees what another operator than `keep` holds in this worker."""
+def release(keep: str = "") -> bool:
+    """Frees what another operator than `keep` holds in this worker; whether there was anything."""
     if _holder and next(iter(_holder))[0] != keep:
         _holder.clear()
+        return True
+    return False
 
 
 def holder(key: tuple, make):

@@ -323,3 +323,31 @@ def test_query_of_url_rules_on_odd_rows(spark):
         got = make(pages).collect()
         assert Counter(r.verdict for r in got) == {"allow": 2, "block": 2} and {r.host for r in got} == {"", "a.org"}
         assert make(pages.limit(0)).count() == 0
+
+
+def test_planted_secrets_in_texts_held_out(spark, docs):
+    """The field is fitted on half of the texts; made secrets of another seed are planted in the other half."""
+    import random
+
+    from loamline.llm import secrets
+
+    field = secrets.fitted(docs.where("doc_id % 2 = 0"))
+    texts = [r.text for r in docs.where("doc_id % 2 = 1").collect() if r.text and len(r.text.split()) > 30]
+    r, found, planted, exact = random.Random(11), 0, 0, 0
+    made = [x for x in secrets.made_examples(900, 4321) if x[2]]
+    for k, (chunk, before, [(s, e)]) in enumerate(made):
+        words = texts[k % len(texts)].split(" ")[:200]
+        at = r.randrange(len(words))
+        head = " ".join([*words[:at], *before, ""])
+        text = head + chunk + " " + " ".join(words[at:])
+        lo, hi = len(head) + s, len(head) + e
+        spans = [(b if k < 3 else a, z) for a, k, z, b in secrets._scan(text, field)]
+        planted += 1
+        found += any(a < hi and z > lo for a, z in spans)
+        exact += (lo, hi) in spans
+    n_words = sum(len(t.split()) for t in texts)
+    false = sum(k == 3 for t in texts for _, k, _, _ in secrets._scan(t, field))
+    print(f"recall {found / planted:.3f}, exact {exact / planted:.3f}, spans added {false} in {n_words} words")
+    assert found >= 0.85 * planted and exact >= 0.75 * planted and false <= n_words / 1000
+    for plain in ("id 123e4567-e89b-12d3-a456-426614174000 ok", "order ORD-2024-001234 sent", "see v0.9.1-14-gabc1234 and IMG_20240101.jpg"):
+        assert secrets._scan(plain, field) == []
