@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def folder(spark: SparkSession) -> str:
-    """A fresh folder under spark.checkpoint.dir; under a local one only where that is unset."""
+    """A fresh folder under spark.checkpoint.dir. Where that is unset, a local one serves a local session; a cluster must name one."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(root)
     return f"{root}/{uuid.uuid4().hex}"
