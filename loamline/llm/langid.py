@@ -29,7 +29,7 @@ ROUNDS, PRIOR, FLOOR = 3, 0.01, 1e-7
 #: Letters of the longest words that the fit learns from; all words are scored.
 TRAIN_WORD = 32
 #: Runs of letters that a worker remembers at most, and the bytes that their scores take at most.
-MEMO, MEMO_BYTES = 1_000_000, 1 << 25
+MEMO, MEMO_BYTES = 600_000, 1 << 25
 #: Letters after which the sums of the forward algorithm are scaled.
 RESCALE = 8
 #: Languages whose scores are summed at once.

@@ -41,7 +41,7 @@ SLOTS, SAMPLE_DOCS, SAMPLE_CHUNKS, SAMPLE_WORDS, SAMPLE_LONG = 1 << 14, 2000, 15
 FIT_CHARS, FIT_TOKENS = 400, 60
 EPOCHS, RATE, L2, SEED = 60, 0.3, 1e-4, 5
 #: Tokens and kinds of tokens of chunks whose bounds are worked out, and chunks that a worker remembers at most.
-FEW_TOKENS, FEW_KINDS, REMEMBERED = 10, 4, 400_000
+FEW_TOKENS, FEW_KINDS, REMEMBERED = 10, 4, 300_000
 #: Bytes of texts that are scanned together.
 SLICE = 1 << 20
 
