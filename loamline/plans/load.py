@@ -23,6 +23,8 @@ from loamline.sources import registry, sinks, workspace
 
 #: Rows of new hashes up to which they are broadcast to the stored ones.
 BROADCAST_HASHES = 1_000_000
+#: Lines below which records are dealt anew over all cores before they are normalized.
+SPREAD_BELOW = 2_000_000
 #: Characters of a hash that name its folder.
 PREFIX = 2
 KINDS = ("logrecord", "milestone")
@@ -113,6 +115,8 @@ def prepared(scanned: DataFrame, book: RuleBook, servers: DataFrame, more: tuple
     """
     lines = workspace.stored(parse.marked(scanned))
     good = lines.where("cause is null").drop("cause")
+    if lines.count() < SPREAD_BELOW:  # a few small files are few tasks
+        good = good.repartition(good.sparkSession.sparkContext.defaultParallelism)
     rows = workspace.stored(normalize.timed(normalize.normalized(good, book, ("src", "hash", "file", "offset", "game"), more), servers))
     rows = rows.withColumn("table", registry.table_name(F.col("base_table"), F.col("game"), book.prefixes))
     late = rows.where("cause is not null").select("file", "offset", F.lit(None).cast("string").alias("line"), "src", "game", "cause")
