@@ -57,7 +57,8 @@ def paired(conversations: DataFrame) -> DataFrame:
     Conversations with the same first turn are coupled two by two, in the order of conv_id within parts; the one
     with more turns is chosen, then the lower conv_id. One left over is chosen against itself with its last
     assistant turn cut to the first half. Every conversation is in one pair. A null text is empty, a null role `user`; turns go by number,
-    role and text, equal rows count once, null turns come first; rows without conv_id are left out. Numbering uses counts
+    role and text, equal rows count once, null turns come first; rows without conv_id are left out; very long texts stay whole; other
+    columns are ignored; no rows give no pairs. Numbering uses counts
     by opening and part, so no task holds all conversations of a common opening.
     """
     parts = PARTS * (1 + conversations.count() // (PARTS * PART_ROWS))

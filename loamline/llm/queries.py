@@ -84,7 +84,7 @@ with t as (
 c as (
   select conv_id, list({'role': role, 'text': text} order by turn nulls first, role, text) as turns from t group by 1),
 k as (
-  select conv_id, turns, turns[1] as opening, conv_id % 64 as part from c),
+  select conv_id, turns, turns[1] as opening, conv_id % (64 * (1 + (select count(*) from conversations) // 64000000)) as part from c),
 n as (
   select conv_id, turns, opening, row_number() over (partition by opening order by part, conv_id) - 1 as rnk, count(*) over (partition by opening) as al from k),
 p as (

@@ -75,7 +75,8 @@ def verdicts(pages: DataFrame, rules: list[tuple[str, str, str]], default: str =
 
     rules: host, path, `allow` or `block`. A rule fits its host and all subdomains where the path begins with the
     rule's; more host labels win, then the longer path; of two equal ones, block. Without a rule the verdict is
-    `default`. Null urls have an empty host and path. Repeated rows each give a row; other columns are ignored.
+    `default`. Null urls have an empty host and path; very long ones are read whole. Repeated rows
+    each give a row; other columns are ignored, whatever their names; no pages give no rows.
     """
     if len(rules) > TRIE_RULES:
         raise ValueError(f"{len(rules)} rules are too many to broadcast; use joined_verdicts")
