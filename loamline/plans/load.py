@@ -25,8 +25,6 @@ from loamline.sources import registry, sinks, workspace
 BROADCAST_HASHES = 1_000_000
 #: Lines below which records are dealt anew over all cores before they are normalized.
 SPREAD_BELOW = 2_000_000
-#: Characters of a hash that name its folder.
-PREFIX = 2
 KINDS = ("logrecord", "milestone")
 
 
@@ -59,9 +57,14 @@ class Design:
 
 @dataclass(frozen=True)
 class Star:
-    """Where the tables of one star schema are, and which loads of it are complete."""
+    """Where the tables of one star schema are, and which loads of it are complete.
+
+    prefix: characters of a hash that name its folder, the same for all loads; two or three for a history of very many hashes,
+    of which small batches then read a small part.
+    """
 
     root: str
+    prefix: int = 1
 
     def complete(self, spark: SparkSession) -> list[str]:
         return sinks.names_in(spark, f"{self.root}/complete")
@@ -147,13 +150,13 @@ def _text(rows: DataFrame, name: str) -> Column:
     return F.when(F.col(name), F.lit("t")).otherwise(F.lit("")) if kinds[name] == "boolean" else F.col(f"`{name}`").cast("string")
 
 
-def unknown(rows: DataFrame, hashes: DataFrame) -> DataFrame:
+def unknown(rows: DataFrame, hashes: DataFrame, prefix: int) -> DataFrame:
     """rows, which are stored, without those whose hash is among the stored hashes (prefix, hash).
 
     The stored hashes are searched for the new ones: only the folders of prefixes that occur are read, and while the new ones are
     few they are broadcast, so that the history isn't shuffled.
     """
-    new = rows.select(F.substring("hash", 1, PREFIX).alias("prefix"), "hash")
+    new = rows.select(F.substring("hash", 1, prefix).alias("prefix"), "hash")
     if rows.count() <= BROADCAST_HASHES:
         new = F.broadcast(new)
     return tables.not_known(rows, hashes.join(new, ["prefix", "hash"], "left_semi"))
@@ -180,7 +183,7 @@ def load(scanned: DataFrame, star: Star, book: RuleBook, servers: DataFrame, des
         df.write.mode("overwrite").partitionBy(*by).parquet(f"{star.root}/{table}/load={name}")
 
     put(rejected, "rejected")
-    kept = workspace.stored(unknown(workspace.stored(tables.first_of_stored(rows)), star.read(spark, "hashes", "hash string, prefix string")))
+    kept = workspace.stored(unknown(workspace.stored(tables.first_of_stored(rows)), star.read(spark, "hashes", "hash string, prefix string"), star.prefix))
     old = star.read(spark, "dimensions", dimension_schema(design))
     fresh = dimension_values(kept, design).join(old.select("dimension", "key"), ["dimension", "key"], "left_anti")
     tops = old.groupBy("dimension").agg(F.max("id").alias("top"))
@@ -193,7 +196,7 @@ def load(scanned: DataFrame, star: Star, book: RuleBook, servers: DataFrame, des
             ids = star.dimension(spark, design.dimension_of(f.name), design, name)
             typed = tables.resolved(typed, ids, f.column, f"{f.column}_id", f.case_sensitive).drop(f.column)
         put(typed.select(*[c.split()[0].strip("`") for c in fact_schema(design, kind).split(", ")]), f"facts/{kind}", "table")
-    put(kept.select("hash", F.substring("hash", 1, PREFIX).alias("prefix")).repartition("prefix"), "hashes", "prefix")
+    put(kept.select("hash", F.substring("hash", 1, star.prefix).alias("prefix")).repartition("prefix"), "hashes", "prefix")
     put(tables.last_offsets(read), "offsets")
     put(tables.load_report(rows, kept), "reports")
     sinks.touch(spark, f"{star.root}/complete/{name}")
