@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html, jaccard, langid, packing, preferences, quality, secrets, sharding, urls
+from . import decontaminate, html, jaccard, langid, merkle, packing, preferences, quality, secrets, sharding, urls
 from .common import table
 
 #: The rules of the URL query.
@@ -57,12 +57,16 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_jaccard_join, op3_secret_scan, op4_html_text, op5_preferences, op6_url_filter, op7_decontamination, op8_line_cleaning, op9_hilbert_shards, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op1_language_id, op2_jaccard_join, op3_secret_scan, op4_html_text, op5_preferences, op6_url_filter, op7_decontamination, op8_line_cleaning, op9_hilbert_shards, op10_best_fit_packing, op11_merkle_manifest)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_url_filter": OP6, "op5_preferences": OP5}
+    return {"op6_url_filter": OP6, "op5_preferences": OP5, "op11_merkle_manifest": op11_sql()}
 
 
 OP6 = r"""
@@ -119,3 +123,32 @@ select chosen_conv, rejected_conv, cast(np as bigint) as n_prompt_turns,
     (length(array_to_string(rs[1:i - 1], '')) + 13 + length(t.role)) || ':' || (length(array_to_string(rs[1:i], '')) - 1) end), lambda x: x is not null), ','), '') as rejected_mask
 from m
 """
+
+
+def op11_sql(levels: int = 8) -> str:
+    """DuckDB SQL of the manifest for up to 8 to the power of `levels` documents a language, and as many languages."""
+    framed = lambda c, text: f"coalesce(strlen({text}) || ':' || {text}, '-')"
+    leaf = lambda text: "sha256(" + " || ".join(framed(c, text if c == "text" else f"cast({c} as varchar)") for c in ("doc_id", "source", "lang", "n_chars", "text")) + ")"
+    crc = "xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(cast(doc_id as varchar), ''), lambda x: ord(x)::bigint)), lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda c, d: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)), 4294967295)"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    out = [f"k as (select doc_id, lang, {leaf('text')} as leaf, case when {crc} % 3 = 0 then {leaf(lower)} end as changed from documents)"]
+    out.append("b as (select *, dense_rank() over (order by lang nulls first) - 1 as g, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as i, count(*) over (partition by lang) as n from k)")
+
+    def tree(name: str, first: str) -> str:
+        """Levels name0 and on of nodes (g, i, n, d) with what stands left and right in their runs; the last has the roots."""
+        source = first
+        for level in range(levels):
+            both = [f"coalesce(string_agg(d, '') over (partition by g, i // 8 order by i rows between {rows}), '')" for rows in ("unbounded preceding and 1 preceding", "1 following and unbounded following")]
+            out.append(f"{name}{level} as (select g, i, n, d, {both[0]} as l, {both[1]} as r from {source})")
+            source = f"(select g, i // 8 as i, (n + 7) // 8 as n, case when n = 1 then any_value(d) else sha256(string_agg(d, '' order by i)) end as d from {name}{level} group by g, i // 8, n)"
+        out.append(f"{name}{levels} as (select g, d from {source})")
+        return name
+
+    tree("s", "(select g, i, n, leaf as d from b)")
+    tree("t", f"(select 0 as g, g as i, count(*) over () as n, d from s{levels})")
+    path = [f"s{k}" for k in range(levels)] + [f"t{k}" for k in range(levels)]
+    joins = [f"join s{k} on s{k}.g = b.g and s{k}.i = b.i // {8**k}" for k in range(levels)] + [f"join t{k} on t{k}.i = b.g // {8**k}" for k in range(levels)]
+    out.append(f"p as (select b.doc_id, b.leaf, s{levels}.d as subroot, t{levels}.d as root, coalesce(b.changed, b.leaf) as x, [{', '.join(f'{{n: {p}.n, l: {p}.l, r: {p}.r}}' for p in path)}] as path from b {' '.join(joins)} join s{levels} on s{levels}.g = b.g cross join t{levels})")
+    fold = f"list_reduce(list_prepend({{n: 0::bigint, l: x, r: ''}}, list_filter(path, lambda y: y.n > 1)), lambda a, y: {{n: 0::bigint, l: sha256(y.l || a.l || y.r), r: ''}}).l"
+    out.append(f"f as (select *, {fold} as folded_root, sha256(array_to_string(list_transform(path, lambda y: y.l || y.r), '')) as proof_sha256 from p)")
+    return f"with {', '.join(out)} select doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root as verified from f"
