@@ -62,6 +62,18 @@ def span_hashes(b: np.ndarray, start: np.ndarray, end: np.ndarray, fold: bool =
     return mix((sums[end] - sums[start]) * down[start])
 
 
+def hashes_of(b: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of b[start:end) for spans in rising order, by chunks, so that many bytes take no more than their spans."""
+    out = np.zeros(len(start), U)
+    i = 0
+    while i < len(start):
+        at = int(start[i])
+        j = max(i + 1, int(np.searchsorted(end, at + _CHUNK, "right")))
+        out[i:j] = span_hashes(b[at : int(end[j - 1])], start[i:j] - at, end[i:j] - at)
+        i = j
+    return out
+
+
 @dataclass
 class Words:
     start: np.ndarray  # bytes
