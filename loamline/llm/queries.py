@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import alignment, decontaminate, html, jaccard, langid, merkle, packing, preferences, quality, secrets, sharding, urls
+from . import alignment, decontaminate, html, jaccard, langid, merkle, packing, pii, preferences, quality, secrets, sharding, urls
 from .common import table
 
 #: The rules of the URL query.
@@ -61,12 +61,17 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.scanned(docs, pii.fitted(docs))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.aligned(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_jaccard_join, op3_secret_scan, op4_html_text, op5_preferences, op6_url_filter, op7_decontamination, op8_line_cleaning, op9_hilbert_shards, op10_best_fit_packing, op11_merkle_manifest, op13_token_alignment)}
+    return {f.__name__: f for f in (op1_language_id, op2_jaccard_join, op3_secret_scan, op4_html_text, op5_preferences, op6_url_filter, op7_decontamination, op8_line_cleaning, op9_hilbert_shards, op10_best_fit_packing, op11_merkle_manifest, op12_personal_data, op13_token_alignment)}
 
 
 def oracle_sql() -> dict[str, str]:
