@@ -1,8 +1,8 @@
 """The load: scanned lines to a star schema, in batch or as one batch of a stream.
 
-A load writes its rows, dimension values, hashes, offsets, rejected lines and report each to a folder of its own name, and is
-marked complete at the end. Readers take complete loads alone, and a load that is run again overwrites what it left, so all of
-it counts together and once.
+A load writes its rows, dimension values, hashes, ranges, rejected lines and report each to folders of its own and then puts one
+commit (sources/commits.py), so that all of it counts together and once. If another load, or a repair, was first, what depends on
+stored hashes and ids is done again from there: two loads at once give no id twice and keep no row twice.
 """
 
 from __future__ import annotations
@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 
 from loamline.functions import clock
 from loamline.functions.text import norm_value
-from loamline.operators import normalize, parse, rules, tables
+from loamline.operators import hashruns, normalize, parse, rules, tables
 from loamline.operators.normalize import RuleBook
 from loamline.operators.rules import Declared
-from loamline.sources import registry, sinks, workspace
+from loamline.sources import commits, registry, workspace
+from loamline.sources.commits import Snapshot
 
-#: Rows of new hashes up to which they are broadcast to the stored ones.
-BROADCAST_HASHES = 1_000_000
+#: Keys of dimensions in one load up to which they are broadcast to its rows.
+BROADCAST_KEYS = 1_000_000
 #: Lines below which records are dealt anew over all cores before they are normalized.
 SPREAD_BELOW = 2_000_000
 KINDS = ("logrecord", "milestone")
@@ -57,43 +58,50 @@ class Design:
 
 @dataclass(frozen=True)
 class Star:
-    """Where the tables of one star schema are, and which loads of it are complete.
-
-    prefix: characters of a hash that name its folder, the same for all loads; two or three for a history of very many hashes,
-    of which small batches then read a small part.
-    """
+    """Where the tables of one star schema are. Readers see the last commit, or that of a snapshot."""
 
     root: str
-    prefix: int = 1
+
+    @property
+    def log(self) -> commits.Log:
+        return commits.Log(self.root)
 
     def complete(self, spark: SparkSession) -> list[str]:
-        return sinks.names_in(spark, f"{self.root}/complete")
+        """Names of loads and streams, with the number of the last batch for those that have had several."""
+        return [f"{k}-{v}" if v else k for k, v in sorted(self.log.snapshot(spark).done.items())]
 
-    def read(self, spark: SparkSession, table: str, schema: str, *more: str, only: str | None = None) -> DataFrame:
-        """Rows of complete loads, and of `more` loads, or of one load only."""
-        path = f"{self.root}/{table}"
-        if not sinks.exists(spark, path):
-            return spark.createDataFrame([], schema)
+    def read(self, spark: SparkSession, table: str, schema: str, seen: Snapshot | None = None, only: str | None = None) -> DataFrame:
         names = [c.split()[0].strip("`") for c in schema.split(", ")]
-        rows = spark.read.schema(f"{schema}, load string").option("basePath", path).parquet(path)
-        return rows.where(F.col("load").isin([only] if only else [*self.complete(spark), *more])).select(*names)
+        return self.log.read(spark, seen or self.log.snapshot(spark), table, schema, only).select(*names)
 
-    def facts(self, spark: SparkSession, kind: str, design: Design) -> DataFrame:
-        return self.read(spark, f"facts/{kind}", fact_schema(design, kind))
+    def facts(self, spark: SparkSession, kind: str, design: Design, seen: Snapshot | None = None) -> DataFrame:
+        return self.read(spark, f"facts/{kind}", fact_schema(design, kind), seen)
 
-    def dimension(self, spark: SparkSession, name: str, design: Design, *more: str) -> DataFrame:
+    def dimension(self, spark: SparkSession, name: str, design: Design, seen: Snapshot | None = None) -> DataFrame:
         """Rows (id, key, value and what the dimension keeps besides)."""
         kept = [f.column for f in rules.declared(list(design.derived.get(name, ())))]
-        return self.read(spark, "dimensions", dimension_schema(design), *more).where(F.col("dimension") == name).select("id", "key", "value", *kept)
+        return self.read(spark, "dimensions", dimension_schema(design), seen).where(F.col("dimension") == name).select("id", "key", "value", *kept)
 
-    def offsets(self, spark: SparkSession) -> DataFrame:
-        return tables.last_offsets(self.read(spark, "offsets", "file string, file_offset bigint").withColumnRenamed("file_offset", "offset"))
+    def offsets(self, spark: SparkSession, seen: Snapshot | None = None) -> DataFrame:
+        """Each file's last loaded line; a file that was read anew from its begin counts from there."""
+        ranges = self.read(spark, "ranges", RANGES, seen)
+        last = ranges.groupBy("file").agg(F.max_by("last", F.struct("at", "last")).alias("file_offset"))
+        return last.select("file", "file_offset")
 
     def rejected(self, spark: SparkSession) -> DataFrame:
-        return self.read(spark, "rejected", "file string, offset bigint, line string, src string, game string, cause string")
+        return self.read(spark, "rejected", REJECTED)
 
     def report(self, spark: SparkSession, load: str) -> DataFrame:
-        return self.read(spark, "reports", "table string, rows_in bigint, rows_kept bigint, skipped bigint", only=load)
+        """The report of a load, or of a stream's last batch."""
+        seen = self.log.snapshot(spark)
+        return self.read(spark, "reports", REPORT, seen, seen.notes.get(f"report {load}", ""))
+
+
+#: Lines from `first` to `last` of a file were read, whatever came of them, with a version of the rules; generation tells a file that
+#: was begun anew from what it was.
+RANGES = "file string, generation string, first bigint, last bigint, at timestamp, rules bigint"
+REJECTED = "file string, offset bigint, line string, src string, game string, cause string"
+REPORT = "table string, rows_in bigint, rows_kept bigint, skipped bigint"
 
 
 def fact_schema(design: Design, kind: str) -> str:
@@ -128,9 +136,9 @@ def prepared(scanned: DataFrame, book: RuleBook, servers: DataFrame, more: tuple
     return rows, rejected, lines.select("file", "offset")
 
 
-def dimension_values(rows: DataFrame, design: Design) -> DataFrame:
-    """All dimensions' values in one table (dimension, key, value and what dimensions keep besides): of equal keys the last spelling."""
-    extra, each = design.extra(), []
+def _values(rows: DataFrame, design: Design, extra: list[Declared]) -> DataFrame:
+    """Rows (dimension, key, value, kept, file, offset) of all fields that are in dimensions."""
+    each = []
     for kind in design.fields:
         for f in (f for f in stored_fields(design, kind) if f.dimension):
             name = design.dimension_of(f.name)
@@ -138,8 +146,21 @@ def dimension_values(rows: DataFrame, design: Design) -> DataFrame:
             own = {x.column for x in rules.declared(list(design.derived.get(name, ())))}
             kept = [(x.typed(_text(rows, x.name)) if x.column in own else F.lit(None).cast("boolean" if x.boolean else rules.TYPES[x.code])).alias(x.column) for x in extra]
             each.append(F.when(F.col("base_table") == kind, F.struct(F.lit(name).alias("dimension"), f.key(value).alias("key"), value.alias("value"), F.struct(F.lit(None).cast("string").alias("__none"), *kept).alias("kept"))))
-    long = rows.select("file", "offset", F.explode(F.array(*each)).alias("e")).where("e is not null")
-    last = long.groupBy("e.dimension", "e.key").agg(F.max_by(F.struct("e.value", "e.kept"), F.struct("file", "offset")).alias("e"))
+    if not each:
+        return rows.sparkSession.createDataFrame([], "dimension string, key string, value string, kept struct<__none: string>, file string, offset bigint")
+    return rows.select("file", "offset", F.explode(F.array(*each)).alias("e")).where("e is not null").select("e.*", "file", "offset")
+
+
+def dimension_values(rows: DataFrame, design: Design, new: DataFrame | None = None) -> DataFrame:
+    """All dimensions' values in one table (dimension, key, value and what dimensions keep besides): of equal keys the last spelling.
+
+    new: only these keys (dimension, key). Only rows of theirs are sorted for the last spelling.
+    """
+    extra = design.extra()
+    long = _values(rows, design, extra)
+    if new is not None:
+        long = long.join(new, ["dimension", "key"], "left_semi")
+    last = long.groupBy("dimension", "key").agg(F.max_by(F.struct("value", "kept"), F.struct("file", "offset")).alias("e"))
     return last.select("dimension", "key", "e.value", *[F.col(f"e.kept.{x.column}") for x in extra])
 
 
@@ -150,57 +171,98 @@ def _text(rows: DataFrame, name: str) -> Column:
     return F.when(F.col(name), F.lit("t")).otherwise(F.lit("")) if kinds[name] == "boolean" else F.col(f"`{name}`").cast("string")
 
 
-def unknown(rows: DataFrame, hashes: DataFrame, prefix: int) -> DataFrame:
-    """rows, which are stored, without those whose hash is among the stored hashes (prefix, hash).
+def unread(scanned: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Lines (file, generation, offset, ...) without those that lie in ranges that were read before.
 
-    The stored hashes are searched for the new ones: only the folders of prefixes that occur are read, and while the new ones are
-    few they are broadcast, so that the history isn't shuffled.
+    Ranges are gathered by file, of which a batch names few; files of no range keep all their lines. Of a file that was once begun
+    anew with the first line that it had, places don't tell what was read: its lines stay, and hashes tell.
     """
-    new = rows.select(F.substring("hash", 1, prefix).alias("prefix"), "hash")
-    if rows.count() <= BROADCAST_HASHES:
-        new = F.broadcast(new)
-    return tables.not_known(rows, hashes.join(new, ["prefix", "hash"], "left_semi"))
+    files = scanned.select("file").distinct()
+    read = ranges.join(files, "file", "left_semi").groupBy("file", F.substring_index("generation", "+", 1).alias("generation"))
+    read = read.agg(F.collect_list(F.struct("first", "last")).alias("__r"), F.max(F.col("generation").contains("+")).alias("__again")).where("not __again").drop("__again")
+    known = F.exists("__r", lambda r: F.col("offset").between(r["first"], r["last"]))
+    return scanned.join(read, ["file", "generation"], "left").where(~F.coalesce(known, F.lit(False))).select(*scanned.columns)
+
+
+def ranges_of(lines: DataFrame, before: DataFrame) -> DataFrame:
+    """Ranges (file, generation, first, last) of lines that a source reads one after another from a file's begin: each goes on where
+    those before it ended, so that they can be joined."""
+    new = lines.groupBy("file", "generation").agg(F.min("offset").alias("first"), F.max("offset").alias("last"))
+    old = before.join(new.select("file"), "file", "left_semi").groupBy("file", "generation").agg(F.max("last").alias("__old"))
+    return new.join(old, ["file", "generation"], "left").select("file", "generation", F.coalesce(F.least("first", F.col("__old") + 1), "first").alias("first"), "last")
+
 
+def unknown(rows: DataFrame, spark: SparkSession, star: Star, seen: Snapshot, count: int) -> DataFrame:
+    """rows, which are stored, without those whose hash is stored already."""
+    runs = star.log.read(spark, seen, "hashes", hashruns.RUN)
+    gone = star.read(spark, "forgotten", hashruns.GONE, seen)
+    return tables.not_known(rows, hashruns.found(runs, gone, rows.select("hash"), count))
 
-def load(scanned: DataFrame, star: Star, book: RuleBook, servers: DataFrame, design: Design | list[str], strict: bool = False, name: str | None = None) -> DataFrame:
+
+def with_ids(facts: DataFrame, ids: DataFrame, fields: list[Declared], design: Design, small: bool) -> DataFrame:
+    """facts with ids for the fields' values; ids (dimension, key, id) are those that this load needs."""
+    for f in fields:
+        own = ids.where(F.col("dimension") == design.dimension_of(f.name)).select("id", "key")
+        facts = tables.resolved(facts, F.broadcast(own) if small else own, f.column, f"{f.column}_id", f.case_sensitive).drop(f.column)
+    return facts
+
+
+def load(scanned: DataFrame, star: Star, book: RuleBook, servers: DataFrame, design: Design | list[str], strict: bool = False, name: str | None = None, number: int = 0, ranges: DataFrame | None = None, rules_version: int = 0) -> DataFrame:
     """Loads lines and returns the report by table: rows in, rows kept, duplicates.
 
     A record is kept once for its hash, over all tables and loads. Offsets also move over duplicates and rejected lines. A load
-    of a name that is complete is not run again. design: a list of fields is that of both kinds. strict: rejected lines are an error.
+    of a name that is complete, or of a number that its name has passed, is not run again. design: a list of fields is that of both
+    kinds. strict: rejected lines are an error. ranges: what was read (file, generation, first, last), if lines were told another
+    file or place than they have; else each file from its first line here to its last. rules_version is kept with them.
     """
     spark = scanned.sparkSession
     if not isinstance(design, Design):
         design = Design({kind: design for kind in KINDS})
-    done = star.complete(spark)
-    name = name or f"load-{len(done):09d}"
-    if name in done:
+    log, seen = star.log, star.log.snapshot(spark)
+    if name and seen.has(name, number):
         return star.report(spark, name)
     rows, rejected, read = prepared(scanned, book, servers, design.names())
     if strict and rejected.limit(1).count():
         raise ValueError("lines were rejected")
+    folder = commits.fresh_name(name or "lines")
 
     def put(df: DataFrame, table: str, *by: str) -> None:
-        df.write.mode("overwrite").partitionBy(*by).parquet(f"{star.root}/{table}/load={name}")
+        df.write.mode("overwrite").partitionBy(*by).parquet(f"{star.root}/{table}/{folder}")
 
     put(rejected, "rejected")
-    kept = workspace.stored(unknown(workspace.stored(tables.first_of_stored(rows)), star.read(spark, "hashes", "hash string, prefix string"), star.prefix))
-    old = star.read(spark, "dimensions", dimension_schema(design))
-    fresh = dimension_values(kept, design).join(old.select("dimension", "key"), ["dimension", "key"], "left_anti")
-    tops = old.groupBy("dimension").agg(F.max("id").alias("top"))
-    put(tables.numbered_within(fresh, "dimension", tops), "dimensions", "dimension")
-    for kind in design.fields:
-        fields = stored_fields(design, kind)
-        some = kept.where(F.col("base_table") == kind).withColumn("file_offset", F.col("offset").cast("long"))
-        typed = rules.typed_select(some, fields, ("table", "file", "file_offset", "hash"))
-        for f in (f for f in fields if f.dimension):
-            ids = star.dimension(spark, design.dimension_of(f.name), design, name)
-            typed = tables.resolved(typed, ids, f.column, f"{f.column}_id", f.case_sensitive).drop(f.column)
-        put(typed.select(*[c.split()[0].strip("`") for c in fact_schema(design, kind).split(", ")]), f"facts/{kind}", "table")
-    put(kept.select("hash", F.substring("hash", 1, star.prefix).alias("prefix")).repartition("prefix"), "hashes", "prefix")
-    put(tables.last_offsets(read), "offsets")
-    put(tables.load_report(rows, kept), "reports")
-    sinks.touch(spark, f"{star.root}/complete/{name}")
-    return star.report(spark, name)
+    if ranges is None:
+        ranges = read.groupBy("file").agg(F.min("offset").alias("first"), F.max("offset").alias("last")).withColumn("generation", F.lit(""))
+    put(ranges.select("file", "generation", "first", "last", F.current_timestamp().alias("at"), F.lit(rules_version).cast("long").alias("rules")).coalesce(8), "ranges")
+    first = workspace.stored(tables.first_of_stored(rows))
+    count = first.count()
+    keys = workspace.stored(_values(rows, design, []).select("dimension", "key").distinct())
+    small = keys.count() <= BROADCAST_KEYS
+
+    def work(seen: Snapshot) -> commits.Commit | None:
+        """What depends on what is stored: new hashes, new keys, and the rows with their ids."""
+        if name and seen.has(name, number):
+            return None
+        kept = workspace.stored(unknown(first, spark, star, seen, count))
+        old = star.read(spark, "dimensions", dimension_schema(design), seen)
+        known = workspace.stored(old.join(F.broadcast(keys) if small else keys, ["dimension", "key"], "left_semi").select("dimension", "key", "id"))
+        new = keys.join(known, ["dimension", "key"], "left_anti")
+        tops = spark.createDataFrame(list(seen.tops.items()), "dimension string, top bigint")
+        fresh = workspace.stored(tables.numbered_within(dimension_values(rows, design, new), "dimension", tops))
+        put(fresh.select(*[c.split()[0].strip("`") for c in dimension_schema(design).split(", ")]), "dimensions", "dimension")
+        ids = known.unionByName(fresh.select("dimension", "key", "id"))
+        for kind in design.fields:
+            fields = stored_fields(design, kind)
+            some = kept.where(F.col("base_table") == kind).withColumn("file_offset", F.col("offset").cast("long"))
+            typed = with_ids(rules.typed_select(some, fields, ("table", "file", "file_offset", "hash")), ids, [f for f in fields if f.dimension], design, small)
+            put(typed.select(*[c.split()[0].strip("`") for c in fact_schema(design, kind).split(", ")]), f"facts/{kind}", "table")
+        hashruns.written(kept.select("hash", "file"), f"{star.root}/hashes/{folder}", count)
+        put(tables.load_report(rows, kept), "reports")
+        top = {r[0]: r[1] for r in fresh.groupBy("dimension").agg(F.max("id")).collect()}  # a row for each dimension of the design
+        names = ["rejected", "ranges", "dimensions", "hashes", "reports", *(f"facts/{k}" for k in design.fields)]
+        return commits.Commit("load", {t: [folder] for t in names}, tops=top, done=(name, number) if name else None, note={f"report {name}": folder} if name else {})
+
+    after = log.transact(spark, work)
+    return star.report(spark, name) if name else star.read(spark, "reports", REPORT, after, folder)
 
 
 def all_facts(spark: SparkSession, star: Star, design: Design) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,3 +68,65 @@ def tv_parsed(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     parts = lines.withColumn("p", F.split("value", "\t", -1))
     good = parts.where("size(p) = 4").select(F.expr("get(p, 0)").alias("table"), F.expr("get(p, 1)").alias("game_key"), F.expr("get(p, 2)").alias("rowtime"), F.expr("try_cast(get(p, 3) as int)").alias("ntv"), "position")
     return good, parts.where("size(p) <> 4").drop("p")
+
+
+def _at(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def text_of(spark: SparkSession, path: str) -> str:
+    fs, p = _at(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    fs, p = _at(spark, path)
+    fs.delete(p, True)
+
+
+def put_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Writes a small file that appears whole, unless there is one of that name: then False, and that one stays.
+
+    The file is written under another name and then given its own: by a link on a local file system, elsewhere by a rename, which
+    a file system with atomic names refuses if the name is taken.
+    """
+    fs, p = _at(spark, path)
+    fs.mkdirs(p.getParent())
+    if fs.exists(p):
+        return False
+    temp = spark._jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{uuid.uuid4().hex}")
+    stream = fs.create(temp, False)
+    stream.write(text.encode())
+    stream.close()
+    try:
+        if fs.getUri().getScheme() == "file":
+            name = lambda x: x.toUri().getPath()
+            try:
+                spark._jvm.java.nio.file.Files.createLink(spark._jvm.java.io.File(name(p)).toPath(), spark._jvm.java.io.File(name(temp)).toPath())
+            except Py4JJavaError as e:
+                if "FileAlreadyExists" in str(e.java_exception):
+                    return False
+                raise
+            return True
+        return fs.rename(temp, p)
+    finally:
+        if fs.exists(temp):
+            fs.delete(temp, False)
+
+
+def files_in(spark: SparkSession, path: str) -> list[str]:
+    """Data files below a folder, as paths from it, without hidden ones."""
+    fs, p = _at(spark, path)
+    if not fs.exists(p):
+        return []
+    top, found, out = fs.makeQualified(p).toUri().getPath(), fs.listFiles(p, True), []
+    while found.hasNext():
+        at = found.next().getPath().toUri().getPath()[len(top) + 1 :]
+        if not any(x.startswith((".", "_")) for x in at.split("/")):
+            out.append(at)
+    return sorted(out)

@@ -1,7 +1,10 @@
 """Spark data source `xlog`: lines of growing text files with their byte offsets, in batch and as a stream.
 
 Options: path (files, folders or globs, comma-separated; braces are expanded), splitBytes, offsets (JSON of file to the
-start of its last loaded line; that line is passed over), maxBytesPerTrigger for streams, strict ("false" ignores shrunken files).
+start of its last loaded line; that line is passed over), strict ("false" ignores shrunken files).
+For streams: maxBytesPerTrigger, dealt fairly over files; quietSeconds, for which a file must not have changed before it is read, and
+maxWaitSeconds, after which it is read all the same; truncated ("raise", "anew" or "skip") for files that shrank or got another
+first line; generation ("true" adds a column of that name, by which a file that was begun anew is told from what it was).
 A last line without its end is held back. Missing files are skipped; an offset beyond a file's end is an error.
 Paths are of a shared file system, or addresses in a store that Arrow's file systems know.
 """
@@ -10,9 +13,11 @@ from __future__ import annotations
 
 import fnmatch
 import glob
+import hashlib
 import json
 import os
 import re
+import time
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -89,6 +94,7 @@ class Range(InputPartition):
     end: int
     size: int
     resume: bool = False
+    generation: str | None = None
 
     def __hash__(self):
         return hash((self.file, self.start))
@@ -125,10 +131,10 @@ def read_range(part: Range) -> Iterator[pa.RecordBatch]:
                 at += len(raw) + 1
                 held += len(raw)
             if held >= BATCH:
-                yield _batch(part.file, rows)
+                yield _batch(part, rows)
                 rows, held = [[], []], 0
         if rows[0]:
-            yield _batch(part.file, rows)
+            yield _batch(part, rows)
 
 
 def _line_end(stream, at: int, size: int) -> int:
@@ -143,8 +149,12 @@ def _line_end(stream, at: int, size: int) -> int:
     return size
 
 
-def _batch(file: str, rows: list[list]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([file] * len(rows[0]), pa.string()), pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.string())], ["file", "offset", "line"])
+def _batch(part: Range, rows: list[list]) -> pa.RecordBatch:
+    n = len(rows[0])
+    columns = {"file": pa.array([part.file] * n, pa.string()), "offset": pa.array(rows[0], pa.int64()), "line": pa.array(rows[1], pa.string())}
+    if part.generation is not None:
+        columns["generation"] = pa.array([part.generation] * n, pa.string())
+    return pa.RecordBatch.from_pydict(columns)
 
 
 def _ranges(file: str, start: int, size: int, split: int, resume: bool) -> list[Range]:
@@ -173,35 +183,109 @@ class XlogReader(DataSourceReader):
         return read_range(partition) if partition.file else iter(())
 
 
+def first_line(file: str, most: int = 1 << 16) -> str:
+    """A mark of a file's first line, or of its first `most` bytes; empty while that line has no end."""
+    try:
+        with opened(file) as stream:
+            head = stream.read(most)
+    except FileNotFoundError:
+        return ""
+    cut = head.find(b"\n")
+    if cut < 0 and len(head) < most:
+        return ""
+    return hashlib.blake2b(head[: cut if cut >= 0 else most], digest_size=6).hexdigest()
+
+
 class XlogStreamReader(DataSourceStreamReader):
-    """Offsets are JSON of file to the byte after its last whole line. A file that goes away keeps its offset."""
+    """Offsets are JSON of file to the byte after its last whole line that was read, and its generation: the mark of its first line, with
+    a number where it was begun anew with the same one. NEXT names the file that was last read, after which the next batch begins.
+    A file that goes away keeps its offset.
+    """
+
+    NEXT = ""
 
     def __init__(self, options: dict):
         self.path, self.split = options["path"], int(options.get("splitbytes", SPLIT))
         self.limit = int(options.get("maxbytespertrigger", 0))
-        self.last: dict[str, int] = {}
+        self.quiet, self.longest = float(options.get("quietseconds", 0)), float(options.get("maxwaitseconds", 60))
+        self.truncated = options.get("truncated", "raise")
+        if self.truncated not in ("raise", "anew", "skip"):
+            raise ValueError(f"truncated is raise, anew or skip, not {self.truncated}")
+        self.named = options.get("generation", "false") == "true"
+        self.last: dict = {}
+        self.seen: dict[str, tuple[int, float, float]] = {}  # size, when it changed, when the first of what waits came
+        self.heads: dict[str, tuple[int, str]] = {}  # size when the first line was read, and its mark
 
     def initialOffset(self) -> dict:
         return {}
 
+    def _generation(self, file: str, size: int, end: int, known: str) -> str:
+        """The file's generation now, `known` if it only grew. The first line is read again when the file has changed."""
+        held = self.heads.get(file)
+        if held is None or held[0] != size:
+            held = self.heads[file] = (size, first_line(file) if size else "")
+        if not known or held[1] == known.split("+")[0] and size >= end:
+            return known or held[1]
+        return held[1] if held[1] != known.split("+")[0] else f"{held[1]}+{int((known.split('+') + ['0'])[1]) + 1}"
+
+    def _waits(self, file: str, size: int, now: float) -> bool:
+        """Whether a file with news has changed too lately to be read."""
+        if not self.quiet:
+            return False
+        before = self.seen.get(file)
+        changed = now if before is None or before[0] != size else before[1]
+        first = now if before is None else before[2]
+        self.seen[file] = size, changed, first
+        return now - changed < self.quiet and now - first < self.longest
+
     def latestOffset(self) -> dict:
-        out, room = dict(self.last), self.limit or None
+        out, now, news = dict(self.last), time.monotonic(), {}
         for file, size in listed(self.path).items():
-            start = out.get(file, 0)
-            if size <= start or room is not None and room <= 0:
-                continue
-            end = whole_lines_end(file, start, size, room)
-            if end > start:
-                out[file] = end
-                room = None if room is None else room - (end - start)
+            end, known = out.get(file, (0, ""))
+            generation = self._generation(file, size, end, known) if size != end or file not in self.heads else known
+            if generation != known and known:
+                if self.truncated == "raise":
+                    raise ValueError(f"{file} has shrunk or begun anew: {end} bytes of it were read, {size} are there")
+                if self.truncated == "skip":
+                    continue
+                end = 0
+            if size > end and not self._waits(file, size, now):
+                news[file] = end, size, generation
+        self._take(out, news)
         self.last = out
         return out
 
+    def _take(self, out: dict, news: dict[str, tuple[int, int, str]]) -> None:
+        """Puts the new ends of files into out: in turns, from the file after the last one read, an equal share of what is left of
+        the limit for each, until it is used up. A limit is overstepped by the rest of one line at most."""
+        names = sorted(news)
+        at = next((k for k, n in enumerate(names) if n > out.get(self.NEXT, "")), 0)
+        waiting, room = names[at:] + names[:at], self.limit or None
+        while waiting and (room is None or room > 0):
+            share, left = None if room is None else max(1, room // len(waiting)), []
+            for file in waiting:
+                if room is not None and room <= 0:
+                    break
+                start, size, generation = news[file]
+                end = whole_lines_end(file, start, size, None if share is None else min(share, room))
+                if end > start:
+                    out[file], out[self.NEXT] = [end, generation], file
+                    news[file] = end, size, generation
+                    self.seen.pop(file, None)
+                    room = None if room is None else room - (end - start)
+                    if end < size and room is not None:
+                        left.append(file)
+            waiting = left
+        if out.get(self.NEXT) and not self.limit:
+            out.pop(self.NEXT)
+
     def partitions(self, start: dict, end: dict) -> list[Range]:
         self.last = {**self.last, **end}
         out = []
-        for file, to in end.items():
-            out += [Range(file, a.start, a.end, to) for a in _ranges(file, start.get(file, 0), to, self.split, False)]
+        for file, (to, generation) in ((f, x) for f, x in end.items() if f != self.NEXT):
+            begun, known = start.get(file, (0, generation))
+            begun = begun if known == generation else 0
+            out += [Range(file, a.start, a.end, to, generation=generation if self.named else None) for a in _ranges(file, begun, to, self.split, False)]
         return out or [Range("", 0, 0, 0)]
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
@@ -244,7 +328,8 @@ class XlogSource(DataSource):
         return "xlog"
 
     def schema(self) -> str:
-        return SCHEMA
+        named = {k.lower(): v for k, v in self.options.items()}.get("generation", "false") == "true"
+        return SCHEMA + ", generation string" * named
 
     def reader(self, schema: StructType) -> XlogReader:
         return XlogReader({k.lower(): v for k, v in self.options.items()})
