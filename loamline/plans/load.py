@@ -26,6 +26,8 @@ from loamline.sources.commits import Snapshot
 BROADCAST_KEYS = 1_000_000
 #: Lines below which records are dealt anew over all cores before they are normalized.
 SPREAD_BELOW = 2_000_000
+#: Rows of a file of facts, about, in loads that have fewer of them than cores.
+FILE_ROWS = 50_000
 KINDS = ("logrecord", "milestone")
 
 
@@ -237,6 +239,7 @@ def load(scanned: DataFrame, star: Star, book: RuleBook, servers: DataFrame, des
     count = first.count()
     keys = workspace.stored(_values(rows, design, []).select("dimension", "key").distinct())
     small = keys.count() <= BROADCAST_KEYS
+    files = max(1, -(-count // FILE_ROWS))  # so that small loads leave no more files than they need
 
     def work(seen: Snapshot) -> commits.Commit | None:
         """What depends on what is stored: new hashes, new keys, and the rows with their ids."""
@@ -254,7 +257,8 @@ def load(scanned: DataFrame, star: Star, book: RuleBook, servers: DataFrame, des
             fields = stored_fields(design, kind)
             some = kept.where(F.col("base_table") == kind).withColumn("file_offset", F.col("offset").cast("long"))
             typed = with_ids(rules.typed_select(some, fields, ("table", "file", "file_offset", "hash")), ids, [f for f in fields if f.dimension], design, small)
-            put(typed.select(*[c.split()[0].strip("`") for c in fact_schema(design, kind).split(", ")]), f"facts/{kind}", "table")
+            typed = typed.select(*[c.split()[0].strip("`") for c in fact_schema(design, kind).split(", ")])
+            put(typed.coalesce(files) if files < spark.sparkContext.defaultParallelism else typed, f"facts/{kind}", "table")
         hashruns.written(kept.select("hash", "file"), f"{star.root}/hashes/{folder}", count)
         put(tables.load_report(rows, kept), "reports")
         top = {r[0]: r[1] for r in fresh.groupBy("dimension").agg(F.max("id")).collect()}  # a row for each dimension of the design

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamline.functions import version
 from loamline.operators import maintenance, rules, tables
-from loamline.plans import fixtures, load
+from loamline.plans import fixtures, load, repairs
 from loamline.plans.fixtures import BOOK
 from loamline.plans.records import LOGS, NOUN, log_lines, records
 from loamline.plans.registry import GOOD, LOG_T, query
@@ -364,3 +366,78 @@ def games_by_version(spark, sf_dir):
     rows = records(spark, sf_dir)
     f = c("fields")
     return rows.groupBy(version.canonical(f["v"]).alias("cv")).agg(F.count(F.lit(1)).alias("games"), F.max(f["sc"].cast("long")).alias("best_score"))
+
+
+# -- repairs of a loaded star --------------------------------------------------------------------------------------
+
+
+def one_load(spark: SparkSession, sf_dir: str, design: load.Design, book=BOOK, lines: DataFrame | None = None) -> load.Star:
+    star = load.Star(workspace.folder(spark))
+    load.load(log_files(spark, sf_dir) if lines is None else lines, star, book, fixtures.servers(spark), design)
+    return star
+
+
+@query("star_fix_char", GOOD.format("select i as file_offset, case when i % 5 < 4 and i % 4 < 3 then {} else 'XxYy' end as char from t").replace("{}", CHAR))
+def star_fix_char(spark, sf_dir):
+    """Lines loaded without abbreviations, which are learnt afterwards; chars are in a dimension."""
+    fields = [f"{f}^" if f == "char" else f for f in fixtures.LOG_FIELDS]
+    design = load.Design({"logrecord": fields})
+    star = one_load(spark, sf_dir, design, replace(BOOK, species={}, jobs={}))
+    _, species, jobs = chars(spark, sf_dir)
+    repairs.fix_char(spark, star, design, species, jobs)
+    return named(spark, star, star.facts(spark, "logrecord", design), design, char="char").select("file_offset", "char")
+
+
+@query("star_fix_field", GOOD.format("select i as file_offset, 'Dungeon:' || (i % 15 + 1) as place from t") + " union all select event_id, 'Serpent:' || (event_id % 5 + 1) from events")
+def star_fix_field(spark, sf_dir):
+    """A rule for a plain column, and one for a dimension that two fields share."""
+    lines = log_files(spark, sf_dir).unionByName(milestone_files(spark, sf_dir))
+    star = one_load(spark, sf_dir, BOTH, lines=lines)
+    repairs.fix_field(spark, star, BOTH, rules.Rule("place", regexp=[("^D:", "Dungeon:")]))
+    repairs.fix_field(spark, star, BOTH, rules.Rule("place", regexp=[("^Snake:", "Serpent:")]), "milestone")
+    logs, miles = star.facts(spark, "logrecord", BOTH).select("file_offset", "place"), star.facts(spark, "milestone", BOTH)
+    return logs.unionByName(named(spark, star, miles, BOTH, place="place").select("file_offset", "place"))
+
+
+@query("star_fix_ecumenical", f"select event_id as file_offset, case when event_type = 'signup' then 'Okawaru' else {NOUN.replace(chr(39) + 'user_' + chr(39), chr(39) + 'user ' + chr(39))} end as noun from events")
+def star_fix_ecumenical(spark, sf_dir):
+    """The noun of one verb's milestones is their god."""
+    design = load.Design({"milestone": fixtures.MILESTONE_FIELDS})
+    star = one_load(spark, sf_dir, design, lines=milestone_files(spark, sf_dir))
+    repairs.fix_ecumenical(spark, star, design, verb="rune")
+    return star.facts(spark, "milestone", design).select("file_offset", "noun")
+
+
+@query("star_import_tv", GOOD.format("select i as file_offset, case when i % 2 = 0 then 77 else 0 end as ntv from t"))
+def star_import_tv(spark, sf_dir):
+    star = one_load(spark, sf_dir, LOGS_ONLY)
+    facts = star.facts(spark, "logrecord", LOGS_ONLY).where("file_offset % 2 = 0")
+    updates = workspace.stored(facts.select("game_key", c("rend").alias("rowtime"), F.lit(77).cast("long").alias("ntv")).distinct())
+    repairs.import_tv(spark, star, LOGS_ONLY, updates)
+    return star.facts(spark, "logrecord", LOGS_ONLY).select("file_offset", "ntv")
+
+
+@query("star_renumber_versions", GOOD.format(f"select distinct '0.' || (i % 25) || case when i % 4 in (1, 2) then '-a' else '' end as value, {VERSION_NUMBER} as cvnum from t"))
+def star_renumber_versions(spark, sf_dir):
+    """Numbers of an older rule in a loaded dimension, put right."""
+    design = load.Design({"logrecord": fixtures.LOG_FIELDS}, derived={"cv": ("cvnumIB",)})
+    star = one_load(spark, sf_dir, design)
+
+    def older(edit: repairs.Edit) -> None:
+        schema = load.dimension_schema(design)
+        edit.rewrite("dimensions", schema, edit.read("dimensions", schema).where("dimension = 'cv'").select("load", "__file").distinct(), lambda rows: rows.withColumn("cvnum", F.lit(-1).cast("long")), "dimension")
+
+    repairs._edited(spark, star, design, "older numbers", older)
+    repairs.renumber_versions(spark, star, design, "cv", "cvnum")
+    return star.dimension(spark, "cv", design).select("value", "cvnum")
+
+
+@query("reload_deleted", LOADED)
+def reload_deleted(spark, sf_dir):
+    """Two loads, of which one file is deleted, the loads compacted, and all lines loaded again: each line is there once."""
+    star, _ = loaded(spark, sf_dir)
+    repairs.delete_files(spark, star, LOGS_ONLY, ["cszo/meta/git/logfile"])
+    repairs.compacted(spark, star, LOGS_ONLY, least=2)
+    load.load(log_files(spark, sf_dir), star, BOOK, fixtures.servers(spark), LOGS_ONLY)
+    facts = named(spark, star, star.facts(spark, "logrecord", LOGS_ONLY), LOGS_ONLY, pname="name", cv="cv")
+    return facts.select("file_offset", "pname", "cv", "table", "sc")
