@@ -6,7 +6,6 @@ from __future__ import annotations
 
 import html as entities
 import re
-import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -21,8 +20,6 @@ from .urls import split_url
 BROADCAST_HOSTS = 200_000
 #: Parts into which the pages of each host are dealt where that table isn't broadcast.
 SALTS = 64
-#: A path with so few different texts over so many different pages is a notice; copies of a page count once.
-NOTICE_PAGES, NOTICE_SHARE = 20, 0.1
 
 #: Kinds of elements.
 INLINE = frozenset("math semantics mrow mi mo mn ms mtext msup msub mfrac msqrt a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr picture source link meta input".split())
@@ -139,35 +136,28 @@ def article_path(path: str) -> str:
     return path
 
 
-def scores(found: list[tuple[str, bool, str, int]]) -> dict[str, tuple[float, int]]:
-    """Of each path that holds blocks: its score, by the length of text outside links, and a hash of its texts."""
-    out: dict[str, list] = defaultdict(lambda: [0.0, 0])
+def scores(found: list[tuple[str, bool, str, int]]) -> dict[str, float]:
+    """Of each path that holds blocks: its score, by the length of text outside links."""
+    out: dict[str, float] = defaultdict(float)
     for path, outside, text, linked in found:
-        x = out[path]
-        x[0] += 0 if outside else max(0, len(text) - 3 * linked)
-        x[1] = zlib.crc32(text.encode("utf-8", "replace"), x[1])
-    return {k: (a, b) for k, (a, b) in out.items()}
-
-
-def page_hash(found: list[tuple[str, bool, str, int]]) -> int:
-    """A hash of the texts that no mark puts outside: copies of a page have the same, whatever stands around them."""
-    return zlib.crc32("\n".join(x[2] for x in found if not x[1]).encode("utf-8", "replace"))
+        out[path] += 0 if outside else max(0, len(text) - 3 * linked)
+    return out
 
 
 def _under(path: str, root: str) -> bool:
     return path == root or path.startswith(root + "/")
 
 
-def main_text(found: list[tuple[str, bool, str, int]], winner: str | None, notices: frozenset[str] = frozenset()) -> str:
+def main_text(found: list[tuple[str, bool, str, int]], winner: str | None) -> str:
     """Blocks under the host's winning path, or where the page has none under the page's own best."""
     kept = [x for x in found if winner is not None and not x[1] and _under(x[0], winner)]
     if not kept:
-        own = scores([x for x in found if x[0] not in notices]) or scores(found)
-        best = max(own, key=lambda k: own[k][0], default=None)
-        if best is None or own[best][0] <= 0:
+        own = scores(found)
+        best = max(own, key=own.__getitem__, default=None)
+        if best is None or own[best] <= 0:
             return ""
         kept = [x for x in found if not x[1] and _under(x[0], article_path(best))]
-    return "\n".join(x[2] for x in kept if x[0] not in notices or x[0] == winner)
+    return "\n".join(x[2] for x in kept)
 
 
 def extracted(pages: DataFrame) -> DataFrame:
@@ -175,29 +165,26 @@ def extracted(pages: DataFrame) -> DataFrame:
 
     Null or empty html gives an empty text; a page without a host (null url) votes among such pages. Ties between paths
     go to the first by name. Repeated rows vote and return each; very long pages are read whole; other columns are ignored; no pages give no rows.
-    Copies of a page vote on the winner each, but count as one page where notices are told by how often a text comes back.
+    What a page's article holds doesn't depend on how many pages its host has.
     Votes are summed by host and path before they meet, so a host with any share of the pages is a few rows.
     """
     rows = pages.select(F.col("page_id").cast("long"), "url", "html")
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in row_slices(whole, whole.column(1))):
-            found: list[list] = [[], [], [], [], []]
+            found: list[list] = [[], [], []]
             for url, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                host, parts = split_url(url)[0], blocks(page or "")
-                same = page_hash(parts)
-                for path, (score, seen) in scores(parts).items():
-                    for c, x in zip(found, (host, path, score, seen, same), strict=True):
+                host = split_url(url)[0]
+                for path, score in scores(blocks(page or "")).items():
+                    for c, x in zip(found, (host, path, score), strict=True):
                         c.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(found, (pa.string(), pa.string(), pa.float64(), pa.int64(), pa.int64()), strict=True)], ["host", "path", "score", "seen", "whole"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(found, (pa.string(), pa.string(), pa.float64()), strict=True)], ["host", "path", "score"])
 
-    votes = rows.select("url", "html").mapInArrow(tidy(vote), "host string, path string, score double, seen bigint, whole bigint")
-    paths = votes.groupBy("host", "path").agg(F.sum("score").alias("score"), F.approx_count_distinct("whole").alias("n"), F.approx_count_distinct("seen").alias("texts"))
-    notice = F.expr(f"n >= {NOTICE_PAGES} and texts < {NOTICE_SHARE} * n")
+    votes = rows.select("url", "html").mapInArrow(tidy(vote), "host string, path string, score double")
+    paths = votes.groupBy("host", "path").agg(F.sum("score").alias("score"))
     positive = F.col("score") > 0
     winner = F.max_by(F.when(positive, F.col("path")), F.when(positive, F.struct("score", "path")))
-    hosts = paths.groupBy("host").agg(winner.alias("winner"), F.collect_set(F.when(notice, F.col("path"))).alias("notices"))
-    hosts = staged(hosts)
+    hosts = staged(paths.groupBy("host").agg(winner.alias("winner")))
     host = F.expr(r"case when instr(url, '://') > 0 then translate(regexp_extract(substr(url, instr(url, '://') + 3), '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') else '' end")
     named = rows.withColumn("host", F.coalesce(host, F.lit("")))
     if hosts.count() <= BROADCAST_HOSTS:
@@ -205,14 +192,14 @@ def extracted(pages: DataFrame) -> DataFrame:
     else:  # a host's pages are dealt over SALTS parts, each of which gets the host's row
         salted = hosts.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         joined = named.withColumn("__salt", F.expr(f"cast(pmod(xxhash64(url, page_id), {SALTS}) as int)")).join(salted, ["host", "__salt"], "left")
-    joined = joined.select("page_id", "url", "html", "winner", "notices")
+    joined = joined.select("page_id", "url", "html", "winner")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in row_slices(whole, whole.column(2)):
                 texts = []
-                for page, winner, notices in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True):
-                    texts.append(main_text(blocks(page or ""), None if winner is None else article_path(winner), frozenset(notices or ())))
+                for page, winner in zip(*(batch.column(k).to_pylist() for k in (2, 3)), strict=True):
+                    texts.append(main_text(blocks(page or ""), None if winner is None else article_path(winner)))
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     return joined.mapInArrow(tidy(extract), "page_id bigint, url string, text string, n_chars bigint")

@@ -165,21 +165,20 @@ def test_html(spark):
     assert sorted(got, key=repr) == sorted([(1, want, len(want)), (2, want, len(want)), (3, "", 0), (4, "", 0), (4, "only", 4)], key=repr)
 
 
-def test_html_copies_are_no_notices(spark):
+def test_html_articles_are_whole_on_hosts_of_any_size(spark):
     from loamline.llm import html
 
     def page(k, around="x"):
         return f"<body><nav>{around}</nav><article><h1>Head {k}</h1><div><p>A first long paragraph of page {k}.</p></div><ul><li>item one of {k}</li><li>item two of {k}</li></ul><div class=box><p>Read it at our shop.</p></div></article></body>"
 
-    def want(k, box):
-        return f"Head {k}\nA first long paragraph of page {k}.\nitem one of {k}\nitem two of {k}" + ("\nRead it at our shop." if box else "")
+    def want(k):
+        return f"Head {k}\nA first long paragraph of page {k}.\nitem one of {k}\nitem two of {k}\nRead it at our shop."
 
     # two pages, 25 rows; 19 rows; 300 copies, each with another menu, and 22 pages of their own; 40 pages of their own
     hosts = {"few.org": [k % 2 for k in range(25)], "less.org": [k % 2 for k in range(19)], "many.org": [0] * 300 + list(range(1, 23)), "own.org": list(range(40))}
     rows = [(n, f"http://{host}/{n}", page(k, f"menu {n}")) for host, ks in hosts.items() for n, k in enumerate(ks)]
     got = {(r.page_id, r.url): r.text for r in html.extracted(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
-    # the box is a notice where 20 or more different pages have it
-    assert got == {(n, f"http://{host}/{n}"): want(k, host in ("few.org", "less.org")) for host, ks in hosts.items() for n, k in enumerate(ks)}
+    assert got == {(n, f"http://{host}/{n}"): want(k) for host, ks in hosts.items() for n, k in enumerate(ks)}
 
 
 def test_preferences(spark):
