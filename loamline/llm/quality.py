@@ -29,7 +29,8 @@ MARKS = b".!?:;\"')]}"
 @dataclass(frozen=True)
 class Rules:
     """min_words and max_repeat: of the whole text. A line without a closing mark fails if shorter than open_words; one with a bar for every bar_words words,
-    if it has min_bars; one with symbols in more than max_symbol of its words; one with a phrase of a notice. A text whose failing lines hold more than max_loss of its words is rejected."""
+    if it has min_bars; one with symbols in more than max_symbol of its words; one with a phrase of a notice that
+    is at least one of phrase_share of its words, in letters of any case and with any apostrophe. A text whose failing lines hold more than max_loss of its words is rejected."""
 
     min_words: int = 20
     max_repeat: int = 30
@@ -38,6 +39,7 @@ class Rules:
     bar_words: float = 2.5
     max_symbol: float = 0.5
     max_loss: float = 0.5
+    phrase_share: int = 6
     phrases: tuple[str, ...] = field(default=PHRASES)
 
 
@@ -58,6 +60,13 @@ def _closed(b: np.ndarray, last: int) -> bool:
     return unicodedata.category(b[first : last + 1].tobytes().decode())[0] == "P"
 
 
+def plain(text: str) -> str:
+    """In lower case, letters composed, with straight apostrophes."""
+    if not text.isascii():
+        text = unicodedata.normalize("NFC", text).replace("’", "'").replace("ʼ", "'")
+    return text.lower()
+
+
 def _counts(b: np.ndarray, flags: np.ndarray) -> np.ndarray:
     out = np.zeros(len(b) + 1, np.int32)
     np.cumsum(flags[b], out=out[1:])
@@ -104,14 +113,20 @@ def _judge(b: np.ndarray, o: np.ndarray, r: Rules) -> tuple[dict, np.ndarray, np
     n_bars = bars[end] - bars[start]
     fails |= (n_bars >= r.min_bars) & (size <= r.bar_words * n_bars)
     fails |= marked > r.max_symbol * size
-    text = b.tobytes()
-    low = text.lower()
-    for phrase in r.phrases:
-        p, i = phrase.encode(), -1
-        while (i := low.find(p, i + 1)) >= 0:
-            x = int(np.searchsorted(start, i, "right")) - 1
-            if x >= 0 and i + len(p) <= end[x]:  # within the line
-                fails[x] = True
+    raw, bounds = b.tobytes(), o.tolist()
+    begin = np.searchsorted(of, np.arange(n + 1)).tolist()
+    lines_before = np.searchsorted(nl, o[:-1]).tolist()
+    for d in range(n):
+        if begin[d] == begin[d + 1]:
+            continue
+        low = plain(raw[bounds[d] : bounds[d + 1]].decode())
+        for phrase in r.phrases:
+            i = low.find(phrase)
+            while i >= 0:
+                x = begin[d] + int(np.searchsorted(k[begin[d] : begin[d + 1]], lines_before[d] + low.count("\n", 0, i)))
+                fails[x] |= size[x] <= r.phrase_share * (phrase.count(" ") + 1)
+                at = low.find("\n", i)  # once a line is enough
+                i = low.find(phrase, at) if at >= 0 else -1
     lost = np.bincount(of[fails], size[fails], n).astype(np.int64)
     out["n_lost_words"] = lost
     out["kept"] = ~out["base_failed"] & (lost <= r.max_loss * n_words)
