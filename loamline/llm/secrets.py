@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import wordhash as wh
-from .common import appended, tidy
+from .common import appended, staged, tidy
 
 #: The base patterns.
 ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -468,15 +468,22 @@ def background(docs: DataFrame, sample: int = SAMPLE_DOCS) -> list[tuple[str, li
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
             for text in batch.column(0).to_pylist():
-                base, file = base_spans(text), file_features(text)
+                base, file, first = base_spans(text), file_features(text), 0
+                base.sort(key=lambda x: x[3])
                 for at, chunk, before in chunks(text):
-                    inside = [x for _, _, e, s in base if s < at + len(chunk) and e > at for x in (max(0, s - at), min(len(chunk), e - at))]
+                    while first < len(base) and base[first][2] <= at:
+                        first += 1
+                    inside, k = [], first
+                    while k < len(base) and base[k][3] < at + len(chunk):
+                        if base[k][2] > at:
+                            inside += [max(0, base[k][3] - at), min(len(chunk), base[k][2] - at)]
+                        k += 1
                     for c, x in zip(out, (chunk[:FIT_CHARS], before, [x for x in inside if x <= FIT_CHARS], file, DIGIT.search(chunk) is not None), strict=True):
                         c.append(x)
             types = (pa.string(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.bool_())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["chunk", "before", "inside", "file", "digit"])
 
-    found = rows.mapInArrow(tidy(find), "chunk string, before array<string>, inside array<int>, file array<int>, digit boolean")
+    found = staged(rows.mapInArrow(tidy(find), "chunk string, before array<string>, inside array<int>, file array<int>, digit boolean"))
     order = F.xxhash64("chunk", "before", "file"), "chunk", "before", "file", "inside"
     kinds = ("digit", SAMPLE_CHUNKS), ("not digit", SAMPLE_WORDS), ("not digit and length(chunk) >= 12", SAMPLE_LONG)
     some = reduce(DataFrame.unionAll, [found.where(kind).orderBy(*order).limit(most) for kind, most in kinds])
@@ -504,6 +511,18 @@ def fitted(docs: DataFrame, sample: int = SAMPLE_DOCS) -> Field:
     return trained([(slots[:FIT_TOKENS], labelled(chunk, secret, ends)[:FIT_TOKENS]) for (chunk, _, secret, _), (ends, slots) in zip(given, found, strict=True)])
 
 
+def apart(found: list[tuple[int, int]], base: list[tuple[int, int, int, int]]) -> list[tuple[int, int]]:
+    """Those of found (start, end), in order, that overlap none of base, in order of start: both lists are walked once."""
+    out, k, reach = [], 0, 0
+    for s, e in sorted(found):
+        while k < len(base) and base[k][0] < e:
+            reach = max(reach, base[k][2])
+            k += 1
+        if reach <= s:
+            out.append((s, e))
+    return out
+
+
 def _scans(texts: list[str], field: Field) -> list[list[tuple[int, int, int, int]]]:
     """All spans of each text: base ones, and those of the field that overlap none of them."""
     out, a, held = [], 0, 0
@@ -511,7 +530,7 @@ def _scans(texts: list[str], field: Field) -> list[list[tuple[int, int, int, int
         if t is None or held + len(t) > SLICE and k > a:
             for text, found in zip(texts[a:k], field.text_spans(texts[a:k]) if k > a else [], strict=True):
                 base = base_spans(text)
-                more = [(s, 3, e, s) for s, e in found if not any(s < x[2] and e > x[0] for x in base)]
+                more = [(s, 3, e, s) for s, e in apart(found, base)]
                 out.append(sorted(base + more) if more else base)
             a, held = k, 0
         held += len(t or "")
