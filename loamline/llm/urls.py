@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from .common import staged, tidy
 
-#: Rules that the trie holds at most; more go through joined_verdicts.
-TRIE_RULES = 1_000_000
+#: Bytes that a trie takes in each Python worker, about, up to which rules are broadcast; more go through joined_verdicts.
+TRIE_BYTES = 64 << 20
 SCHEMA = "page_id bigint, host string, path string, rule string, verdict string"
 
 
@@ -70,16 +70,22 @@ class Trie:
         return best
 
 
+def trie_bytes(rules: list[tuple[str, str, str]]) -> int:
+    """About what Trie takes: nodes and entries of some 600 bytes a rule, and its text."""
+    return sum(600 + 3 * (len(h) + len(p)) for h, p, _ in rules)
+
+
 def verdicts(pages: DataFrame, rules: list[tuple[str, str, str]], default: str = "allow") -> DataFrame:
     """Host, path, fitting rule and verdict of each row of pages (page_id, url).
 
     rules: host, path, `allow` or `block`. A rule fits its host and all subdomains where the path begins with the
     rule's; more host labels win, then the longer path; of two equal ones, block. Without a rule the verdict is
     `default`. Null urls have an empty host and path; very long ones are read whole. Repeated rows
-    each give a row; other columns are ignored, whatever their names; no pages give no rows.
+    each give a row; other columns are ignored, whatever their names; no pages give no rows. Rules that take more than TRIE_BYTES
+    are joined instead.
     """
-    if len(rules) > TRIE_RULES:
-        raise ValueError(f"{len(rules)} rules are too many to broadcast; use joined_verdicts")
+    if trie_bytes(rules) > TRIE_BYTES:
+        return joined_verdicts(pages, pages.sparkSession.createDataFrame(rules, "host string, path string, verdict string"), default)
     trie = pages.sparkSession.sparkContext.broadcast(Trie(rules))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,11 +107,14 @@ def joined_verdicts(pages: DataFrame, rules: DataFrame, default: str = "allow")
     page = page.select("page_id", "__row", F.expr(r"translate(regexp_extract(__rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')").alias("host"), F.expr(r"regexp_extract(__rest, '^[^/?#]*([^?#]*)', 1)").alias("path"))
     page = staged(page)
     labels, parts = F.split("host", r"\."), F.split("path", "/")
-    keys = page.withColumn("__labels", labels).withColumn("__parts", parts)
-    keys = keys.select("__row", "path", F.explode(F.expr("transform(sequence(1, size(__labels)), i -> array_join(slice(__labels, i, size(__labels)), '.'))")).alias("__host"), "__parts")
-    keys = keys.select("__row", "path", "__host", F.explode(F.expr("transform(sequence(1, size(__parts)), i -> array_join(slice(__parts, 1, i - 1), '/'))")).alias("__head"))
     r = rules.groupBy(F.col("host").alias("__host"), F.col("path").alias("__path")).agg(F.max("verdict").alias("verdict"))
-    r = r.withColumn("__head", F.expr("substring_index(__path, '/', size(split(__path, '/')) - 1)"))
-    best = keys.join(r, ["__host", "__head"]).where("startswith(path, __path)")
+    r = r.withColumns({"__labels": F.size(F.split("__host", r"\.")), "__parts": F.size(F.split("__path", "/"))})
+    r = staged(r.withColumn("__key", F.xxhash64("__host", F.expr("substring_index(__path, '/', __parts - 1)"), "__parts")))
+    # only depths that rules have, and a hash for each, not the text
+    depths = F.array(*[F.struct(F.lit(a).alias("l"), F.lit(b).alias("p")) for a, b in sorted((x[0], x[1]) for x in r.select("__labels", "__parts").distinct().collect())] or [F.struct(F.lit(0).alias("l"), F.lit(0).alias("p"))])
+    keys = page.withColumns({"__labels": labels, "__parts": parts}).withColumn("d", F.explode(depths)).where("d.l <= size(__labels) and d.p <= size(__parts) and d.l > 0")
+    suffix, head = F.expr("array_join(slice(__labels, size(__labels) - d.l + 1, d.l), '.')"), F.expr("array_join(slice(__parts, 1, d.p - 1), '/')")
+    keys = keys.select("__row", "host", "path", F.xxhash64(suffix, head, F.col("d.p")).alias("__key"))
+    best = keys.join(r.drop("__labels", "__parts"), "__key").where("startswith(path, __path) and (host = __host or endswith(host, concat('.', __host)))")
     best = best.groupBy("__row").agg(F.max_by(F.struct(F.concat("__host", "__path").alias("rule"), "verdict"), F.struct(F.size(F.split("__host", r"\.")), F.length("__path"))).alias("best"))
     return page.join(best, "__row", "left").select("page_id", "host", "path", "best.rule", F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
