@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
@@ -13,6 +14,7 @@ from loamline.functions.killer import Names
 from loamline.functions.text import add_article, first_not_empty, game_key, mapped, norm_bool, norm_char, norm_map, norm_place, present, sanitized_gold
 from loamline.operators import parse
 from loamline.operators.rules import Rule, names, rule_steps
+from loamline.sources.workspace import stored
 
 #: Fields of a record that rules of this module read; promoted() adds those that are declared or that rule tables name.
 FIELDS = (
@@ -124,11 +126,51 @@ def _steps(book: RuleBook) -> list[dict[str, Column]]:
     return [*rule_steps(book.fields), first, second, third]
 
 
-def normalized(records: DataFrame, book: RuleBook, keep: tuple[str, ...] = ("src", "hash"), more: tuple[str, ...] = ()) -> DataFrame:
-    """Records with `fields`, `src` and `hash` to flat rows. more: further fields to keep."""
-    df = promoted(records, keep, book, more)
-    for step in steps(book):
+#: Rows of stored records from which the dear rules are worked out once for each tuple of their inputs, if these are fewer than one in
+#: FEWER rows; and tuples up to which their table is broadcast.
+DISTINCT_FROM, FEWER, BROADCAST_DISTINCT = 2_000_000, 4, 500_000
+#: Rules by what they read: killers, weapons, banishers and numbers of versions take a value of few different ones through many patterns.
+GROUPS = {
+    ("base_table", "cv", "killer", "ktyp", "killer_flags", "ikiller"): ("ikiller", "kmod", "ckiller", "cikiller"),
+    ("base_table", "kaux"): ("ckaux",),
+    ("cv", "banisher"): ("cbanisher",),
+    ("v", "cv", "vsav", "vsavrv", "vlong"): ("vnum", "cvnum", "vsavnum", "vsavrvnum", "vlongnum"),
+}
+
+
+def by_distinct(df: DataFrame, inputs: tuple[str, ...], outputs: tuple[str, ...], made: list[dict[str, Column]], rows: int) -> DataFrame:
+    """df, which is stored, with outputs from a table of the different tuples of inputs; as it was if these are too many to be of use."""
+    tuples = stored(df.select(*[_col(c) for c in inputs]).distinct())
+    n = tuples.count()
+    if n * FEWER > rows:
+        return df
+    given = [F.col(f"`{c}`").alias(f"__in_{k}") for k, c in enumerate(inputs)]
+    table = tuples.select("*", *given)
+    for step in made:
+        table = table.withColumns({k: v for k, v in step.items() if k in outputs})
+    table = stored(table.select(*[f"__in_{k}" for k in range(len(inputs))], *[_col(c).alias(f"__out_{c}") for c in outputs]))
+    on = [_col(c).eqNullSafe(F.col(f"__in_{k}")) for k, c in enumerate(inputs)]
+    out = df.join(F.broadcast(table) if n <= BROADCAST_DISTINCT else table, reduce(lambda a, b: a & b, on), "left")
+    return out.withColumns({c: F.col(f"__out_{c}") for c in outputs}).drop(*[f"__in_{k}" for k in range(len(inputs))], *[f"__out_{c}" for c in outputs])
+
+
+def normalized(records: DataFrame, book: RuleBook, keep: tuple[str, ...] = ("src", "hash"), more: tuple[str, ...] = (), rows: int | None = None) -> DataFrame:
+    """Records with `fields`, `src` and `hash` to flat rows. more: further fields to keep. rows: how many there are, if that is known.
+
+    Of many rows the rules of GROUPS are worked out once for each tuple of what they read, which gives the same rows.
+    """
+    df, (*before, second, third) = promoted(records, keep, book, more), steps(book)
+    for step in before:
         df = df.withColumns(step)
+    done: tuple[str, ...] = ()
+    if rows is not None and rows >= DISTINCT_FROM:
+        df = stored(df)
+        for inputs, outputs in GROUPS.items():
+            out = by_distinct(df, inputs, outputs, [second, third], rows)
+            # what a later group reads must be what was stored
+            done, df = (done, df) if out is df else (done + outputs, out)
+    for step in (second, third):
+        df = df.withColumns({k: v for k, v in step.items() if k not in done})
     return df.drop("__verb")
 
 

@@ -128,9 +128,10 @@ def prepared(scanned: DataFrame, book: RuleBook, servers: DataFrame, more: tuple
     """
     lines = workspace.stored(parse.marked(scanned))
     good = lines.where("cause is null").drop("cause")
-    if lines.count() < SPREAD_BELOW:  # a few small files are few tasks
+    count = lines.count()
+    if count < SPREAD_BELOW:  # a few small files are few tasks
         good = good.repartition(good.sparkSession.sparkContext.defaultParallelism)
-    rows = workspace.stored(normalize.timed(normalize.normalized(good, book, ("src", "hash", "file", "offset", "game"), more), servers))
+    rows = workspace.stored(normalize.timed(normalize.normalized(good, book, ("src", "hash", "file", "offset", "game"), more, count), servers))
     rows = rows.withColumn("table", registry.table_name(F.col("base_table"), F.col("game"), book.prefixes))
     late = rows.where("cause is not null").select("file", "offset", F.lit(None).cast("string").alias("line"), "src", "game", "cause")
     rejected = lines.where("cause is not null").select(*late.columns).unionByName(late)

@@ -17,9 +17,14 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.lines(spark, sf_dir, fixtures.LOG)
 
 
-def records(spark: SparkSession, sf_dir: str, which: str = fixtures.LOG) -> DataFrame:
+def dealt_lines(spark: SparkSession, sf_dir: str, which: str = fixtures.LOG) -> DataFrame:
+    """Made lines, stored over all cores: so they are made once, and not again by each expression that reads them."""
+    return workspace.stored(fixtures.lines(spark, sf_dir, which).repartition(spark.sparkContext.defaultParallelism))
+
+
+def records(spark: SparkSession, sf_dir: str, which: str = fixtures.LOG, lines: DataFrame | None = None) -> DataFrame:
     """Well-formed lines as records (i, src, line, fields, hash)."""
-    lines = fixtures.lines(spark, sf_dir, which)
+    lines = dealt_lines(spark, sf_dir, which) if lines is None else lines
     return parse.parsed(lines.where(parse.potential(F.col("line")) & ~parse.malformed(F.col("line"))))
 
 

@@ -155,3 +155,22 @@ def test_hash_runs(spark, tmp_path, bound):
         hashruns.BROADCAST_ROWS = old
     assert hashruns.to_merge({"a": 1, "b": 2, "c": 3, "d": 3, "e": 1000}) == ["a", "b", "c", "d"]
     assert hashruns.to_merge({"a": 1, "b": 2}) == []
+
+
+def test_rules_by_distinct_values_give_the_same(spark, monkeypatch):
+    from loamline.operators import normalize
+    from loamline.plans import fixtures, records
+    from loamline.sources import workspace
+
+    sf = "/root/testdata/sf0.001"
+    logs, miles = (records.records(spark, sf, which) for which in (fixtures.LOG, fixtures.MILESTONE))
+    some = workspace.stored(logs.unionByName(miles).limit(4000))
+    want = normalize.normalized(some, fixtures.BOOK)
+    monkeypatch.setattr(normalize, "DISTINCT_FROM", 0)
+    for bound in (500_000, 0):
+        monkeypatch.setattr(normalize, "BROADCAST_DISTINCT", bound)
+        got = normalize.normalized(some, fixtures.BOOK, rows=4000)
+        plan = got._jdf.queryExecution().analyzed().toString()
+        assert plan.count("__out_ckiller") and set(got.columns) == set(want.columns)
+        got = got.select(*want.columns)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
