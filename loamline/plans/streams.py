@@ -20,8 +20,9 @@ HASHES = "select md5(text) as hash from documents group by 1"
 
 def put(spark: SparkSession, sf_dir: str, path: str, which: str = "event") -> None:
     """Appends a lot of files with event lines, or with one line for each document's hash."""
-    if which == "hash":
-        rows = fixtures.table(spark, sf_dir, "documents").select(F.md5(F.encode("text", "UTF-8")).alias("value"))
+    if which in ("hash", "more"):
+        docs = fixtures.table(spark, sf_dir, "documents").where("true" if which == "hash" else "doc_id % 2 = 0")
+        rows = docs.select(F.md5(F.encode("text", "UTF-8")).alias("value"))
     else:
         rows = fixtures.lines(spark, sf_dir, fixtures.MILESTONE).where(which).select(F.concat(c("i").cast("string"), F.lit("\t"), "line").alias("value"))
     rows.repartition(4).write.mode("append").text(path)
@@ -37,7 +38,7 @@ def events(spark: SparkSession, out: str) -> DataFrame:
 
 
 def batch_number():
-    return F.regexp_extract(F.input_file_name(), "/batch=([0-9]+)/", 1)
+    return F.regexp_extract(F.input_file_name(), "/batch=([^/]+)/", 1)
 
 
 def folders(spark: SparkSession) -> tuple[str, str, str]:
@@ -116,11 +117,13 @@ def stream_dedup(spark, sf_dir):
 
 @query("stream_exactly_once", HASHES)
 def stream_exactly_once(spark, sf_dir):
+    """The checkpoint is lost after several batches, with new lines between and another limit: nothing is lost or doubled."""
     path, out, checkpoint = folders(spark)
-    put(spark, sf_dir, path, "hash")
-    tail.caught_up(spark, path, out, checkpoint, handle=hashed, dedup="hash")
-    # the same batch again, as after a crash between writing and committing
-    tail.caught_up(spark, path, out, checkpoint + "-lost", handle=hashed, dedup="hash")
+    for point, limit in ((checkpoint, 4096), (checkpoint + "-lost", 16384)):
+        put(spark, sf_dir, path, "hash" if point == checkpoint else "more")
+        tail.caught_up(spark, path, out, point, handle=hashed, dedup="hash", maxBytesPerTrigger=limit)
+        put(spark, sf_dir, path, "hash")
+        tail.caught_up(spark, path, out, point, handle=hashed, dedup="hash")
     return followed(spark, out, "hash string, file string, offset bigint").select("hash")
 
 

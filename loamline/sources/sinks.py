@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from py4j.protocol import Py4JJavaError
@@ -130,3 +131,8 @@ def files_in(spark: SparkSession, path: str) -> list[str]:
         if not any(x.startswith((".", "_")) for x in at.split("/")):
             out.append(at)
     return sorted(out)
+
+
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gives a stream's checkpoint when it is made: another one, even in the same folder, is another stream."""
+    return json.loads(text_of(spark, f"{checkpoint}/metadata"))["id"]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,11 +13,6 @@ from loamline.sources import sinks, workspace, xlog
 Rules = Callable[[], tuple[int, RuleBook]]
 
 
-def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
-    """The id that Spark gives a checkpoint when it is made: another one, even in the same folder, is another stream."""
-    return json.loads(sinks.text_of(spark, f"{checkpoint}/metadata"))["id"]
-
-
 def followed_load(spark: SparkSession, path: str, star: Star, checkpoint: str, attribute: Callable[[DataFrame], DataFrame], book: RuleBook | Rules, servers: DataFrame, design: Design, name: str = "stream", once: bool = True, every: str = "250 milliseconds", **options):
     """A query from files under path into the star.
 
@@ -31,7 +25,7 @@ def followed_load(spark: SparkSession, path: str, star: Star, checkpoint: str, a
     """
 
     def put(batch: DataFrame, number: int) -> None:
-        stream = f"{name}-{checkpoint_id(spark, checkpoint)}"
+        stream = f"{name}-{sinks.checkpoint_id(spark, checkpoint)}"
         seen = star.log.snapshot(spark)
         if seen.has(stream, number):
             return

@@ -7,11 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamline.operators import tables
+from loamline.operators import hashruns, tables
 from loamline.sources import sinks, workspace, xlog
 
-#: Rows of a batch up to which its hashes are broadcast.
-BROADCAST_HASHES = 1_000_000
 Handle = Callable[[DataFrame], DataFrame]
 
 
@@ -20,26 +18,37 @@ def stored_rows(spark: SparkSession, out: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{out}/batch=*") if sinks.exists(spark, out) else spark.createDataFrame([], schema)
 
 
+def known_hashes(spark: SparkSession, runs: str, but: str) -> DataFrame:
+    """Stored hashes (key, hash, file, load) of all batches but one, that may be run again."""
+    schema = f"{hashruns.RUN}, load string"
+    return spark.read.schema(schema).parquet(runs).where(F.col("load") != but) if sinks.exists(spark, runs) else spark.createDataFrame([], schema)
+
+
 def follow(spark: SparkSession, path: str, out: str, checkpoint: str, handle: Handle | None = None, dedup: str | None = None, once: bool = True, every: str = "250 milliseconds", **options):
     """A query from files under path to Parquet under out.
 
-    Each batch goes to a folder of its own number and overwrites it, so a batch that is run again after a failure leaves
+    Each batch goes to a folder of its checkpoint and number and overwrites it, so a batch that is run again after a failure leaves
     one copy. dedup: a column of which only the first row ever is kept, against all batches stored before this one; hashes
-    never expire. handle is called anew for each batch, so rule tables that it reads take effect at once.
-    once: catch up and stop; else go on every interval, in which bursts of changes make one batch.
+    never expire. They are kept in sorted runs beside out, of which a batch reads the narrow keys. With dedup a lost
+    checkpoint loses and doubles nothing; without it, lines are then written once more. handle is called anew for each batch, so
+    rule tables that it reads take effect at once. once: catch up and stop; else go on every interval, in which bursts of changes make one batch.
     """
 
     def put(batch: DataFrame, number: int) -> None:
-        rows = handle(batch) if handle else batch
-        if dedup:
-            rows = workspace.stored(tables.first_of_hash(rows.withColumnRenamed(dedup, "hash")))
-            before = stored_rows(spark, out, rows.withColumnRenamed("hash", dedup).schema).select(F.col(dedup).alias("hash"), F.input_file_name().alias("__in"))
-            before = before.where(~F.col("__in").contains(f"/batch={number}/"))
-            new = rows.select("hash")
-            new = F.broadcast(new) if rows.count() <= BROADCAST_HASHES else new  # so that a small batch doesn't shuffle what is stored
-            rows = tables.not_known(rows, before.join(new, "hash", "left_semi")).withColumnRenamed("hash", dedup)
-        rows.write.mode("overwrite").parquet(f"{out}/batch={number}")
-
+        rows, name = handle(batch) if handle else batch, f"{number:09d}-{sinks.checkpoint_id(spark, checkpoint)[:8]}"
+        if not dedup:
+            rows.write.mode("overwrite").parquet(f"{out}/batch={name}")
+            return
+        rows = workspace.stored(tables.first_of_hash(rows.withColumnRenamed(dedup, "hash")))
+        runs = known_hashes(spark, f"{out}-hashes", name)
+        gone = spark.createDataFrame([], hashruns.GONE)
+        count = rows.count()
+        fresh = workspace.stored(tables.not_known(rows, hashruns.found(runs, gone, rows.select("hash"), count)))
+        hashruns.written(fresh.select("hash", F.lit("").alias("file")), f"{out}-hashes/load={name}", count)
+        fresh.withColumnRenamed("hash", dedup).write.mode("overwrite").parquet(f"{out}/batch={name}")
+
+    if once:
+        options = {k: v for k, v in options.items() if k != "quietSeconds"}
     writer = xlog.tail(spark, path, **options).writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()
 
