@@ -31,9 +31,12 @@ def game(name: Column, tags: list[tuple[str, list[str]]], default: str = "") ->
     return F.lit(default) if out is None else out.otherwise(F.lit(default))
 
 
+#: A version with its dot, and one of two digits.
+DOTTED, KEY = r"(\d+[.]\d+)", r"(\d{2})\b"
+
+
 def version(name: Column) -> Column:
-    dotted, key = r"(\d+[.]\d+)", r"(\d{2})\b"
-    return F.when(name.rlike(TRUNK), F.lit("git")).when(name.rlike(dotted), F.regexp_extract(name, dotted, 1)).when(name.rlike(key), expand_key(F.regexp_extract(name, key, 1))).otherwise(F.lit("any"))
+    return F.when(name.rlike(TRUNK), F.lit("git")).when(name.rlike(DOTTED), F.regexp_extract(name, DOTTED, 1)).when(name.rlike(KEY), expand_key(F.regexp_extract(name, KEY, 1))).otherwise(F.lit("any"))
 
 
 def qualified_name(server: Column, kind_: Column, version_: Column, game_: Column, qualifier: Column) -> Column:
