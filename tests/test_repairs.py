@@ -134,6 +134,29 @@ def test_commit_log(spark, tmp_path):
     assert [p.rsplit("/", 1)[1] for p in log.paths(spark, log.snapshot(spark), "t")] == ["part-2"]
 
 
+def test_compaction_and_loads_pass_each_other(spark, tmp_path):
+    from loamline.sources import commits
+
+    log, calls = commits.Log(str(tmp_path)), []
+    log.put(spark, log.snapshot(spark), commits.Commit("load", {"t": ["load=a", "load=b"]}))
+
+    def work(what, other):
+        def run(seen):
+            calls.append(what)
+            if len(calls) == 1:  # another writer is first
+                log.put(spark, log.snapshot(spark), other)
+            return commits.Commit(what, {"t": [f"load={what}"]}, {"t": ["load=a", "load=b"]} if what == "compact" else {})
+
+        return run
+
+    log.transact(spark, work("compact", commits.Commit("load", {"t": ["load=c"]})))
+    assert calls == ["compact"] and list(log.snapshot(spark).folders["t"]) == ["load=c", "load=compact"]
+    for what, other, n in (("load", "compact", 1), ("load", "load", 2), ("compact", "delete files", 2), ("load", "fix char", 2), ("fix char", "load", 2)):
+        calls.clear()
+        log.transact(spark, work(what, commits.Commit(other)))
+        assert calls == [what] * n
+
+
 @pytest.mark.parametrize("bound", [1_000_000, 0])
 def test_hash_runs(spark, tmp_path, bound):
     """A search reads the same by either way, and most of a run is passed over."""
