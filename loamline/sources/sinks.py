@@ -25,6 +25,12 @@ def names_in(spark: SparkSession, path: str) -> list[str]:
     return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def times_in(spark: SparkSession, path: str) -> dict[str, float]:
+    """Names of what lies in a folder, with the seconds since the epoch at which each was last changed."""
+    fs, p = _at(spark, path)
+    return {x.getPath().getName(): x.getModificationTime() / 1000 for x in fs.listStatus(p)} if fs.exists(p) else {}
+
+
 def touch(spark: SparkSession, path: str) -> None:
     """An empty file."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -134,6 +134,23 @@ def test_commit_log(spark, tmp_path):
     assert [p.rsplit("/", 1)[1] for p in log.paths(spark, log.snapshot(spark), "t")] == ["part-2"]
 
 
+def test_vacuum_leaves_what_is_named_or_young(spark, tmp_path):
+    import os
+
+    from loamline.sources import commits
+
+    log = commits.Log(str(tmp_path))
+    log.put(spark, log.snapshot(spark), commits.Commit("load", {"t": ["load=live", "load=old"]}))
+    log.put(spark, log.snapshot(spark), commits.Commit("compact", {}, {"t": ["load=old"]}))
+    for name, age in (("load=live", 9e6), ("load=old", 9e6), ("load=left", 9e6), ("load=young", 0), ("other", 9e6)):
+        folder = tmp_path / "t" / name
+        folder.mkdir(parents=True)
+        (folder / "part-0").write_text("x")
+        os.utime(folder, (folder.stat().st_mtime - age,) * 2)
+    assert commits.vacuumed(log, spark) == ["t/load=left", "t/load=old"]
+    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == ["load=live", "load=young", "other"]
+
+
 def test_compaction_and_loads_pass_each_other(spark, tmp_path):
     from loamline.sources import commits
 
