@@ -9,6 +9,8 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loamline.sources import paths
+
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a stored table is there, asked of the file system that the path names."""
@@ -37,6 +39,13 @@ def touch(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True).close()
 
 
+def offset_log(spark: SparkSession, checkpoint: str) -> dict[str, str]:
+    """The option of a stream's source that keeps its places in its checkpoint, where Python can write there."""
+    fs, p = _at(spark, checkpoint)
+    path = fs.makeQualified(p).toString()
+    return {"offsetLog": f"{path}/places"} if paths.known(path) else {}
+
+
 def write_facts(rows: DataFrame, path: str) -> None:
     """Appends rows, each to the folder of its table: one write, without a loop over tables."""
     rows.write.mode("append").partitionBy("table").parquet(path)

@@ -4,7 +4,7 @@ Options: path (files, folders or globs, comma-separated; braces are expanded), s
 start of its last loaded line; that line is passed over), strict ("false" ignores shrunken files).
 For streams: maxBytesPerTrigger, dealt fairly over files; quietSeconds, for which a file must not have changed before it is read, and
 maxWaitSeconds, after which it is read all the same; truncated ("raise", "anew" or "skip") for files that shrank or got another
-first line; generation ("true" adds a column of that name, by which a file that was begun anew is told from what it was).
+first line; offsetLog, a folder for the places of streams in files (else each offset is a JSON of all files); generation ("true" adds a column of that name, by which a file that was begun anew is told from what it was).
 A last line without its end is held back. Missing files are skipped; an offset beyond a file's end is an error.
 Paths are of a shared file system, or addresses in a store that Arrow's file systems know.
 """
@@ -26,8 +26,13 @@ from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
+from loamline.sources.offsetlog import OffsetLog
+from loamline.sources.paths import local, opened, remote
+
 SCHEMA = "file string, offset bigint, line string"
 SPLIT, BATCH = 32 << 20, 4 << 20
+#: Ranges above which short ones share tasks, and the bytes that opening a file counts for.
+TASKS, OPEN = 1000, 64 << 10
 
 
 def expand_braces(pattern: str) -> list[str]:
@@ -39,36 +44,36 @@ def expand_braces(pattern: str) -> list[str]:
     return list(dict.fromkeys(out))
 
 
-def _remote(path: str) -> bool:
-    return "://" in path and not path.startswith("file:")
-
-
-def _local(path: str) -> str:
-    return re.sub(r"^file:/+", "/", path)
-
-
-def opened(path: str):
-    """A seekable file: local ones by the system itself, others by Arrow's file systems, loaded only then."""
-    if not _remote(path):
-        return open(_local(path), "rb")  # noqa: SIM115
-    from pyarrow import fs
-
-    system, inner = fs.FileSystem.from_uri(path)
-    return system.open_input_file(inner)
-
-
 def listed(pattern: str) -> dict[str, int]:
     """Files by path, with their sizes."""
     out: dict[str, int] = {}
     for one in expand_braces(pattern):
-        out |= _listed_remote(one) if _remote(one) else _listed_local(_local(one))
+        out |= _listed_remote(one) if remote(one) else _listed_local(local(one))
     return {k: v for k, v in sorted(out.items()) if not k.rsplit("/", 1)[-1].startswith((".", "_"))}
 
 
 def _listed_local(path: str) -> dict[str, int]:
     found = glob.glob(path) if re.search(r"[*?\[]", path) else [path]
-    files = [f for p in found for f in ([p] if os.path.isfile(p) else [os.path.join(d, n) for d, _, names in os.walk(p) for n in names])]
-    return {f: os.path.getsize(f) for f in files}
+    out, folders = {}, []
+    for p in found:
+        if os.path.isfile(p):
+            out[p] = os.path.getsize(p)
+        else:
+            folders.append(p)
+    while folders:
+        try:
+            entries = list(os.scandir(folders.pop()))
+        except OSError:  # gone, or no folder
+            continue
+        for e in entries:
+            if e.is_dir():
+                folders += [] if e.is_symlink() else [e.path]
+                continue
+            try:
+                out[e.path] = e.stat().st_size
+            except FileNotFoundError:  # gone since it was listed
+                pass
+    return out
 
 
 def _listed_remote(path: str) -> dict[str, int]:
@@ -100,6 +105,34 @@ class Range(InputPartition):
         return hash((self.file, self.start))
 
 
+@dataclass(eq=False)
+class Ranges(InputPartition):
+    """Short ranges that one task reads one after another."""
+
+    ranges: list[Range]
+
+
+def dealt(ranges: list[Range], split: int) -> list[Range | Ranges]:
+    """Ranges for tasks: each its own, or where there are very many, neighbours together up to a split."""
+    if len(ranges) <= TASKS:
+        return list(ranges)
+    size = min(split, sum(r.end - r.start + OPEN for r in ranges) // TASKS)
+    out, held = [], 0
+    for r in ranges:
+        if not out or held >= size:
+            out.append(Ranges([]))
+            held = 0
+        out[-1].ranges.append(r)
+        held += r.end - r.start + OPEN
+    return out
+
+
+def read_part(part: Range | Ranges) -> Iterator[pa.RecordBatch]:
+    for one in part.ranges if isinstance(part, Ranges) else [part]:
+        if one.file:
+            yield from read_range(one)
+
+
 def read_range(part: Range) -> Iterator[pa.RecordBatch]:
     try:
         stream = opened(part.file)
@@ -177,10 +210,10 @@ class XlogReader(DataSourceReader):
                     raise ValueError(f"{file} has shrunk: its offset {start} lies beyond {size} bytes")
                 continue
             out += _ranges(file, start or 0, size, self.split, start is not None)
-        return out or [Range("", 0, 0, 0)]
+        return dealt(out, self.split) or [Range("", 0, 0, 0)]
 
-    def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
-        return read_range(partition) if partition.file else iter(())
+    def read(self, partition: Range | Ranges) -> Iterator[pa.RecordBatch]:
+        return read_part(partition)
 
 
 def first_line(file: str, most: int = 1 << 16) -> str:
@@ -199,10 +232,11 @@ def first_line(file: str, most: int = 1 << 16) -> str:
 class XlogStreamReader(DataSourceStreamReader):
     """Offsets are JSON of file to the byte after its last whole line that was read, and its generation: the mark of its first line, with
     a number where it was begun anew with the same one. NEXT names the file that was last read, after which the next batch begins.
-    A file that goes away keeps its offset.
+    A file that goes away keeps its offset. With a log of offsets they are PLACE and the id of a place in it; a stream that began without
+    one goes on with it.
     """
 
-    NEXT = ""
+    NEXT, PLACE = "", "//place"
 
     def __init__(self, options: dict):
         self.path, self.split = options["path"], int(options.get("splitbytes", SPLIT))
@@ -212,7 +246,9 @@ class XlogStreamReader(DataSourceStreamReader):
         if self.truncated not in ("raise", "anew", "skip"):
             raise ValueError(f"truncated is raise, anew or skip, not {self.truncated}")
         self.named = options.get("generation", "false") == "true"
+        self.log = OffsetLog(options["offsetlog"]) if options.get("offsetlog") else None
         self.last: dict = {}
+        self.at = ""  # the place of `last`
         self.seen: dict[str, tuple[int, float, float]] = {}  # size, when it changed, when the first of what waits came
         self.heads: dict[str, tuple[int, str]] = {}  # size when the first line was read, and its mark
 
@@ -251,9 +287,14 @@ class XlogStreamReader(DataSourceStreamReader):
                 end = 0
             if size > end and not self._waits(file, size, now):
                 news[file] = end, size, generation
+        begun = {file: end for file, (end, _, _) in news.items()}
         self._take(out, news)
+        if self.log:
+            changes = {file: [end, *out[file]] for file, end in begun.items() if file in out and out[file] != self.last.get(file)}
+            if changes:
+                self.at = self.log.put(self.at, changes, {k: v for k, v in out.items() if k != self.NEXT}, out.get(self.NEXT, ""))
         self.last = out
-        return out
+        return {self.PLACE: self.at} if self.at else out
 
     def _take(self, out: dict, news: dict[str, tuple[int, int, str]]) -> None:
         """Puts the new ends of files into out: in turns, from the file after the last one read, an equal share of what is left of
@@ -279,20 +320,45 @@ class XlogStreamReader(DataSourceStreamReader):
         if out.get(self.NEXT) and not self.limit:
             out.pop(self.NEXT)
 
-    def partitions(self, start: dict, end: dict) -> list[Range]:
-        self.last = {**self.last, **end}
+    def _state(self, offset: dict) -> dict:
+        """All files at an offset, whichever way it is told."""
+        if self.PLACE not in offset:
+            return dict(offset)
+        if self.log is None:
+            raise ValueError("the offsets of this stream are places in a log: option offsetLog is missing")
+        if offset[self.PLACE] == self.at:
+            return self.last
+        files, next_ = self.log.state(offset[self.PLACE])
+        return files | ({self.NEXT: next_} if next_ else {})
+
+    def _changes(self, start: dict, end: dict) -> dict[str, list]:
+        """What lies between two offsets: file to first byte, byte after the last, and generation."""
+        found = None
+        if self.PLACE in end and self.log and (not start or self.PLACE in start):
+            found = self.log.between(start.get(self.PLACE, ""), end[self.PLACE])
+        if found is None:
+            before, after = self._state(start), self._state(end)
+            found = {}
+            for file, (to, generation) in ((f, x) for f, x in after.items() if f != self.NEXT):
+                begun, known = before.get(file, (0, generation))
+                found[file] = [begun if known == generation else 0, to, generation]
+        return found
+
+    def partitions(self, start: dict, end: dict) -> list[Range | Ranges]:
+        """Spark also asks for start == end, to tell a reader that begins anew where the stream is."""
+        changes = {} if start == end else self._changes(start, end)
+        self.last, self.at = self._state(end), end.get(self.PLACE, "")
         out = []
-        for file, (to, generation) in ((f, x) for f, x in end.items() if f != self.NEXT):
-            begun, known = start.get(file, (0, generation))
-            begun = begun if known == generation else 0
+        for file, (begun, to, generation) in sorted(changes.items()):
             out += [Range(file, a.start, a.end, to, generation=generation if self.named else None) for a in _ranges(file, begun, to, self.split, False)]
-        return out or [Range("", 0, 0, 0)]
+        return dealt(out, self.split) or [Range("", 0, 0, 0)]
 
-    def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
-        return read_range(partition) if partition.file else iter(())
+    def read(self, partition: Range | Ranges) -> Iterator[pa.RecordBatch]:
+        return read_part(partition)
 
     def commit(self, end: dict) -> None:
-        pass
+        if self.log:
+            self.log.trimmed()
 
 
 def whole_lines_end(file: str, start: int, size: int, room: int | None) -> int:

@@ -36,5 +36,6 @@ def followed_load(spark: SparkSession, path: str, star: Star, checkpoint: str, a
 
     if once:
         options = {k: v for k, v in options.items() if k != "quietSeconds"}
+    options = sinks.offset_log(spark, checkpoint) | options
     writer = xlog.tail(spark, path, generation="true", **options).writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()

@@ -49,6 +49,7 @@ def follow(spark: SparkSession, path: str, out: str, checkpoint: str, handle: Ha
 
     if once:
         options = {k: v for k, v in options.items() if k != "quietSeconds"}
+    options = sinks.offset_log(spark, checkpoint) | options
     writer = xlog.tail(spark, path, **options).writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()
 

@@ -135,3 +135,71 @@ def test_ranges(spark):
     left = sorted(tuple(r) for r in load.unread(scanned, ranges).collect())
     assert left == [*(("f", "a", k) for k in (3, 4, 7, 8, 9)), ("g", "b", 3), ("h", "c", 1)]
     assert sorted(tuple(r) for r in load.ranges_of(scanned.where("offset > 6 or file <> 'f'"), ranges).collect()) == [("f", "a", 7, 9), ("g", "b", 3, 3), ("h", "c", 1, 1)]
+
+
+def test_places_in_a_log_are_those_of_plain_offsets(tmp_path, monkeypatch):
+    import json
+    import os
+    import random
+
+    from loamline.sources import offsetlog
+
+    monkeypatch.setattr(offsetlog, "EVERY", 5)
+    monkeypatch.setattr(offsetlog, "KEEP", 2)
+    source, log, rng = tmp_path / "in", tmp_path / "log", random.Random(3)
+    for d in range(4):
+        (source / f"d{d}").mkdir(parents=True)
+    options = {"truncated": "anew", "generation": "true", "maxbytespertrigger": 400}
+    plain, logged = reader(source, **options), reader(source, offsetlog=log, **options)
+    a, b, k = {}, {}, 0
+    for step in range(60):
+        for _ in range(3):
+            f = source / f"d{rng.randrange(4)}" / f"f{rng.randrange(12)}"
+            with f.open("w" if rng.random() < 0.1 else "a") as out:
+                out.write(f"line {k} of {f.name}\n" * rng.randrange(1, 4))
+            k += 1
+        if step == 30:  # a stream that began without a log goes on with one
+            logged, b = reader(source, offsetlog=tmp_path / "second", **options), a
+            logged.partitions(a, a)
+        elif step % 7 == 0:  # both begin anew from where Spark says they are
+            plain, logged = reader(source, **options), reader(source, offsetlog=log if step < 30 else tmp_path / "second", **options)
+            plain.partitions(a, a)
+            logged.partitions(b, b)
+        if step % 11 == 0:
+            logged.latestOffset()  # a place that Spark never stored
+            logged.partitions(b, b)
+        c, d = plain.latestOffset(), logged.latestOffset()
+        assert sorted(lines(plain, a, c)) == sorted(lines(logged, b, d))
+        assert c == a or len(json.dumps(d)) < 60
+        logged.commit(d)
+        assert logged._state(d) == c
+        a, b = c, d
+    held = os.listdir(tmp_path / "second")
+    assert 0 < len(held) < 30  # old places were removed
+    with pytest.raises(ValueError, match="no place"):
+        reader(source, offsetlog=tmp_path / "third", **options).partitions(b, b)
+    with pytest.raises(ValueError, match="offsetLog"):
+        reader(source, **options).partitions(b, b)
+
+
+def test_a_change_of_one_file_of_many_writes_one_change(tmp_path):
+    from loamline.sources import xlog
+
+    source, log = tmp_path / "in", tmp_path / "log"
+    for d in range(30):
+        (source / str(d)).mkdir(parents=True)
+        for n in range(100):
+            (source / str(d) / f"{n}").write_text(f"{d} {n}\n")
+    r = reader(source, offsetlog=log)
+    at = r.latestOffset()
+    parts = r.partitions({}, at)
+    assert len(parts) <= xlog.TASKS + 1 and sum(isinstance(p, xlog.Ranges) for p in parts) == len(parts)
+    rows = [x for p in parts for b in r.read(p) for x in b.column(2).to_pylist()]
+    assert sorted(rows) == sorted(f"{d} {n}" for d in range(30) for n in range(100))
+    with (source / "7" / "70").open("a") as f:
+        f.write("more\n")
+    new = r.latestOffset()
+    assert lines(r, at, new) == [("70", "more")] and r.latestOffset() == new
+    assert (log / f"{new[r.PLACE]}.json").stat().st_size < 500
+    batch = xlog.XlogReader({"path": str(source)})
+    assert sorted(x for p in batch.partitions() for b in batch.read(p) for x in b.column(2).to_pylist()) == sorted([*rows, "more"])
