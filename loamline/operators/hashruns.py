@@ -2,15 +2,20 @@
 
 A run is a table (key, hash, file) in ranges of key and sorted by it; key holds KEY_BITS of a second hash of the hash. Sorted keys lie close
 together, so that Parquet's delta encoding leaves two to four bytes of each, against some fifty of a row. A search reads the keys
-alone, and looks up whole hashes only for keys that it has found. Loads write small runs; merging joins runs of like size into
+alone, and looks up whole hashes only for keys that it has found: pages are small, and few keys are told to their statistics. Loads write small runs; merging joins runs of like size into
 one, so there are few of them, and also leaves out what was forgotten.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loamline.sources.workspace import stored
+
 KEY_BITS = 40
 #: Rows of new hashes up to which they are broadcast; keys found up to which the runs' statistics are asked for each.
 BROADCAST_ROWS, FEW_KEYS = 1_000_000, 2_000
@@ -18,8 +23,10 @@ BROADCAST_ROWS, FEW_KEYS = 1_000_000, 2_000
 FILE_ROWS = 4_000_000
 RUN = "key bigint, hash string, file string"
 GONE = "hash string, of string"
+#: Rows of a page, the least that a search reads of a column.
+PAGES = {"parquet.page.row.count.limit": "1000"}
 #: Of one run: how its columns are encoded.
-OPTIONS = {"parquet.writer.version": "v2", "parquet.enable.dictionary#key": "false", "parquet.enable.dictionary#hash": "false", "parquet.block.size": str(32 << 20)}
+OPTIONS = {**PAGES, "parquet.writer.version": "v2", "parquet.enable.dictionary#key": "false", "parquet.enable.dictionary#hash": "false", "parquet.block.size": str(32 << 20)}
 
 
 def key_of(hash_: Column) -> Column:
@@ -35,22 +42,37 @@ def written(rows: DataFrame, path: str, count: int) -> None:
     keyed.sortWithinPartitions("key").write.mode("overwrite").options(**OPTIONS).parquet(path)
 
 
+@contextmanager
+def told(spark: SparkSession) -> Iterator[None]:
+    """What is computed within asks the statistics of pages for each of FEW_KEYS values, where Spark else asks for their least and greatest."""
+    name = "spark.sql.parquet.pushdown.inFilterThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(max(int(before), FEW_KEYS)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def found(runs: DataFrame, gone: DataFrame, new: DataFrame, count: int) -> DataFrame:
     """Of runs (key, hash, file, load) the rows whose hash is in new (hash), but not those that are gone (hash, of: the run's folder).
 
     new must be stored, as it is read twice. While it is small it is broadcast and the runs aren't shuffled.
     """
     keys = new.select(key_of(F.col("hash")).alias("key")).distinct()
-    small = count <= BROADCAST_ROWS
+    small, few = count <= BROADCAST_ROWS, []
     hits = runs.select("key").join(F.broadcast(keys) if small else keys, "key", "left_semi")
     if small:
         few = [r[0] for r in hits.distinct().limit(FEW_KEYS + 1).collect()]  # most keys of new lines aren't there
         if not few:
             return runs.limit(0)
         if len(few) <= FEW_KEYS:
-            runs = runs.where(F.col("key").between(min(few), max(few)) & F.col("key").isin(few))
+            runs = runs.where(F.col("key").isin(few))
     wanted = new.select("hash", key_of(F.col("hash")).alias("key"))
     rows = runs.join(F.broadcast(wanted) if small else wanted, ["key", "hash"], "left_semi")
+    if 0 < len(few) <= FEW_KEYS:
+        with told(runs.sparkSession):
+            rows = stored(rows)
     return rows.join(gone.select("hash", F.col("of").alias("load")), ["hash", "load"], "left_anti")
 
 

@@ -16,14 +16,12 @@ from pyspark.sql import functions as F
 
 from loamline.functions import clock
 from loamline.functions.text import norm_value
-from loamline.operators import hashruns, normalize, parse, rules, tables
+from loamline.operators import dictionary, hashruns, normalize, parse, rules, tables
 from loamline.operators.normalize import RuleBook
 from loamline.operators.rules import Declared
 from loamline.sources import commits, registry, workspace
 from loamline.sources.commits import Snapshot
 
-#: Keys of dimensions in one load up to which they are broadcast to its rows.
-BROADCAST_KEYS = 1_000_000
 #: Lines below which records are dealt anew over all cores before they are normalized.
 SPREAD_BELOW = 2_000_000
 #: Rows of a file of facts, about, in loads that have fewer of them than cores.
@@ -239,7 +237,8 @@ def load(scanned: DataFrame, star: Star, book: RuleBook, servers: DataFrame, des
     first = workspace.stored(tables.first_of_stored(rows))
     count = first.count()
     keys = workspace.stored(_values(rows, design, []).select("dimension", "key").distinct())
-    small = keys.count() <= BROADCAST_KEYS
+    n_keys = keys.count()
+    small = n_keys <= dictionary.BROADCAST_KEYS
     files = max(1, -(-count // FILE_ROWS))  # so that small loads leave no more files than they need
 
     def work(seen: Snapshot) -> commits.Commit | None:
@@ -247,12 +246,11 @@ def load(scanned: DataFrame, star: Star, book: RuleBook, servers: DataFrame, des
         if name and seen.has(name, number):
             return None
         kept = workspace.stored(unknown(first, spark, star, seen, count))
-        old = star.read(spark, "dimensions", dimension_schema(design), seen)
-        known = workspace.stored(old.join(F.broadcast(keys) if small else keys, ["dimension", "key"], "left_semi").select("dimension", "key", "id"))
+        known = dictionary.known(star.read(spark, "dimensions", f"{dimension_schema(design)}, {dictionary.SLOT}", seen), keys, n_keys)
         new = keys.join(known, ["dimension", "key"], "left_anti")
         tops = spark.createDataFrame(list(seen.tops.items()), "dimension string, top bigint")
         fresh = workspace.stored(tables.numbered_within(dimension_values(rows, design, new), "dimension", tops))
-        put(fresh.select(*[c.split()[0].strip("`") for c in dimension_schema(design).split(", ")]), "dimensions", "dimension")
+        dictionary.written(fresh.select(*[c.split()[0].strip("`") for c in dimension_schema(design).split(", ")]), f"{star.root}/dimensions/{folder}")
         ids = known.unionByName(fresh.select("dimension", "key", "id"))
         for kind in design.fields:
             fields = stored_fields(design, kind)

@@ -214,3 +214,48 @@ def test_rules_by_distinct_values_give_the_same(spark, monkeypatch):
         assert plan.count("__out_ckiller") and set(got.columns) == set(want.columns)
         got = got.select(*want.columns)
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def bytes_read(spark, make):
+    """What the session's JVM reads from files while make() runs."""
+    pid = spark._jvm.java.lang.ProcessHandle.current().pid()
+    now = lambda: int(open(f"/proc/{pid}/io").read().split()[1])  # noqa: E731, SIM115
+    before = now()
+    out = make()
+    return out, now() - before
+
+
+def test_a_small_load_reads_few_pages_of_dimensions(spark, tmp_path, monkeypatch):
+    from loamline.operators import dictionary, hashruns
+    from loamline.sources import workspace
+
+    values = spark.range(300_000).select(F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("dimension"), F.md5(F.col("id").cast("string").cast("binary")).alias("key"), "id")
+    dictionary.written(values.coalesce(1), str(tmp_path / "new"))
+    values.where("id < 1000").withColumn("slot", F.lit(None).cast("long")).withColumn("id", F.col("id") + 10**6).write.partitionBy("dimension").parquet(str(tmp_path / "old"))
+    keys = workspace.stored(values.where("id % 10000 = 3").select("dimension", "key").unionByName(spark.createDataFrame([("c", "x"), ("a", "none")], "dimension string, key string")))
+    schema = f"dimension string, key string, id bigint, {dictionary.SLOT}"
+    size = sum(f.stat().st_size for f in (tmp_path / "new").rglob("*.parquet"))
+    for table, want in (("new", range(3, 300_000, 10_000)), ("old", [10**6 + 3])):  # files without slots are read whole
+        stored = spark.read.schema(schema).parquet(str(tmp_path / table))
+        for few in (hashruns.FEW_KEYS, 0):
+            monkeypatch.setattr(hashruns, "FEW_KEYS", few)
+            found, read = bytes_read(spark, lambda: dictionary.known(stored, keys, 32))  # noqa: B023
+            assert found.columns == ["dimension", "key", "id"] and sorted(r.id for r in found.collect()) == list(want)
+            assert (read < size / 3) == bool(few) or table == "old"
+        monkeypatch.undo()
+    before = spark.conf.get("spark.sql.parquet.pushdown.inFilterThreshold")
+    assert dictionary.known(spark.read.schema(schema).parquet(str(tmp_path / "new")), keys.limit(0), 0).count() == 0
+    assert spark.conf.get("spark.sql.parquet.pushdown.inFilterThreshold") == before
+
+
+def test_few_hashes_are_looked_up_in_few_pages(spark, tmp_path):
+    from loamline.operators import hashruns
+    from loamline.sources import workspace
+
+    hashes = spark.range(300_000).select(F.sha2(F.col("id").cast("string"), 256).alias("hash"), F.lit("f").alias("file"), "id")
+    hashruns.written(hashes, f"{tmp_path}/runs/load=r", 300_000)
+    runs = spark.read.schema(hashruns.RUN + ", load string").parquet(f"{tmp_path}/runs")
+    new = workspace.stored(hashes.where("id % 10000 = 3").select("hash"))
+    size = sum(f.stat().st_size for f in (tmp_path / "runs").rglob("*.parquet"))
+    found, read = bytes_read(spark, lambda: hashruns.found(runs, spark.createDataFrame([], hashruns.GONE), new, 30))
+    assert found.count() == 30 and read < size / 3
