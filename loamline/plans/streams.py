@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +13,7 @@ from loamline.operators import rules
 from loamline.plans import fixtures, load, stars
 from loamline.plans.fixtures import BOOK
 from loamline.plans.registry import query
-from loamline.sources import sinks, workspace, xlog
+from loamline.sources import rulebooks, sinks, workspace, xlog
 from loamline.streaming import loading, tail
 
 c = F.col
@@ -188,3 +191,37 @@ def stream_load(spark, sf_dir):
     run()
     facts = stars.named(spark, star, star.facts(spark, "logrecord", stars.LOGS_ONLY), stars.LOGS_ONLY, pname="name", cv="cv")
     return facts.select("file_offset", "pname", "cv", "table", "sc")
+
+
+RELOADED = stars.GOOD.format("""select i as file_offset, 'Cust ' || k as pname, case when i % 4 <> 0 then '' when (i // 4) % 2 = 0 then 'spr_' else 'sprint_' end || 'logrecord' as "table" from t""")
+
+
+@query("stream_star_rules", RELOADED)
+def stream_star_rules(spark, sf_dir):
+    """Two lots followed into a star by one query that goes on: files are taken when they are quiet, and a new version of the rules, put
+    while the query runs, holds for the second lot."""
+    path, root, checkpoint = folders(spark)
+    star, books = load.Star(root), rulebooks.RuleBooks(spark, f"{root}-rules")
+    rows = stars.log_files(spark, sf_dir)
+    rows = workspace.stored(rows.select(F.concat_ws("-", "src", F.nullif("game", F.lit(""))).alias("name"), F.concat(c("offset").cast("string"), F.lit("\t"), "line").alias("value"), "offset"))
+    seen, running = 0, None
+    for lot, prefix in ((0, "spr_"), (1, "sprint_")):
+        books.put(replace(BOOK, prefixes=BOOK.prefixes | {"sprint": prefix}))
+        some = rows.where(f"offset div 4 % 2 = {lot}")
+        seen += some.count()
+        some.repartition("name").select("name", "value").write.mode("append").partitionBy("name").text(path)
+        running = running or loading.followed_load(spark, path, star, checkpoint, attributed, books, fixtures.servers(spark), stars.LOGS_ONLY, once=False, quietSeconds=1)
+        waited(running, lambda: star.facts(spark, "logrecord", stars.LOGS_ONLY).count() + star.rejected(spark).count() >= seen)  # noqa: B023
+    running.stop()
+    facts = stars.named(spark, star, star.facts(spark, "logrecord", stars.LOGS_ONLY), stars.LOGS_ONLY, pname="name")
+    return facts.select("file_offset", "pname", "table")
+
+
+def waited(running, done, seconds: float = 600) -> None:
+    """Returns once done() holds. A query that ends before, or takes longer, is stopped and an error."""
+    until = time.monotonic() + seconds
+    while not done():
+        if not running.isActive or time.monotonic() > until:
+            running.stop()
+            raise running.exception() or TimeoutError(f"not done in {seconds} s")
+        time.sleep(0.5)
