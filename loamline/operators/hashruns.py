@@ -19,6 +19,8 @@ from loamline.sources.workspace import stored
 KEY_BITS = 40
 #: Rows of new hashes up to which they are broadcast; keys found up to which the runs' statistics are asked for each.
 BROADCAST_ROWS, FEW_KEYS = 1_000_000, 2_000
+#: Values of one list that are told to statistics each: they become one nested condition, for which the stack of a task must do.
+TOLD = 100
 #: Rows of one file of a run, and of a group of rows in it.
 FILE_ROWS = 4_000_000
 RUN = "key bigint, hash string, file string"
@@ -42,12 +44,20 @@ def written(rows: DataFrame, path: str, count: int) -> None:
     keyed.sortWithinPartitions("key").write.mode("overwrite").options(**OPTIONS).parquet(path)
 
 
+def among(column: Column, values: list[int]) -> Column:
+    """Whether the column is one of the values: lists of TOLD, under a balanced tree of conditions."""
+    parts = [column.isin(values[k : k + TOLD]) for k in range(0, len(values), TOLD)] or [F.lit(False)]
+    while len(parts) > 1:
+        parts = [parts[k] | parts[k + 1] if k + 1 < len(parts) else parts[k] for k in range(0, len(parts), 2)]
+    return parts[0]
+
+
 @contextmanager
 def told(spark: SparkSession) -> Iterator[None]:
-    """What is computed within asks the statistics of pages for each of FEW_KEYS values, where Spark else asks for their least and greatest."""
+    """What is computed within asks the statistics of pages for each value of lists by `among`, where Spark else asks for their least and greatest."""
     name = "spark.sql.parquet.pushdown.inFilterThreshold"
     before = spark.conf.get(name)
-    spark.conf.set(name, str(max(int(before), FEW_KEYS)))
+    spark.conf.set(name, str(max(int(before), TOLD)))
     try:
         yield
     finally:
@@ -67,7 +77,7 @@ def found(runs: DataFrame, gone: DataFrame, new: DataFrame, count: int) -> DataF
         if not few:
             return runs.limit(0)
         if len(few) <= FEW_KEYS:
-            runs = runs.where(F.col("key").isin(few))
+            runs = runs.where(among(F.col("key"), sorted(few)))
     wanted = new.select("hash", key_of(F.col("hash")).alias("key"))
     rows = runs.join(F.broadcast(wanted) if small else wanted, ["key", "hash"], "left_semi")
     if 0 < len(few) <= FEW_KEYS:

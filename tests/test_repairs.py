@@ -259,3 +259,17 @@ def test_few_hashes_are_looked_up_in_few_pages(spark, tmp_path):
     size = sum(f.stat().st_size for f in (tmp_path / "runs").rglob("*.parquet"))
     found, read = bytes_read(spark, lambda: hashruns.found(runs, spark.createDataFrame([], hashruns.GONE), new, 30))
     assert found.count() == 30 and read < size / 3
+
+
+def test_many_values_are_told_by_lists(spark, tmp_path):
+    from loamline.operators import hashruns
+
+    path = str(tmp_path / "t")
+    spark.range(0, 40_000, 2).coalesce(1).write.parquet(path)
+    values = list(range(0, 4_500, 3))  # sixteen lists and a half of them
+    with hashruns.told(spark):
+        rows = spark.read.parquet(path).where(hashruns.among(F.col("id"), values))
+        assert sorted(r.id for r in rows.collect()) == [v for v in values if v % 2 == 0]
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(" in plan
+    assert spark.read.parquet(path).where(hashruns.among(F.col("id"), [])).count() == 0
