@@ -246,7 +246,8 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_P
     names, kinds = parts.columns, parts.dtypes
     alone = full.withColumn("sequence_id", F.lit(1 << 62) + F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
     dealt = rest.withColumn("__group", F.expr(f"pmod(xxhash64(monotonically_increasing_id()), {groups})"))
-    dealt = dealt.repartition(min(groups, MOST_PARTS), "__group")  # a part packs its groups one after another.sortWithinPartitions("__group", F.desc("length"), "doc_id", "piece")
+    # a part packs its groups one after another, each from its longest piece down
+    dealt = dealt.repartition(min(groups, MOST_PARTS), "__group").sortWithinPartitions("__group", F.desc("length"), "doc_id", "piece")
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []

@@ -241,6 +241,22 @@ def test_best_fit_against_a_plain_search():
         assert offset == tight and max(number) + 1 == len(rooms)
 
 
+def test_groups_are_packed_from_the_longest_piece_down(spark):
+    from loamline.llm import packing
+    from loamline.llm.common import staged
+
+    # by falling length 400 pairs fill 400 sequences; in the order given the short ones come first
+    lengths = [1000 + k for k in range(400)] + [packing.CAPACITY - 1000 - k for k in range(400)]
+    docs = spark.createDataFrame([(k, 0, 0, n, k) for k, n in enumerate(lengths)], packing.PIECES).repartition(7)
+    rows = packing.pack(staged(docs)).collect()
+    bins = {}
+    for r in rows:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert len(rows) == 800 and len(bins) == 400
+    for held in bins.values():
+        assert [n for _, n in sorted(held)] == sorted((n for _, n in held), reverse=True) and sum(n for _, n in held) == packing.CAPACITY
+
+
 def test_encoder_on_odd_texts():
     import random
 
