@@ -49,11 +49,22 @@ def listed(pattern: str) -> dict[str, int]:
     out: dict[str, int] = {}
     for one in expand_braces(pattern):
         out |= _listed_remote(one) if remote(one) else _listed_local(local(one))
-    return {k: v for k, v in sorted(out.items()) if not k.rsplit("/", 1)[-1].startswith((".", "_"))}
+    return {k: v for k, v in sorted(out.items()) if not hidden(k.rsplit("/", 1)[-1])}
+
+
+def hidden(name: str) -> bool:
+    """Whether a file or folder isn't for readers, as those that Spark writes to before it gives files their names."""
+    return name.startswith((".", "_"))
+
+
+def shown(file: str, pattern: str) -> bool:
+    """Whether no part of a found path is hidden but those that the pattern names."""
+    named = pattern.split("/")
+    return not any(hidden(x) and not hidden(named[k] if k < len(named) else "") for k, x in enumerate(file.split("/")))
 
 
 def _listed_local(path: str) -> dict[str, int]:
-    found = glob.glob(path) if re.search(r"[*?\[]", path) else [path]
+    found = [p for p in glob.glob(path) if shown(p, path)] if re.search(r"[*?\[]", path) else [path]
     out, folders = {}, []
     for p in found:
         if os.path.isfile(p):
@@ -66,6 +77,8 @@ def _listed_local(path: str) -> dict[str, int]:
         except OSError:  # gone, or no folder
             continue
         for e in entries:
+            if hidden(e.name):
+                continue
             if e.is_dir():
                 folders += [] if e.is_symlink() else [e.path]
                 continue
@@ -86,7 +99,7 @@ def _listed_remote(path: str) -> dict[str, int]:
     if info.type == fs.FileType.File:
         return {prefix + info.path: info.size}
     infos = system.get_file_info(fs.FileSelector(inner, allow_not_found=True, recursive=True))
-    files = {prefix + i.path: i.size for i in infos if i.type == fs.FileType.File}
+    files = {prefix + i.path: i.size for i in infos if i.type == fs.FileType.File and shown(prefix + i.path, path)}
     return {k: v for k, v in files.items() if top == path or fnmatch.fnmatchcase(k, path) and k.count("/") == path.count("/")}
 
 

@@ -36,6 +36,26 @@ def test_a_busy_file_keeps_no_other_out(tmp_path):
     assert {f for f, _ in lines(again, at, again.latestOffset())} == {"a"}
 
 
+def test_files_that_spark_still_writes_are_not_read(tmp_path):
+    from loamline.sources import xlog
+
+    attempt = tmp_path / "in" / "name=a" / "_temporary" / "0" / "attempt_1"
+    attempt.mkdir(parents=True)
+    (attempt / "part-0").write_text("one\ntwo\n")
+    source = tmp_path / "in"
+    r = reader(source)
+    for pattern in (source, f"{source}/*", f"{source}/name=a/*", f"{source}/*/*"):
+        assert xlog.listed(str(pattern)) == {}
+    at = r.latestOffset()
+    assert at == {}
+    (attempt / "part-0").rename(source / "name=a" / "part-0")  # as the commit of a job does
+    assert lines(r, at, r.latestOffset()) == [("part-0", "one"), ("part-0", "two")]
+    assert list(xlog.listed(f"{source}/name=a")) == list(xlog.listed(f"{source}/*/part-*")) == [str(source / "name=a" / "part-0")]
+    (tmp_path / "_kept").mkdir()
+    (tmp_path / "_kept" / "f").write_text("x\n")
+    assert list(xlog.listed(str(tmp_path / "_kept"))) == [str(tmp_path / "_kept" / "f")]  # a hidden folder that is named
+
+
 def test_truncation_is_told_from_growth(tmp_path):
     f = tmp_path / "f"
     f.write_text("first\nsecond\n")
