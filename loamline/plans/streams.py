@@ -31,6 +31,17 @@ def put(spark: SparkSession, sf_dir: str, path: str, which: str = "event") -> No
     rows.repartition(4).write.mode("append").text(path)
 
 
+def arrived(spark: SparkSession, lots: list[str], path: str) -> None:
+    """The files of folders come into another at once, each whole under a name of its own, however long it took to write them."""
+    jvm = spark._jvm
+    for k, lot in enumerate(lots):
+        fs, folder = sinks._at(spark, lot)
+        for name in sinks.names_in(spark, lot):
+            if name.startswith("part-"):
+                if not fs.rename(jvm.org.apache.hadoop.fs.Path(folder, name), jvm.org.apache.hadoop.fs.Path(path, f"lot{k}-{name}")):
+                    raise OSError(f"{lot}/{name} could not be moved")
+
+
 def followed(spark: SparkSession, out: str, columns: str = "file string, offset bigint, line string") -> DataFrame:
     return tail.stored_rows(spark, out, columns)
 
@@ -94,10 +105,12 @@ def stream_debounce(spark, sf_dir):
     path, out, checkpoint = folders(spark)
     put(spark, sf_dir, path, "i % 4 = 0")
     tail.caught_up(spark, path, out, checkpoint)
+    lots = {f"{path}-{lot}": f"i % 4 = {lot}" for lot in (1, 2, 3)}
+    for folder, which in lots.items():  # a large lot takes longer to write than an interval
+        put(spark, sf_dir, folder, which)
     running = tail.follow(spark, path, out, checkpoint, once=False, every="6 seconds")
     try:
-        for lot in (1, 2, 3):
-            put(spark, sf_dir, path, f"i % 4 = {lot}")
+        arrived(spark, list(lots), path)
         running.processAllAvailable()
     finally:
         running.stop()

@@ -56,6 +56,23 @@ def test_files_that_spark_still_writes_are_not_read(tmp_path):
     assert list(xlog.listed(str(tmp_path / "_kept"))) == [str(tmp_path / "_kept" / "f")]  # a hidden folder that is named
 
 
+def test_a_burst_arrives_whole(spark, tmp_path, monkeypatch):
+    """Lots that take longer to write than the interval still make fewer batches than lots."""
+    import time
+
+    from loamline.plans import streams
+
+    slow = streams.put
+
+    def put(spark, sf_dir, path, which="event"):
+        slow(spark, sf_dir, path, which)
+        time.sleep(7)
+
+    monkeypatch.setattr(streams, "put", put)
+    rows = streams.stream_debounce(spark, "/root/testdata/sf0.001")
+    assert [tuple(r) for r in rows.select("fewer").distinct().collect()] == [(True,)]
+
+
 def test_truncation_is_told_from_growth(tmp_path):
     f = tmp_path / "f"
     f.write_text("first\nsecond\n")
