@@ -92,6 +92,11 @@ def marked(lines: DataFrame, line: str = "line", src: str = "src") -> DataFrame:
     return out.withColumn("cause", F.when(F.col("fields").isNull(), F.lit("malformed")).when(~valid(F.col("fields")), F.lit("invalid")))
 
 
+def malformed_lines(lines: DataFrame, line: str = "line") -> DataFrame:
+    """Of sorted_out's rejected lines the malformed ones alone, told without decoding any line."""
+    return lines.where(potential(F.col(line)) & malformed(F.col(line)))
+
+
 def sorted_out(lines: DataFrame, line: str = "line", src: str = "src") -> tuple[DataFrame, DataFrame]:
     """Good records, parsed, and rejected lines with their cause; lines that cannot be records are in neither."""
     out = marked(lines, line, src)

@@ -97,3 +97,13 @@ def test_one_file_a_source_is_written_by_ranges(spark, tmp_path):
     files = list(xlog.listed(str(tmp_path / "out")))
     assert len(files) == 2
     assert {f.split("src=")[1][0]: open(f).read().splitlines() for f in files} == want
+
+
+def test_malformed_lines_are_told_without_decoding(spark):
+    from loamline.operators import parse
+
+    lines = spark.createDataFrame([("a=1:b", "s"), ("a=1", "s"), ("name=x:start=1:end=2", "s"), (":", "s")], "line string, src string")
+    bad = parse.malformed_lines(lines)
+    assert bad.collect() == parse.sorted_out(lines)[1].where("cause = 'malformed'").select("line", "src").collect()
+    assert [r.line for r in bad.collect()] == ["a=1:b"]
+    assert "regexp_extract_all" not in bad._jdf.queryExecution().optimizedPlan().toString()
