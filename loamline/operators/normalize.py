@@ -47,19 +47,25 @@ class RuleBook:
 OWN = ("base_table", "table", "cause", "__verb")
 
 
+def wanted(keep: tuple[str, ...], book: RuleBook, more: tuple[str, ...] = ()) -> list[str]:
+    """The fields that normalization asks records for."""
+    return [f for f in dict.fromkeys([*FIELDS, *more, *sorted(names(book.fields))]) if f not in keep and f not in OWN]
+
+
 def promoted(records: DataFrame, keep: tuple[str, ...], book: RuleBook, more: tuple[str, ...] = ()) -> DataFrame:
     """`keep`, then a text column for each of FIELDS, `more` and the fields of rules, null where it is absent; branch names
-    that look like versions or that the book leaves out are dropped."""
-    # all fields at once by way of JSON: looked up one by one, each would search the map from its start
-    wanted = dict.fromkeys([*FIELDS, *more, *sorted(names(book.fields))])
-    wanted = [f for f in wanted if f not in keep and f not in OWN]
-    found = records.withColumn("__f", F.from_json(F.to_json("fields"), ", ".join(f"`{f}` string" for f in wanted)))
+    that look like versions or that the book leaves out are dropped. Records have `fields`, or `__f` by parse.decoded."""
+    found, columns_ = records, wanted(keep, book, more)
+    kind = parse.record_kind(F.col("fields")) if "fields" in records.columns else F.when(F.col("__f")["type"].isNotNull(), F.lit("milestone")).otherwise(F.lit("logrecord"))
+    if "fields" in records.columns:
+        # all fields at once by way of JSON: looked up one by one, each would search the map from its start
+        found = records.withColumn("__f", F.from_json(F.to_json("fields"), ", ".join(f"`{f}` string" for f in columns_)))
     fields = F.col("__f")
     named = fields["explbr"]
     branch = F.when(~version.like_version(named) & (~named.rlike(book.branches) if book.branches else F.lit(True)), named)
     # names of Python keywords and SQL functions are fine as quoted columns
-    columns = [branch.alias("explbr") if f == "explbr" else fields[f].alias(f) for f in wanted]
-    return found.select(*keep, parse.record_kind(F.col("fields")).alias("base_table"), *columns)
+    columns = [branch.alias("explbr") if f == "explbr" else fields[f].alias(f) for f in columns_]
+    return found.select(*keep, kind.alias("base_table"), *columns)
 
 
 def _col(name: str) -> Column:
@@ -145,48 +151,72 @@ READS = {
 }
 
 
-def by_distinct(df: DataFrame, inputs: tuple[str, ...], outputs: tuple[str, ...], made: list[dict[str, Column]], rows: int) -> DataFrame:
-    """df, which is stored, with outputs from a table of the different tuples of inputs; as it was if these are too many to be of use."""
-    tuples = stored(df.select(*[_col(c) for c in inputs]).distinct())
-    n = tuples.count()
-    if n * FEWER > rows:
-        return df
-    given = [F.col(f"`{c}`").alias(f"__in_{k}") for k, c in enumerate(inputs)]
-    table = tuples.select("*", *given)
-    for step in made:
-        table = table.withColumns({k: v for k, v in step.items() if k in outputs})
-    table = stored(table.select(*[f"__in_{k}" for k in range(len(inputs))], *[_col(c).alias(f"__out_{c}") for c in outputs]))
-    on = [_col(c).eqNullSafe(F.col(f"__in_{k}")) for k, c in enumerate(inputs)]
-    out = df.join(F.broadcast(table) if n <= BROADCAST_DISTINCT else table, reduce(lambda a, b: a & b, on), "left")
-    return out.withColumns({c: F.col(f"__out_{c}") for c in outputs}).drop(*[f"__in_{k}" for k in range(len(inputs))], *[f"__out_{c}" for c in outputs])
+#: Outputs by their inputs, the stored table of both and its rows.
+Tables = list[tuple[tuple[str, ...], tuple[str, ...], DataFrame, int]]
+
+
+def distinct_tables(df: DataFrame, book: RuleBook, rows: int, only: tuple[str, ...] | None = None) -> Tables:
+    """Of df, which is stored after `begun`, tables of GROUPS: what comes of each tuple of inputs, where these are few."""
+    out: Tables = []
+    for inputs, outputs in groups(only).items():
+        tuples = stored(df.select(*[_col(c) for c in inputs]).distinct())
+        n = tuples.count()
+        if n * FEWER > rows:
+            continue
+        table = tuples.select("*", *[F.col(f"`{c}`").alias(f"__in_{k}") for k, c in enumerate(inputs)])
+        for step in steps(book)[-2:]:
+            table = table.withColumns({k: v for k, v in step.items() if k in outputs})
+        out.append((inputs, outputs, stored(table.select(*[f"__in_{k}" for k in range(len(inputs))], *[_col(c).alias(f"__out_{c}") for c in outputs])), n))
+    return out
+
+
+def groups(only: tuple[str, ...] | None) -> dict[tuple[str, ...], tuple[str, ...]]:
+    """Those of GROUPS of which something is asked for."""
+    return {i: o for i, o in GROUPS.items() if only is None or set(o) & set(only)}
+
+
+def begun(records: DataFrame, book: RuleBook, keep: tuple[str, ...] = ("src", "hash"), more: tuple[str, ...] = (), only: tuple[str, ...] | None = None) -> DataFrame:
+    """The steps of normalization up to those that read many patterns, with the columns that these need."""
+    df, before = promoted(records, keep, book, more), steps(book)[:-2]
+    for step in before:
+        df = df.withColumns(step)
+    if only is not None:
+        read = {*only, *keep, "base_table", *(c for n in only for c in READS.get(n, ())), *(c for i in groups(only) for c in i)}
+        df = df.select(*[_col(c) for c in df.columns if c in read])
+    return df
+
+
+def ended(df: DataFrame, book: RuleBook, made: Tables, only: tuple[str, ...] | None = None) -> DataFrame:
+    """The last steps of normalization, of which what the tables hold is looked up."""
+    found: dict[str, Column] = {}
+    drop: list[str] = []
+    for g, (inputs, outputs, table, n) in enumerate(made):
+        # all groups read what was stored, not what another has put in its place
+        table = table.select(*[F.col(c).alias(f"{c}_{g}") for c in table.columns])
+        on = [_col(c).eqNullSafe(F.col(f"__in_{k}_{g}")) for k, c in enumerate(inputs)]
+        df = df.join(F.broadcast(table) if n <= BROADCAST_DISTINCT else table, reduce(lambda a, b: a & b, on), "left")
+        drop += table.columns
+        found |= {c: F.col(f"__out_{c}_{g}") for c in outputs}
+    due = None
+    if only is not None:
+        due = {*only, *(c for o in groups(only).values() for c in o), *(("__verb", "oplace") if {"verb", "noun"} & set(only) else ())}
+    for step in steps(book)[-2:]:
+        df = df.withColumns({k: v for k, v in step.items() if k not in found and (due is None or k in due)})
+    df = df.withColumns(found).drop(*drop, "__verb")
+    return df if only is None else df.select(*[_col(c) for c in df.columns if c in only])
 
 
 def normalized(records: DataFrame, book: RuleBook, keep: tuple[str, ...] = ("src", "hash"), more: tuple[str, ...] = (), rows: int | None = None, only: tuple[str, ...] | None = None) -> DataFrame:
-    """Records with `fields`, `src` and `hash` to flat rows. more: further fields to keep. rows: how many there are, if that is known.
+    """Records with `fields` (or `__f`), `src` and `hash` to flat rows. more: further fields to keep. rows: how many there are, if that is known.
 
     Of many rows the rules of GROUPS are worked out once for each tuple of what they read, which gives the same rows. only: the columns
     that are asked for, as far as there are such; the others are neither stored nor worked out.
     """
-    df, (*before, second, third) = promoted(records, keep, book, more), steps(book)
-    for step in before:
-        df = df.withColumns(step)
-    done: tuple[str, ...] = ()
-    due: set[str] | None = None
+    df, made = begun(records, book, keep, more, only), []
     if rows is not None and rows >= DISTINCT_FROM:
-        groups = {i: o for i, o in GROUPS.items() if only is None or set(o) & set(only)}
-        if only is not None:
-            read = {*only, "base_table", *(c for n in only for c in READS.get(n, ())), *(c for i in groups for c in i)}
-            df = df.select(*[_col(c) for c in df.columns if c in read])
-            due = {*only, *(c for o in groups.values() for c in o), *(("__verb", "oplace") if {"verb", "noun"} & set(only) else ())}
         df = stored(df)
-        for inputs, outputs in groups.items():
-            out = by_distinct(df, inputs, outputs, [second, third], rows)
-            # what a later group reads must be what was stored
-            done, df = (done, df) if out is df else (done + outputs, out)
-    for step in (second, third):
-        df = df.withColumns({k: v for k, v in step.items() if k not in done and (due is None or k in due)})
-    df = df.drop("__verb")
-    return df if only is None else df.select(*[_col(c) for c in df.columns if c in only])
+        made = distinct_tables(df, book, rows, only)
+    return ended(df, book, made, only)
 
 
 TIMES = ("start", "end", "time")
@@ -194,10 +224,11 @@ TIMES = ("start", "end", "time")
 BROADCAST_SERVERS = 10_000
 
 
-def timed(records: DataFrame, servers: DataFrame) -> DataFrame:
+def timed(records: DataFrame, servers: DataFrame, to: str = "") -> DataFrame:
     """start, end and time in UTC by the server of `src`; servers (name, zone_s, zone_d, utc_epoch) are a few rows a site.
 
-    A time that is there but can't be read is named in `cause`.
+    A time that is there but can't be read is named in `cause`. to: begins the names of the columns that take the times, if these
+    are not put in place of the texts.
     """
     zones = servers.select(F.col("name").alias("src"), clock.zone_offset(F.col("zone_s")).alias("__s"), clock.zone_offset(F.col("zone_d")).alias("__d"), clock.epoch_moment(F.col("utc_epoch")).alias("__e"))
     if servers.limit(BROADCAST_SERVERS + 1).count() <= BROADCAST_SERVERS:
@@ -207,5 +238,5 @@ def timed(records: DataFrame, servers: DataFrame) -> DataFrame:
     bad = F.lit(False)
     for name in TIMES:
         bad = bad | (present(_col(name)).isNotNull() & F.col(f"__{name}_read").isNull())
-    new = {n: clock.shifted(F.col(f"__{n}_read"), _col(n), F.col("__e"), F.col("__s"), F.col("__d")) for n in TIMES}
+    new = {f"{to}{n}": clock.shifted(F.col(f"__{n}_read"), _col(n), F.col("__e"), F.col("__s"), F.col("__d")) for n in TIMES}
     return df.withColumns({"cause": F.when(bad, F.lit("time")), **new}).drop(*[f"__{n}_read" for n in TIMES], "__s", "__d", "__e")

@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamline.functions.text import let, trim_all, trim_right
+from loamline.functions.text import BLANKS, let, trim_all, trim_right
 
 #: Fixed value: a key up to `=`, a value up to the first unpaired `:`.
 PAIR = r"([^=]*)=([^:]*+(?:::[^:]*+)*+)(?::|\z)"
 #: Stands for a doubled colon while a line is cut; lines that hold it go by PAIR.
 TWO = "\x01"
+#: The same in plain lines, which become JSON by replacing alone: JSON takes this sign as it is.
+JSON_TWO = "\x7f"
+#: What plain lines are made of besides colons and `=`: no signs that JSON escapes, and no white space but the space. Letters come first, as a class is searched in order.
+PLAIN = r"[a-z0-9A-Z !#-9;<>-\[\]-~\u00a1-\u167f\u1681-\u1fff\u200b-\u2027\u2030-\u205e\u2060-\u2fff\u3001-\uffff]++"
 
 
 def potential(line: Column) -> Column:
@@ -19,9 +23,9 @@ def potential(line: Column) -> Column:
     return (F.length(text) > 0) & ~text.startswith(":")
 
 
-def _cut(text: Column) -> Column:
+def _cut(text: Column, two: str = TWO) -> Column:
     """A trimmed line with TWO for doubled colons and without the colon that ends its last value."""
-    text = F.replace(text, F.lit("::"), F.lit(TWO))
+    text = F.replace(text, F.lit("::"), F.lit(two))
     return F.when(F.endswith(text, F.lit(":")), F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(text)
 
 
@@ -92,6 +96,32 @@ def marked(lines: DataFrame, line: str = "line", src: str = "src") -> DataFrame:
     return out.withColumn("cause", F.when(F.col("fields").isNull(), F.lit("malformed")).when(~valid(F.col("fields")), F.lit("invalid")))
 
 
+def decoded(lines: DataFrame, wanted: list[str], line: str = "line", src: str = "src") -> DataFrame:
+    """As marked, with the wanted fields alone, in a struct `__f` in place of the map `fields`; null for a malformed line.
+
+    Most lines are plain: each piece has one `=` and nothing that JSON would escape, so that they become JSON by replacing signs. Others
+    go by fields_of. Of a repeated key the last value holds either way.
+    """
+    wanted = list(dict.fromkeys([*wanted, "hash", "start", "name", "end", "time"]))
+    text, cut = F.col("__t"), F.col("__cut")
+    out = lines.where(potential(F.col(line))).withColumn("__t", trim_all(F.col(line)))
+    out = out.withColumn("__cut", _cut(text, JSON_TWO))
+    out = out.withColumn("__signs", F.regexp_replace(cut, PLAIN, ""))  # of plain pieces with one `=` each: `=:=:=`
+    signs = F.replace(F.col("__signs"), F.lit(JSON_TWO), F.lit(""))
+    plain = F.endswith(signs, F.lit("=")) & (F.replace(signs, F.lit("=:"), F.lit("")) == "=") & ~F.contains(text, F.lit(JSON_TWO))
+    # no space at an end of a key, and no doubled colon in one
+    plain = plain & ~F.contains(cut, F.lit(" =")) & ~F.contains(cut, F.lit(": ")) & ~F.contains(F.col("__signs"), F.lit(f"{JSON_TWO}="))
+    plain = F.lit(False) if any(":" in w for w in wanted) else plain
+    quoted = F.replace(F.replace(F.replace(cut, F.lit(":"), F.lit('","')), F.lit("="), F.lit('":"')), F.lit(JSON_TWO), F.lit(":"))
+    out = out.withColumn("__json", F.when(plain, F.concat(F.lit('{"'), quoted, F.lit('"}'))).when(~malformed(F.col(line)), F.to_json(fields_of(F.col(line)))))
+    out = out.withColumn("__f", F.from_json("__json", ", ".join(f"`{w}` string" for w in wanted)))
+    f = F.col("__f")
+    out = out.withColumn("hash", F.coalesce(f["hash"], line_hash(F.col(src), F.col(line))))
+    there = lambda k: F.coalesce(f[k], F.lit("")) != ""
+    good = there("start") & there("name") & (there("end") | there("time"))
+    return out.withColumn("cause", F.when(F.col("__json").isNull(), F.lit("malformed")).when(~good, F.lit("invalid"))).drop("__t", "__cut", "__signs", "__json")
+
+
 def malformed_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     """Of sorted_out's rejected lines the malformed ones alone, told without decoding any line."""
     return lines.where(potential(F.col(line)) & malformed(F.col(line)))

@@ -7,7 +7,7 @@ stored hashes and ids is done again from there: two loads at once give no id twi
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -119,25 +119,39 @@ def stored_fields(design: Design, kind: str) -> list[Declared]:
     return [f for f in design.declared(kind) if not f.primary and f.name not in ("hash", "offset", "file", "table")]
 
 
-def prepared(scanned: DataFrame, book: RuleBook, servers: DataFrame, more: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Normalized rows with `table`, rejected lines, and file and offset of every line that can be a record.
+#: Begins the names of columns that hold times in UTC, while others still read their texts.
+UTC = "__utc_"
 
-    scanned: file, offset, line, src, game. Lines are decoded once and rows normalized once, each into a stored table.
+
+def prepared(scanned: DataFrame, book: RuleBook, servers: DataFrame, more: tuple[str, ...] = ()) -> tuple[DataFrame, Callable[[DataFrame], DataFrame], DataFrame, DataFrame]:
+    """Records with `table`, stored; what makes normalized rows of them or of some of them; rejected lines; and file and offset of
+    every line that can be a record.
+
+    scanned: file, offset, line, src, game. Lines are decoded once, into a table of the columns that are asked for. Many rows are not
+    stored again when they are normalized: what is dear is in tables by then.
     """
     if scanned.count() < SPREAD_BELOW:  # a few small files are few tasks
         scanned = scanned.repartition(scanned.sparkSession.sparkContext.defaultParallelism)
-    lines = workspace.stored(parse.marked(scanned))
-    good = lines.where("cause is null").drop("cause")
-    count = lines.count()
     own = ("src", "hash", "file", "offset", "game")
     only = tuple(dict.fromkeys(["base_table", *own, *normalize.TIMES, *more])) if more else None  # what nobody asks for isn't worked out
-    rows = normalize.timed(normalize.normalized(good, book, own, more, count, only), servers)
-    rows = workspace.stored(rows)
-    rows = rows.withColumn("table", registry.table_name(F.col("base_table"), F.col("game"), book.prefixes))
-    late = rows.where("cause is not null").select("file", "offset", F.lit(None).cast("string").alias("line"), "src", "game", "cause")
-    rejected = lines.where("cause is not null").select(*late.columns).unionByName(late)
-    rows = rows.where("cause is null").drop("cause").withColumns({n: clock.shown(F.col(n)) for n in ("start", "end", "time")})
-    return rows, rejected, lines.select("file", "offset")
+    lines = parse.decoded(scanned, normalize.wanted(own, book, more)).withColumnsRenamed({"cause": "__cause", "line": "__line"})
+    lines = normalize.timed(normalize.begun(lines, book, (*own, "__line", "__cause"), more, only), servers, UTC)
+    cause = F.coalesce("__cause", "cause")
+    lines = workspace.stored(lines.withColumns({"cause": cause, "__line": F.when(F.col("__cause").isNotNull(), F.col("__line"))}).drop("__cause"))
+    count = lines.count()
+    table = registry.table_name(F.col("base_table"), F.col("game"), book.prefixes)
+    good = lines.where("cause is null").drop("cause", "__line").withColumn("table", table)
+    rejected = lines.where("cause is not null").select("file", "offset", F.col("__line").alias("line"), "src", "game", "cause")
+    held = None if only is None else (*only, "table", *(f"{UTC}{n}" for n in normalize.TIMES))
+    made = normalize.distinct_tables(good, book, count, held) if count >= normalize.DISTINCT_FROM else []
+
+    def finished(rows: DataFrame) -> DataFrame:
+        rows = normalize.ended(rows, book, made, held)
+        return rows.withColumns({n: clock.shown(F.col(f"{UTC}{n}")) for n in normalize.TIMES}).drop(*(f"{UTC}{n}" for n in normalize.TIMES))
+
+    if len(made) < len(normalize.groups(held)):  # rules are worked out row by row: once
+        good, finished = workspace.stored(finished(good)), lambda rows: rows
+    return good, finished, rejected, lines.select("file", "offset")
 
 
 def _values(rows: DataFrame, design: Design, extra: list[Declared]) -> DataFrame:
@@ -205,12 +219,12 @@ def ranges_of(lines: DataFrame, before: DataFrame) -> DataFrame:
 
 
 def unknown(rows: DataFrame, spark: SparkSession, star: Star, seen: Snapshot, count: int) -> DataFrame:
-    """rows, which are stored, without those whose hash is stored already."""
+    """rows, which can be read several times, without those whose hash is stored already."""
     if not seen.folders.get("hashes"):
         return rows
     runs = star.log.read(spark, seen, "hashes", hashruns.RUN)
     gone = star.read(spark, "forgotten", hashruns.GONE, seen)
-    found = workspace.stored(hashruns.found(runs, gone, rows.select("hash"), count).select("hash"))
+    found = workspace.stored(hashruns.found(runs, gone, workspace.stored(rows.select("hash")), count).select("hash"))
     return tables.not_known(rows, tables.joinable(found)) if found.limit(1).count() else rows
 
 
@@ -238,19 +252,21 @@ def load(scanned: DataFrame, star: Star, book: RuleBook, servers: DataFrame, des
     log, seen = star.log, star.log.snapshot(spark)
     if name and seen.has(name, number):
         return star.report(spark, name)
-    rows, rejected, read = prepared(scanned, book, servers, design.names())
+    good, finished, rejected, read = prepared(scanned, book, servers, design.names())
+    rows = finished(good)
     if strict and rejected.limit(1).count():
         raise ValueError("lines were rejected")
     folder = commits.fresh_name(name or "lines")
 
     def put(df: DataFrame, table: str, *by: str) -> None:
-        df.write.mode("overwrite").partitionBy(*by).parquet(f"{star.root}/{table}/{folder}")
+        with workspace.compiled(spark):
+            df.write.mode("overwrite").partitionBy(*by).parquet(f"{star.root}/{table}/{folder}")
 
     put(rejected, "rejected")
     if ranges is None:
         ranges = read.groupBy("file").agg(F.min("offset").alias("first"), F.max("offset").alias("last")).withColumn("generation", F.lit(""))
     put(ranges.select("file", "generation", "first", "last", F.current_timestamp().alias("at"), F.lit(rules_version).cast("long").alias("rules")).coalesce(8), "ranges")
-    first = workspace.stored(tables.first_of_stored(rows))
+    first = tables.first_of_stored(good)
     count = first.count()
     spelt = spellings(rows, design)
     keys = workspace.stored(spelt.select("dimension", "key").distinct())
@@ -262,7 +278,7 @@ def load(scanned: DataFrame, star: Star, book: RuleBook, servers: DataFrame, des
         """What depends on what is stored: new hashes, new keys, and the rows with their ids."""
         if name and seen.has(name, number):
             return None
-        kept = workspace.stored(unknown(first, spark, star, seen, count))
+        kept = unknown(first, spark, star, seen, count)
         known = dictionary.known(star.read(spark, "dimensions", f"{dimension_schema(design)}, {dictionary.SLOT}", seen), keys, n_keys)
         new = keys.join(known, ["dimension", "key"], "left_anti")
         tops = spark.createDataFrame(list(seen.tops.items()), "dimension string, top bigint")
@@ -271,12 +287,12 @@ def load(scanned: DataFrame, star: Star, book: RuleBook, servers: DataFrame, des
         ids = known.unionByName(fresh.select("dimension", "key", "id"))
         for kind in design.fields:
             fields = stored_fields(design, kind)
-            some = kept.where(F.col("base_table") == kind).withColumn("file_offset", F.col("offset").cast("long"))
+            some = finished(kept.where(F.col("base_table") == kind)).withColumn("file_offset", F.col("offset").cast("long"))
             typed = with_ids(rules.typed_select(some, fields, ("table", "file", "file_offset", "hash")), ids, [f for f in fields if f.dimension], design, counts)
             typed = typed.select(*[c.split()[0].strip("`") for c in fact_schema(design, kind).split(", ")])
             put(typed.coalesce(files) if files < spark.sparkContext.defaultParallelism else typed, f"facts/{kind}", "table")
         hashruns.written(kept.select("hash", "file"), f"{star.root}/hashes/{folder}", count)
-        put(tables.load_report(rows, kept), "reports")
+        put(tables.load_report(good, kept), "reports")
         top = {r[0]: r[1] for r in fresh.groupBy("dimension").agg(F.max("id")).collect()}  # a row for each dimension of the design
         names = ["rejected", "ranges", "dimensions", "hashes", "reports", *(f"facts/{k}" for k in design.fields)]
         return commits.Commit("load", {t: [folder] for t in names}, tops=top, done=(name, number) if name else None, note={f"report {name}": folder} if name else {})
