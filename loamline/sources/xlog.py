@@ -30,7 +30,7 @@ from loamline.sources.offsetlog import OffsetLog
 from loamline.sources.paths import local, opened, remote
 
 SCHEMA = "file string, offset bigint, line string"
-SPLIT, BATCH = 32 << 20, 4 << 20
+SPLIT, BATCH = 32 << 20, 1 << 20
 #: Ranges above which short ones share tasks, and the bytes that opening a file counts for.
 TASKS, OPEN = 1000, 64 << 10
 
