@@ -21,3 +21,24 @@ def test_first_of_stored_sorts_no_rows(spark):
     out = tables.first_of_stored(rows)
     assert sorted(r.offset for r in out.collect()) == [1, 3, 4, 5]
     assert "SortMergeJoin" not in out._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_lines_are_asked_for_no_field_that_nobody_reads(spark):
+    from loamline.operators import normalize, parse
+    from loamline.plans.fixtures import BOOK
+
+    keep, only = ("src", "hash"), ("cv", "game_key", "char", "ckiller", "gold")
+    asked = normalize.wanted(keep, BOOK, (), only)
+    assert {"v", "name", "start", "crace", "race", "cls", "killer", "goldspent"} <= set(asked) and not {"tmsg", "title", "vsav", "map"} & set(asked)
+    line = "v=0.15-a0:name=Cust_1:race=Ghoul:cls=Wizard:start=20140001000000S:end=20140001000000S:gold=3:killer=a bat:ktyp=mon:tmsg=x"
+    lines = spark.createDataFrame([(line, "cao"), (line.replace("gold=3", "gold=-1"), "cdo")], "line string, src string")
+    few = normalize.normalized(parse.decoded(lines, asked), BOOK, keep, only=only)
+    every = normalize.normalized(parse.decoded(lines, normalize.wanted(keep, BOOK)), BOOK, keep)
+    assert sorted(map(tuple, few.select(*only).collect())) == sorted(map(tuple, every.select(*only).collect()))
+
+
+def test_stored_keys_are_asked_for_as_text(spark):
+    from loamline.operators import hashruns
+
+    rows = spark.range(1000).withColumnRenamed("id", "key")
+    assert rows.where(hashruns.among("key", list(range(5, 405)))).count() == 400 and rows.where(hashruns.among("key", [])).count() == 0
