@@ -13,6 +13,12 @@ from loamline.sources import sinks, workspace, xlog
 Rules = Callable[[], tuple[int, RuleBook]]
 
 
+def new_lines(batch: DataFrame, before: DataFrame) -> DataFrame:
+    """The batch, read once, without lines of ranges that were read before; a stored table."""
+    with workspace.passing(batch.sparkSession):
+        return workspace.stored(unread(workspace.stored(batch), before), outlives=True)
+
+
 def followed_load(spark: SparkSession, path: str, star: Star, checkpoint: str, attribute: Callable[[DataFrame], DataFrame], book: RuleBook | Rules, servers: DataFrame, design: Design, name: str = "stream", once: bool = True, every: str = "250 milliseconds", **options):
     """A query from files under path into the star.
 
@@ -29,10 +35,11 @@ def followed_load(spark: SparkSession, path: str, star: Star, checkpoint: str, a
         seen = star.log.snapshot(spark)
         if seen.has(stream, number):
             return
-        before = star.read(spark, "ranges", RANGES, seen)
-        lines = workspace.stored(unread(workspace.stored(batch), before))
-        version, rules = book() if callable(book) else (0, book)
-        load(attribute(lines.drop("generation")), star, rules, servers, design, name=stream, number=number, ranges=ranges_of(lines, before), rules_version=version)
+        with workspace.passing(batch.sparkSession):
+            before = star.read(spark, "ranges", RANGES, seen)
+            lines = new_lines(batch, before) if seen.folders.get("ranges") else workspace.stored(batch)
+            version, rules = book() if callable(book) else (0, book)
+            load(attribute(lines.drop("generation")), star, rules, servers, design, name=stream, number=number, ranges=ranges_of(lines, before), rules_version=version)
 
     if once:
         options = {k: v for k, v in options.items() if k != "quietSeconds"}

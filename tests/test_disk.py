@@ -99,3 +99,23 @@ def test_large_loads_in_parts_keep_the_same(spark, tmp_path, design, monkeypatch
         got.append([sorted(map(str, x)) for x in (first, second, third, facts.select("hash", "table", "sc", "value").collect(), hashes.select("hash", "key").collect())])
     assert got[0] == got[1] and len(got[0][3]) == 50 and len(got[0][4]) == 53 and len(set(got[0][4])) == 53
     assert len(widest) > 6 and max(widest) < 40  # in parts
+
+
+def test_a_stream_of_loads_leaves_no_table(spark, tmp_path, design, made):
+    from loamline.plans import fixtures, load
+    from loamline.sources import workspace
+    from loamline.streaming import loading
+
+    star, source = load.Star(str(tmp_path / "star")), tmp_path / "in"
+    source.mkdir()
+    attribute = lambda batch: batch.select("file", "offset", "line", F.lit("cao").alias("src"), F.lit("").alias("game"))
+    for k in range(2):  # the second time there are ranges to pass over, as the checkpoint is lost
+        (source / f"f{k}").write_text("".join(LINE.format(v=15, n=j, s=10 * k + j) + "\n" for j in range(3)))
+        loading.followed_load(spark, str(source), star, str(tmp_path / f"point{k}"), attribute, fixtures.BOOK, fixtures.servers(spark), design).awaitTermination()
+    assert made and not [p for p in made if os.path.exists(p.removeprefix("file:"))]
+    assert sorted(r.sc for r in star.facts(spark, "logrecord", design).collect()) == [0, 1, 2, 10, 11, 12]
+    with workspace.passing(spark):
+        with workspace.passing(spark):
+            kept = workspace.stored(spark.range(3), outlives=True)
+        assert kept.count() == 3
+    assert not os.path.exists(made[-1].removeprefix("file:"))
